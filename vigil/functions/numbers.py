@@ -19,8 +19,10 @@ def parse_number(text: Column) -> Column:
     Java's own suffixes and hexadecimal notation (``1.5f``, ``0x1p3``) are
     refused, underscores between digits (``1_000``) and signed ``nan`` are read.
     """
+    # Most text casts as it is; the rest is rewritten only where that fails.
     plain = F.regexp_replace(F.regexp_replace(text, r"[_\s]", ""), r"(?i)^[+-]nan$", "nan")
-    return F.when(text.rlike(_NUMBER), plain.try_cast("double"))
+    number = F.coalesce(text.try_cast("double"), plain.try_cast("double"))
+    return F.when(text.rlike(_NUMBER), number)
 
 
 def round_metric(metric: str, scale: int = 2) -> Column:

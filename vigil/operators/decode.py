@@ -12,11 +12,16 @@ from vigil.functions.timestamps import epoch_second
 def decode_records(records: DataFrame, schema: StructType, carry: list[str] | None = None) -> DataFrame:
     """Decode the JSON in ``value`` (text or binary) into the schema's columns.
 
+    ``carry`` lists columns of ``records`` to keep beside them, such as the
     ``carry`` lists columns of ``records`` to keep beside them, such as the
     topic offset. Text that is not a JSON object gives a row of nulls.
+
+    The object is unpacked by a generator: filters on its fields, such as the
+    not-null checks a join adds, then stay above it. Below a plain projection
+    each field such a filter names would parse the text once more.
     """
-    data = F.from_json(F.col("value").cast("string"), schema).alias("data")
-    return records.select(data, *(carry or [])).select("data.*", *(carry or []))
+    data = F.from_json(F.col("value").cast("string"), schema)
+    return records.select(F.inline(F.array(data)), *(carry or []))
 
 
 def round_metrics(rows: DataFrame, metrics: list[str], scale: int = 2) -> DataFrame:

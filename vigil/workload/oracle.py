@@ -15,7 +15,7 @@ from vigil.fixed_values import (
     THRESHOLDS,
     TOPICS,
 )
-from vigil.workload.telemetry import FIRST_SECOND
+from vigil.workload.telemetry import FIRST_SECOND, STREAM_DELAY_SECONDS
 
 TELEMETRY = f"""
 cents AS (SELECT *, CAST(round(value * 100) AS BIGINT) AS c FROM events),
@@ -341,5 +341,8 @@ FROM alerts QUALIFY row_number() OVER (PARTITION BY server_id, window_start % 86
         THREE_DAYS,
     ),
     "csv_round_trip": _cpu_mem("SELECT * REPLACE (nullif(alert, '') AS alert) FROM alerts"),
-    "stream_cpu_mem_alerts": "",
+    "stream_cpu_mem_alerts": _cpu_mem(
+        "SELECT * FROM alerts WHERE window_end <= (SELECT least(max(ts_sec), max(ts_sec) FILTER "
+        f"(WHERE event_type <> 'error')) - {STREAM_DELAY_SECONDS} FROM telemetry)"
+    ),
 }

@@ -31,7 +31,6 @@ from vigil.workload import telemetry as tel
 ORDER = ["event_id"]
 # Telemetry samples repeat within a second; the snapshots keep the first.
 NET_DISK_FIRST = replace(NET_DISK, duplicates="first")
-STREAM_DELAY_SECONDS = 60
 
 
 def _samples(spark, sf_dir, *families, days=1):
@@ -403,7 +402,7 @@ def stream_cpu_mem_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
         mem,
         CPU_MEM,
         SlidingWindow(origin=tel.FIRST_SECOND),
-        delay=f"{STREAM_DELAY_SECONDS} seconds",
+        delay=f"{tel.STREAM_DELAY_SECONDS} seconds",
         order="event_id",
     )
     write_available(alerts, f"{folder}/report", f"{folder}/checkpoint").awaitTermination()

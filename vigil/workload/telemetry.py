@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from vigil.fixed_values import FAMILY_METRICS, STRICT_TS_FORMAT
 
 FIRST_SECOND = 1704150000
+# How late samples of the stream may be.
+STREAM_DELAY_SECONDS = 60
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
