@@ -1,0 +1,167 @@
+from dataclasses import replace
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from vigil.config import CPU_MEM, NET_DISK, SlidingWindow
+from vigil.operators.report import alert_rows, alert_summary, sort_report
+from vigil.plans.reports import cpu_mem_report, net_disk_report, report, window_statistics
+from vigil.sources.thresholds import threshold_table
+
+TEN = 1760954400  # 2025-10-20 10:00:00 UTC
+CPU = "ts string, server_id string, cpu_pct float"
+MEM = "ts string, server_id string, mem_pct float"
+NET = "ts string, server_id string, net_in float, net_out float"
+DISK = "ts string, server_id string, disk_io float"
+
+
+def test_cpu_mem_report(spark):
+    cpu = spark.createDataFrame(
+        [("2025-10-20 10:00:00.1", "s", 90.0), ("2025-10-20 10:00:00.7", "s", 99.0), ("2025-10-20T10:00:05", "s", 88.0)], CPU
+    )
+    mem = spark.createDataFrame([("2025-10-20 10:00:00", "s", 80.0), ("2025-10-20 10:00:05Z", "s", 90.0)], MEM)
+    result = cpu_mem_report(cpu, mem)
+    assert result.columns == ["server_id", "window_start", "window_end", "avg_cpu", "avg_mem", "max_cpu", "max_mem", "alert"]
+    types = [f.dataType.simpleString() for f in result.schema]
+    assert types == ["string", "timestamp", "timestamp", "double", "double", "float", "float", "string"]
+    row = result.select("*", F.unix_seconds("window_start").alias("s"), F.unix_seconds("window_end").alias("e")).collect()
+    assert [(r.s - TEN, r.e - TEN, *r[3:8]) for r in row] == [(0, 30, 89.0, 85.0, 90.0, 90.0, CPU_MEM.texts[0])]
+
+
+def test_net_disk_report_pairs_repeats(spark):
+    net = spark.createDataFrame(
+        [("2025-10-20 10:00:00", "s", 10.0, 0.0), ("2025-10-20 10:00:00", "s", 20.0, 0.0), ("2025-10-20 10:00:01", "s", 6000.0, 0.0)], NET
+    )
+    disk = spark.createDataFrame(
+        [("2025-10-20 10:00:00", "s", 1.0), ("2025-10-20 10:00:00", "s", 2.0), ("2025-10-20 10:00:01", "s", 9.0), ("2025-10-20 10:00:01.5", "s", 9000.0)], DISK
+    )
+    (row,) = net_disk_report(net, disk, labels="epoch").collect()
+    # Pairs: two net samples with two disk samples, then one with one.
+    assert tuple(row) == ("s", TEN, TEN + 30, 1212.0, 3.0, 6000.0, 9.0, NET_DISK.texts[1])
+    once = report(
+        net.select("server_id", F.lit(TEN).alias("ts_sec"), "net_in"),
+        disk.select("server_id", F.lit(TEN).alias("ts_sec"), "disk_io"),
+        replace(NET_DISK, duplicates="first"),
+        labels="epoch",
+    ).collect()
+    assert [r.avg_net_in for r in once] == [10.0]
+
+
+def test_null_metrics(spark):
+    key = "2025-10-20 10:00:00"
+    cpu = spark.createDataFrame([(key, "s", 99.0)], CPU)
+    mem = spark.createDataFrame([(key, "s", None)], MEM)
+    assert [(r.avg_cpu, r.avg_mem, r.alert) for r in cpu_mem_report(cpu, mem).collect()] == [(99.0, None, "")]
+    net = spark.createDataFrame([(key, "s", None, 1.0)], NET)
+    disk = spark.createDataFrame([(key, "s", 9000.0)], DISK)
+    (row,) = net_disk_report(net, disk).collect()
+    assert (row.avg_net_in, row.max_net_in, row.alert) == (None, None, NET_DISK.texts[2])
+
+
+def test_nothing_joined_gives_an_empty_report(spark):
+    cpu = spark.createDataFrame([("2025-10-20 10:00:00", "s", 1.0), ("soon", "s", 1.0)], CPU)
+    mem = spark.createDataFrame([("2025-10-20 10:00:01", "s", 1.0)], MEM)
+    assert cpu_mem_report(cpu, mem).count() == 0
+    assert cpu_mem_report(cpu, mem, labels="time_of_day").count() == 0
+
+
+def samples(spark, values, metric):
+    return spark.createDataFrame(values, f"server_id string, ts_sec bigint, {metric} float")
+
+
+def test_time_of_day_labels_collapse_days(spark):
+    late = TEN + 50390  # 23:59:50
+    cpu = samples(spark, [("s", late, 95.0), ("s", late + 86400, 1.0)], "cpu_pct")
+    mem = samples(spark, [("s", late, 1.0), ("s", late + 86400, 1.0)], "mem_pct")
+    result = rows(report(cpu, mem, CPU_MEM, labels="time_of_day").select("window_start", "window_end", "avg_cpu", "alert"))
+    assert result == [
+        ("23:59:30", "00:00:00", 1.0, ""),
+        ("23:59:40", "00:00:10", 1.0, ""),
+        ("23:59:50", "00:00:20", 95.0, CPU_MEM.texts[1]),
+    ]
+
+
+def test_thresholds_from_literals_tables_and_defaults(spark):
+    cpu = samples(spark, [("s", TEN, 50.0)], "cpu_pct")
+    mem = samples(spark, [("s", TEN, 50.0)], "mem_pct")
+
+    def alert(thresholds):
+        return [r.alert for r in report(cpu, mem, CPU_MEM, thresholds=thresholds).collect()]
+
+    lines = spark.createDataFrame([(0, "cpu_threshold: 49.5"), (1, "mem_threshold: 49")], "position int, line string")
+    assert alert({"cpu_threshold": 49.5, "mem_threshold": 49.0}) == [CPU_MEM.texts[0]]
+    assert alert(threshold_table(lines)) == [CPU_MEM.texts[0]]
+    assert alert({"cpu_threshold": 49.5}) == [CPU_MEM.texts[1]]
+    assert alert(threshold_table(lines, ["mem_threshold"])) == [CPU_MEM.texts[2]]
+    assert alert({}) == [""]
+
+
+def test_sorted_by_server_and_time_across_midnight(spark):
+    midnight = TEN + 50400
+    values = [(s, midnight + d, 1.0) for s in ("b", "a") for d in (5, -5, 20)]
+    result = sort_report(report(samples(spark, values, "cpu_pct"), samples(spark, values, "mem_pct"), CPU_MEM))
+    order = [(r.server_id, r.window_start) for r in result.collect()]
+    assert order == sorted(order) and len(order) > 6
+
+
+def test_summary_counts(spark):
+    frame = spark.createDataFrame([("x",), ("",), ("y",)], "alert string")
+    assert tuple(alert_summary(frame).first()) == (3, 2)
+    assert alert_rows(frame).count() == 2
+    assert tuple(alert_summary(frame.limit(0)).first()) == (0, 0)
+
+
+def test_unknown_modes_are_refused(spark):
+    frame = samples(spark, [], "cpu_pct"), samples(spark, [], "mem_pct")
+    with pytest.raises(ValueError):
+        report(*frame, CPU_MEM, labels="iso")
+    with pytest.raises(ValueError):
+        window_statistics(*frame, replace(CPU_MEM, duplicates="last"))
+
+
+
+
+def test_large_plan_shuffles_each_sample_twice(spark):
+    """Without broadcasts, as for large inputs: one shuffle a side, one for the windows.
+
+    The clamp's branch reuses the window shuffle, so nothing is scanned twice.
+    """
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "false",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        values = spark.range(3000).selectExpr("concat('s', id % 3) server_id", f"{TEN} + id ts_sec", "cast(id % 100 as float) v")
+        cpu, mem = values.withColumnRenamed("v", "cpu_pct"), values.select("server_id", "ts_sec", (100 - F.col("v")).alias("mem_pct"))
+        frame = report(cpu, mem, CPU_MEM, labels="epoch")
+        frame.collect()
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        hashed = [l for l in plan.splitlines() if "Exchange hashpartitioning" in l and "ReusedExchange" not in l]
+        assert len(hashed) == 3, plan
+        assert plan.count("ReusedExchange") == 1
+        assert "SortMergeJoin" in plan and "Python" not in plan and "CartesianProduct" not in plan
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+
+
+def test_clamp_reuses_the_shuffle_under_adaptive_execution(spark):
+    values = spark.range(3000).selectExpr("concat('s', id % 3) server_id", f"{TEN} + id ts_sec", "cast(id % 100 as float) v")
+    frame = report(
+        values.withColumnRenamed("v", "cpu_pct"), values.withColumnRenamed("v", "mem_pct"), CPU_MEM, labels="epoch"
+    )
+    frame.collect()
+    assert "ReusedExchange" in frame._jdf.queryExecution().executedPlan().toString()
+    known = report(
+        values.withColumnRenamed("v", "cpu_pct"),
+        values.withColumnRenamed("v", "mem_pct"),
+        CPU_MEM,
+        SlidingWindow(origin=TEN),
+        labels="epoch",
+    )
+    assert rows(known) == rows(frame)
+    assert "Subquery" not in known._jdf.queryExecution().executedPlan().toString()

@@ -7,11 +7,6 @@ from pyspark.sql.types import StructType
 
 from vigil.schemas import family_schema
 
-# A value no field holds, so that an empty field is read as empty text and only
-# a field the line does not have is null.
-_NO_VALUE = "\u0000"
-
-
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """CSV with a header line that must name the schema's columns in order.
 
@@ -36,11 +31,14 @@ def read_snapshot_parquet(spark: SparkSession, path: str, family: str) -> DataFr
 
 
 def read_dataset_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Wide CSV as text, columns named by its header in any order."""
+    """Wide CSV as text, columns named by its header in any order.
+
+    Empty fields, and fields a short line lacks, are empty text.
+    """
     return (
         spark.read.option("header", True)
         .option("enforceSchema", False)
         .option("escape", '"')
-        .option("nullValue", _NO_VALUE)
         .csv(path)
+        .na.fill("")
     )
