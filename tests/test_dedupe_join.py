@@ -4,7 +4,7 @@ from conftest import rows
 from hypothesis import HealthCheck, given, settings, strategies as st
 
 from vigil.operators.dedupe import first_per_key
-from vigil.operators.join import KEYS, join_families, join_with_copies
+from vigil.operators.join import KEYS, join_families, merge_copies, merge_first
 
 
 def test_lowest_order_is_kept_whole(spark):
@@ -53,9 +53,24 @@ def test_partial_aggregate_before_the_shuffle(spark):
 def test_join_needs_both_keys(spark):
     cpu = spark.createDataFrame([("s", 1, 1.0), ("s", 2, 2.0), (None, 3, 3.0), ("s", None, 4.0)], "server_id string, ts_sec bigint, a float")
     mem = spark.createDataFrame([("s", 1, 5.0), ("t", 2, 6.0), (None, 3, 7.0), ("s", None, 8.0)], "server_id string, ts_sec bigint, b float")
-    joined = join_families(cpu, mem)
-    assert joined.columns == ["server_id", "ts_sec", "a", "b"]
-    assert rows(joined) == [("s", 1, 1.0, 5.0)]
+    for joined in (join_families(cpu, mem), merge_first(cpu, mem)):
+        assert joined.columns == ["server_id", "ts_sec", "a", "b"]
+        assert rows(joined) == [("s", 1, 1.0, 5.0)]
+
+
+def test_merge_equals_dedupe_and_join(spark):
+    base = spark.range(1500).selectExpr(
+        "if(id % 97 = 0, null, concat('s', id % 3)) server_id", "id % 61 ts_sec",
+        "if(id % 5 = 0, null, cast(hash(id) % 100 as float)) a", "cast(hash(id, 1) % 9 as float) b",
+        "cast(hash(id, 2) % 100 as float) c", "id pos", "id % 4 part",
+    )
+    for order in (["pos"], ["part", "pos"], None):
+        left = base.where("id % 7 < 4").select("server_id", "ts_sec", "a", "b", *(order or []))
+        right = base.where("id % 7 > 2 and ts_sec > 9").select("server_id", "ts_sec", "c", *(order or []))
+        expected = join_families(first_per_key(left, KEYS, order), first_per_key(right, KEYS, order))
+        found = merge_first(left, right, order)
+        assert found.columns == expected.columns
+        assert rows(found) == rows(expected) and found.count() > 100
 
 
 SIDE = st.lists(
@@ -81,4 +96,4 @@ def test_copies_equal_all_pairs(spark, left, right):
         (*key, len(found), *stats([x for x, _ in found]), *stats([y for _, y in found]))
         for key, found in sorted(pairs.items())
     ]
-    assert rows(join_with_copies(l, r, ["x"], ["y"])) == expected
+    assert rows(merge_copies(l, r)) == expected

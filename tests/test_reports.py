@@ -122,11 +122,9 @@ def test_unknown_modes_are_refused(spark):
 
 
 
-def test_large_plan_shuffles_each_sample_twice(spark):
-    """Without broadcasts, as for large inputs: one shuffle a side, one for the windows.
-
-    The clamp's branch reuses the window shuffle, so nothing is scanned twice.
-    """
+@pytest.fixture
+def no_broadcast(spark):
+    """Plans as for large inputs, final before they run."""
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -134,34 +132,43 @@ def test_large_plan_shuffles_each_sample_twice(spark):
     }
     for name, value in settings.items():
         spark.conf.set(name, value)
-    try:
-        values = spark.range(3000).selectExpr("concat('s', id % 3) server_id", f"{TEN} + id ts_sec", "cast(id % 100 as float) v")
-        cpu, mem = values.withColumnRenamed("v", "cpu_pct"), values.select("server_id", "ts_sec", (100 - F.col("v")).alias("mem_pct"))
-        frame = report(cpu, mem, CPU_MEM, labels="epoch")
-        frame.collect()
-        plan = frame._jdf.queryExecution().executedPlan().toString()
-        hashed = [l for l in plan.splitlines() if "Exchange hashpartitioning" in l and "ReusedExchange" not in l]
-        assert len(hashed) == 3, plan
-        assert plan.count("ReusedExchange") == 1
-        assert "SortMergeJoin" in plan and "Python" not in plan and "CartesianProduct" not in plan
-    finally:
-        for name in settings:
-            spark.conf.unset(name)
-
-
-def test_clamp_reuses_the_shuffle_under_adaptive_execution(spark):
-    values = spark.range(3000).selectExpr("concat('s', id % 3) server_id", f"{TEN} + id ts_sec", "cast(id % 100 as float) v")
-    frame = report(
-        values.withColumnRenamed("v", "cpu_pct"), values.withColumnRenamed("v", "mem_pct"), CPU_MEM, labels="epoch"
-    )
-    frame.collect()
-    assert "ReusedExchange" in frame._jdf.queryExecution().executedPlan().toString()
-    known = report(
-        values.withColumnRenamed("v", "cpu_pct"),
-        values.withColumnRenamed("v", "mem_pct"),
-        CPU_MEM,
-        SlidingWindow(origin=TEN),
-        labels="epoch",
+    yield
+    for name in settings:
+        spark.conf.unset(name)
+
+
+def plan_of(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def second_values(spark, rule):
+    base = spark.range(3000).selectExpr(
+        "concat('s', id % 3) server_id", f"{TEN} + id ts_sec", "cast(id % 100 as float) v", "id pos"
     )
-    assert rows(known) == rows(frame)
-    assert "Subquery" not in known._jdf.queryExecution().executedPlan().toString()
+    return base.withColumnRenamed("v", rule.left), base.withColumnRenamed("v", rule.right)
+
+
+@pytest.mark.parametrize("rule", [CPU_MEM, NET_DISK])
+def test_two_shuffles_and_nothing_twice(spark, no_broadcast, rule):
+    """One shuffle to join and one for the windows, which the clamp's branch reads too."""
+    frame = report(*second_values(spark, rule), rule, labels="epoch", order=["pos"])
+    plan = plan_of(frame)
+    hashed = [l for l in plan.splitlines() if "Exchange hashpartitioning" in l and "ReusedExchange" not in l]
+    assert len(hashed) == 2, plan
+    assert plan.count("ReusedExchange") == 1
+    for unwanted in ("Python", "CartesianProduct", "SortMergeJoin", "BroadcastNestedLoopJoin"):
+        assert unwanted not in plan
+    grouped = [l for l in plan.splitlines() if "SortAggregate" in l and "keys=[server_id" in l.replace("key=", "keys=")]
+    assert not grouped
+
+
+@pytest.mark.parametrize("rule", [CPU_MEM, NET_DISK])
+def test_clamp_reuses_the_shuffle_under_adaptive_execution(spark, rule):
+    values = second_values(spark, rule)
+    frame = report(*values, rule, labels="epoch", order=["pos"])
+    found = rows(frame)
+    reused = [l for l in plan_of(frame).splitlines() if "ReusedExchange" in l]
+    assert any("REPARTITION_BY_COL" in l for l in reused)
+    known = report(*values, rule, SlidingWindow(origin=TEN), labels="epoch", order=["pos"])
+    assert rows(known) == found
+    assert "Subquery" not in plan_of(known)

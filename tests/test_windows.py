@@ -5,7 +5,8 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from vigil.config import SlidingWindow
-from vigil.operators.windows import aggregate_windows, assign_windows, mean_and_max, origin
+from vigil.operators import windows
+from vigil.operators.windows import assign_windows, mean_and_max, origin
 
 CONFIGS = [
     (30, 10, 0), (30, 10, 3), (30, 10, 11), (25, 10, 0), (25, 10, 4), (7, 3, 1), (10, 10, 0), (10, 10, 7),
@@ -39,9 +40,9 @@ def frame_of(spark, samples):
     return spark.createDataFrame(samples, "server_id string, ts_sec bigint, x float")
 
 
-def stats():
-    return [F.count("x").alias("n"), F.max("x").alias("m")]
-
+def aggregate_windows(frame, window, *columns):
+    result = windows.aggregate_windows(frame, window, ["x"])
+    return result.select("server_id", "window_start", "window_end", *(columns or ("x_count", "x_max")))
 
 
 @pytest.mark.parametrize("size,slide,offset", CONFIGS)
@@ -50,14 +51,14 @@ def test_windows_equal_brute_force(spark, size, slide, offset):
         samples = random_samples(seed, first, 200)
         for clamp in (True, False):
             window = SlidingWindow(size, slide, offset, clamp=clamp, block=50)
-            result = aggregate_windows(frame_of(spark, samples), window, stats())
+            result = aggregate_windows(frame_of(spark, samples), window)
             assert rows(result) == brute_force(samples, size, slide, offset, clamp), (seed, clamp)
 
 
 @pytest.mark.parametrize("block", [1, 7, 10, 3600])
 def test_block_length_does_not_matter(spark, block):
     samples = random_samples(block, 1704150000, 100)
-    result = aggregate_windows(frame_of(spark, samples), SlidingWindow(block=block), stats())
+    result = aggregate_windows(frame_of(spark, samples), SlidingWindow(block=block))
     assert rows(result) == brute_force(samples, 30, 10, 0, True)
 
 
@@ -73,33 +74,33 @@ def test_same_windows_as_the_built_in(spark, size, slide, offset):
 def test_worked_example_and_clamp(spark):
     ten = 1760954400
     frame = frame_of(spark, [("s", ten + 5, 1.0), ("s", ten + 15, 2.0)])
-    result = aggregate_windows(frame, SlidingWindow(), mean_and_max("x", "x"))
+    result = aggregate_windows(frame, SlidingWindow(), *mean_and_max("x", "x"))
     assert rows(result) == [("s", ten, ten + 30, 1.5, 2.0), ("s", ten + 10, ten + 40, 2.0, 2.0)]
-    free = aggregate_windows(frame, SlidingWindow(clamp=False), mean_and_max("x", "x"))
+    free = aggregate_windows(frame, SlidingWindow(clamp=False), *mean_and_max("x", "x"))
     assert rows(free)[:2] == [("s", ten - 20, ten + 10, 1.0, 1.0), ("s", ten - 10, ten + 20, 1.5, 2.0)]
 
 
 def test_clamp_is_by_the_first_sample_of_all_servers(spark):
     frame = frame_of(spark, [("a", 1000, 1.0), ("b", 1100, 1.0)])
-    starts = {(r.server_id, r.window_start) for r in aggregate_windows(frame, SlidingWindow(), stats()).collect()}
+    starts = {(r.server_id, r.window_start) for r in aggregate_windows(frame, SlidingWindow()).collect()}
     assert starts == {("a", 1000), ("b", 1080), ("b", 1090), ("b", 1100)}
 
 
 def test_known_origin(spark):
     samples = random_samples(5, 1704150000, 100)
     window = SlidingWindow(origin=min(t for _, t, _ in samples))
-    assert rows(aggregate_windows(frame_of(spark, samples), window, stats())) == brute_force(samples, 30, 10, 0, True)
+    assert rows(aggregate_windows(frame_of(spark, samples), window)) == brute_force(samples, 30, 10, 0, True)
 
 
 def test_no_samples_no_windows(spark):
     empty = frame_of(spark, [])
-    assert aggregate_windows(empty, SlidingWindow(), stats()).count() == 0
+    assert aggregate_windows(empty, SlidingWindow()).count() == 0
     assert [tuple(r) for r in origin(empty).collect()] == [(None,)]
 
 
 def test_nan_is_the_maximum(spark):
     frame = frame_of(spark, [("s", 0, 1.0), ("s", 1, float("nan")), ("s", 2, None)])
-    row = aggregate_windows(frame, SlidingWindow(), mean_and_max("x", "x")).first()
+    row = aggregate_windows(frame, SlidingWindow(), *mean_and_max("x", "x")).first()
     assert row.max_x != row.max_x and row.avg_x != row.avg_x
 
 

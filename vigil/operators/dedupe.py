@@ -2,31 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
-def first_per_key(rows: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
-    """Keep the row with the lowest ``order`` for each key; drop the order columns.
+def first_values(values: list[str], order: list[str] | None, present: Column | None = None) -> list[Column]:
+    """Aggregates giving ``values`` of the first row, among the rows that are ``present``.
 
-    ``order`` is the ingest position: not null, and unique within a key. Without
-    it the row with the smallest values is kept, nulls last. Null keys count as
-    equal. This is a plain aggregate, so copies of a hot key are combined before
-    the shuffle. One fixed-width order column, or one value column without
-    order, also keeps it a hash aggregate.
+    First is the lowest ``order``: the ingest position, not null and unique
+    within a group. Without it, it is the row with the smallest values, nulls
+    last. One fixed-width order column, or one value without order, keeps the
+    aggregate a hash aggregate.
     """
+
+    def among(column: Column) -> Column:
+        return column if present is None else F.when(present, column)
+
     order = order or []
-    values = [c for c in rows.columns if c not in keys and c not in order]
     if len(order) == 1:
-        kept = [F.min_by(v, order[0]).alias(v) for v in values]
-        return rows.groupBy(*keys).agg(*kept).select(*keys, *values) if values else rows.select(*keys).distinct()
-    if not values:
-        return rows.select(*keys).distinct()
+        return [F.min_by(v, among(F.col(order[0]))).alias(v) for v in values]
     if not order and len(values) == 1:
-        return rows.groupBy(*keys).agg(F.min(values[0]).alias(values[0]))
+        return [F.min(among(F.col(v))).alias(v) for v in values]
     position = [F.col(o) for o in order]
     for v in values:
         position += [F.col(v).isNull(), F.col(v)]
-    ranked = F.struct(*(p.alias(f"p{i}") for i, p in enumerate(position)))
-    picked = rows.groupBy(*keys).agg(F.min(ranked).alias("picked"))
-    at = {v: len(order) + 2 * i + 1 for i, v in enumerate(values)}
-    return picked.select(*keys, *(F.col(f"picked.p{at[v]}").alias(v) for v in values))
+    first = F.min(among(F.struct(*(p.alias(f"p{i}") for i, p in enumerate(position)))))
+    return [first[f"p{len(order) + 2 * i + 1}"].alias(v) for i, v in enumerate(values)]
+
+
+def first_per_key(rows: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
+    """The first row of each key (see ``first_values``), without the order columns.
+
+    Null keys count as equal. This is a plain aggregate, so copies of a hot key
+    are combined before the shuffle.
+    """
+    values = [c for c in rows.columns if c not in keys and c not in (order or [])]
+    if not values:
+        return rows.select(*keys).distinct()
+    return rows.groupBy(*keys).agg(*first_values(values, order)).select(*keys, *values)

@@ -1,52 +1,92 @@
-"""Joining two metric families on server and second."""
+"""Joining two metric families on server and second.
+
+``join_families`` is the plain join, for families without repeats. The merges
+take raw samples: both families go through one aggregate on the join key, which
+drops repeats and joins in a single shuffle, without sorting either side.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+from vigil.operators.dedupe import first_values
 
 KEYS = ["server_id", "ts_sec"]
+LEFT, RIGHT = 1, 2
 
 
 def join_families(left: DataFrame, right: DataFrame) -> DataFrame:
     """Inner join of families that hold at most one row per (server, second).
 
-    Both sides come from aggregates on the same keys, so a sort-merge join adds
-    no shuffle, and no key can be hot. Rows with a null key drop out.
+    Rows with a null key drop out.
     """
     return left.join(right, KEYS, "inner")
 
 
-def per_second(rows: DataFrame, metrics: list[str]) -> DataFrame:
-    """Rows, and sum, count and maximum of each metric, per (server, second)."""
-    parts = [F.count(F.lit(1)).alias("copies")]
-    for m in metrics:
-        parts += [
-            F.sum(F.col(m).cast("double")).alias(f"{m}_sum"),
-            F.count(m).alias(f"{m}_count"),
-            F.max(m).alias(f"{m}_max"),
-        ]
-    return rows.groupBy(*KEYS).agg(*parts)
+def _both_sides(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Rows of both sides, told apart by ``side``, without null keys."""
+    sides = [
+        rows.dropna(subset=KEYS).withColumn("side", F.lit(side).cast("tinyint"))
+        for rows, side in ((left, LEFT), (right, RIGHT))
+    ]
+    return sides[0].unionByName(sides[1], allowMissingColumns=True)
+
+
+def _metrics(rows: DataFrame, order: list[str] | None = None) -> list[str]:
+    return [c for c in rows.columns if c not in KEYS and c not in (order or [])]
+
 
+def merge_first(left: DataFrame, right: DataFrame, order: list[str] | None = None) -> DataFrame:
+    """Inner join of each side's first sample per (server, second).
 
-def join_with_copies(
-    left: DataFrame, right: DataFrame, left_metrics: list[str], right_metrics: list[str]
-) -> DataFrame:
+    ``order`` is as in ``first_values``; both sides have its columns.
+    """
+    l, r = _metrics(left, order), _metrics(right, order)
+    side = F.col("side")
+    return (
+        _both_sides(left, right)
+        .groupBy(*KEYS)
+        .agg(
+            *first_values(l, order, side == LEFT),
+            *first_values(r, order, side == RIGHT),
+            F.bit_or("side").alias("sides"),
+        )
+        .where(F.col("sides") == LEFT | RIGHT)
+        .select(*KEYS, *l, *r)
+    )
+
+
+def merge_copies(left: DataFrame, right: DataFrame) -> DataFrame:
     """Sums, counts and maxima over all pairs of repeated samples, without making them.
 
     A key held n times on the left and m times on the right joins into n*m
     pairs, in which each left sample occurs m times and each right sample n
     times. So a side's sums and counts are those of its own rows times the
-    other side's copies, its maximum stays, and each key needs one row per side.
+    other side's copies, its maximum stays, and each key needs one row.
     """
-    l = per_second(left, left_metrics).withColumnRenamed("copies", "left_copies")
-    r = per_second(right, right_metrics).withColumnRenamed("copies", "right_copies")
-    both = l.join(r, KEYS, "inner")
-    columns = [*KEYS, (F.col("left_copies") * F.col("right_copies")).alias("pairs")]
-    for metrics, other in ((left_metrics, "right_copies"), (right_metrics, "left_copies")):
+    l, r = _metrics(left), _metrics(right)
+    copies = {side: F.count_if(F.col("side") == side).alias(f"copies_{side}") for side in (LEFT, RIGHT)}
+    merged = (
+        _both_sides(left, right)
+        .groupBy(*KEYS)
+        .agg(*copies.values(), *(part for m in l + r for part in sums_of(m)))
+        .where((F.col("copies_1") > 0) & (F.col("copies_2") > 0))
+    )
+    columns = [*KEYS, (F.col("copies_1") * F.col("copies_2")).alias("pairs")]
+    for metrics, other in ((l, "copies_2"), (r, "copies_1")):
         for m in metrics:
             columns += [
                 (F.col(f"{m}_sum") * F.col(other)).alias(f"{m}_sum"),
                 (F.col(f"{m}_count") * F.col(other)).alias(f"{m}_count"),
                 F.col(f"{m}_max"),
             ]
-    return both.select(*columns)
+    return merged.select(*columns)
+
+
+def sums_of(metric: str) -> list[Column]:
+    """Sum, count and maximum of a metric; averages are finished from them later."""
+    return [
+        F.sum(F.col(metric).cast("double")).alias(f"{metric}_sum"),
+        F.count(metric).alias(f"{metric}_count"),
+        F.max(metric).alias(f"{metric}_max"),
+    ]

@@ -10,6 +10,7 @@ from vigil import fixed_values as fixed
 from vigil.config import AlertRule
 from vigil.functions.alerts import alert_text
 from vigil.functions.timestamps import time_of_day
+from vigil.operators.windows import mean_and_max
 
 
 def threshold(thresholds: Mapping[str, float] | DataFrame, name: str) -> Column:
@@ -35,9 +36,11 @@ def with_alert(windows: DataFrame, rule: AlertRule, thresholds: Mapping[str, flo
     )
 
 
-def statistic_names(rule: AlertRule) -> list[str]:
-    """Statistics in report order."""
-    return [f"{s}_{n}" for s in ("avg", "max") for n in (rule.left_name, rule.right_name)]
+def finish_statistics(windows: DataFrame, rule: AlertRule) -> DataFrame:
+    """Averages and maxima in report order, from the sums of ``aggregate_windows``."""
+    left, left_max = mean_and_max(rule.left, rule.left_name)
+    right, right_max = mean_and_max(rule.right, rule.right_name)
+    return windows.select("server_id", "window_start", "window_end", left, right, left_max, right_max)
 
 
 def collapse_time_of_day(windows: DataFrame, size: int) -> DataFrame:

@@ -6,13 +6,20 @@ belong to, one shuffle of about one copy per sample (two only within a window
 length of a block edge), and is spread over its windows after that shuffle.
 A (server, block) group is bounded: with one row per second it holds at most
 block + size rows, however busy the server.
+
+Within a block, samples are first summed up by pane, the longest step that
+divides both window and slide, so that overlapping windows add up panes instead
+of going through each sample again.
 """
 
 from __future__ import annotations
 
+from math import gcd
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from vigil.config import SlidingWindow
+from vigil.operators.join import sums_of
 
 
 def _step_down(second: Column, step: int, offset: int = 0) -> Column:
@@ -74,36 +81,46 @@ def first_start(second: Column, window: SlidingWindow) -> Column:
     return _step_down(_step_down(second, window.slide), window.slide, window.offset)
 
 
-def aggregate_windows(samples: DataFrame, window: SlidingWindow, statistics: list[Column]) -> DataFrame:
-    """``statistics`` per server and window, for samples with one row per server and second.
+def aggregate_windows(
+    samples: DataFrame, window: SlidingWindow, metrics: list[str], summed: bool = False
+) -> DataFrame:
+    """Sum, count and maximum of each metric per server and window.
 
-    Gives server_id, window_start and window_end (epoch seconds) and the
-    statistics. The grouping follows the block shuffle and needs no other.
+    ``samples`` has one row per server and second, with the metrics or, when
+    ``summed``, with their sums, counts and maxima as ``merge_copies`` gives
+    them. The result has server_id, window_start and window_end (epoch seconds)
+    and <metric>_sum, _count and _max. Both groupings follow the block shuffle
+    and need no other.
     """
+    names = [f"{m}_{part}" for m in metrics for part in ("sum", "count", "max")]
+    samples = samples.select("server_id", "ts_sec", *(names if summed else metrics))
     spread = spread_blocks(samples, window)
+    rows = spread
+    pane = gcd(window.size, window.slide)
+    if pane > 1:
+        start = _step_down(F.col("ts_sec"), pane, window.offset)
+        rows = rows.groupBy("server_id", "block", start.alias("ts_sec")).agg(*_sums(metrics, summed))
+        summed = True
     windows = (
-        assign_windows(spread, window)
+        assign_windows(rows, window)
         .where(_step_down(F.col("window_start"), window.block) == F.col("block"))
         .groupBy("server_id", "block", "window_start", "window_end")
-        .agg(*statistics)
+        .agg(*_sums(metrics, summed))
         .drop("block")
     )
     bound = clamp_bound(spread, window)
     return windows if bound is None else windows.where(F.col("window_start") >= bound)
 
 
+def _sums(metrics: list[str], summed: bool) -> list[Column]:
+    """Sums, counts and maxima of samples, or of such sums again."""
+    if not summed:
+        return [part for m in metrics for part in sums_of(m)]
+    combine = {"sum": F.sum, "count": F.sum, "max": F.max}
+    return [f(f"{m}_{part}").alias(f"{m}_{part}") for m in metrics for part, f in combine.items()]
+
+
 def mean_and_max(metric: str, name: str) -> list[Column]:
-    """Rounded average and maximum of a sample column."""
-    return [
-        F.round(F.avg(metric), 2).alias(f"avg_{name}"),
-        F.max(metric).alias(f"max_{name}"),
-    ]
-
-
-def mean_and_max_of_copies(metric: str, name: str) -> list[Column]:
-    """The same from the sums, counts and maxima of ``join_with_copies``."""
-    mean = F.try_divide(F.sum(f"{metric}_sum"), F.sum(f"{metric}_count"))
-    return [
-        F.round(mean, 2).alias(f"avg_{name}"),
-        F.max(f"{metric}_max").alias(f"max_{name}"),
-    ]
+    """Average rounded to two places, and maximum, of a summed-up metric."""
+    mean = F.try_divide(f"{metric}_sum", f"{metric}_count")
+    return [F.round(mean, 2).alias(f"avg_{name}"), F.col(f"{metric}_max").alias(f"max_{name}")]

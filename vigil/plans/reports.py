@@ -9,15 +9,14 @@ from pyspark.sql import DataFrame
 from vigil import fixed_values as fixed
 from vigil.config import CPU_MEM, NET_DISK, AlertRule, SlidingWindow
 from vigil.operators.decode import with_second
-from vigil.operators.dedupe import first_per_key
-from vigil.operators.join import KEYS, join_families, join_with_copies
+from vigil.operators.join import KEYS, merge_copies, merge_first
 from vigil.operators.report import (
     collapse_time_of_day,
+    finish_statistics,
     label_timestamps,
-    statistic_names,
     with_alert,
 )
-from vigil.operators.windows import aggregate_windows, mean_and_max, mean_and_max_of_copies
+from vigil.operators.windows import aggregate_windows
 
 Thresholds = Mapping[str, float] | DataFrame
 
@@ -38,22 +37,20 @@ def window_statistics(
 
     Window bounds are epoch seconds.
     """
-    left = left.select(*KEYS, rule.left, *(order or []))
-    right = right.select(*KEYS, rule.right, *(order or []))
     if rule.duplicates == "first":
-        joined = join_families(first_per_key(left, KEYS, order), first_per_key(right, KEYS, order))
-        statistic = mean_and_max
+        joined = merge_first(
+            left.select(*KEYS, rule.left, *(order or [])),
+            right.select(*KEYS, rule.right, *(order or [])),
+            order,
+        )
     elif rule.duplicates == "multiply":
-        joined = join_with_copies(left, right, [rule.left], [rule.right])
-        statistic = mean_and_max_of_copies
+        joined = merge_copies(left.select(*KEYS, rule.left), right.select(*KEYS, rule.right))
     else:
         raise ValueError(f"unknown treatment of duplicates: {rule.duplicates}")
     windows = aggregate_windows(
-        joined,
-        window,
-        statistic(rule.left, rule.left_name) + statistic(rule.right, rule.right_name),
+        joined, window, [rule.left, rule.right], summed=rule.duplicates == "multiply"
     )
-    return windows.select("server_id", "window_start", "window_end", *statistic_names(rule))
+    return finish_statistics(windows, rule)
 
 
 def report(

@@ -15,8 +15,9 @@ from pyspark.sql.streaming import StreamingQuery
 from vigil import fixed_values as fixed
 from vigil.config import AlertRule, SlidingWindow
 from vigil.functions.timestamps import parse
-from vigil.operators.report import statistic_names, with_alert
-from vigil.operators.windows import first_start, mean_and_max
+from vigil.operators.join import sums_of
+from vigil.operators.report import finish_statistics, with_alert
+from vigil.operators.windows import first_start
 
 
 def stream_samples(rows: DataFrame, metric: str, timestamps: str, order: str | None = None) -> DataFrame:
@@ -58,14 +59,10 @@ def stream_report(
     )
     windows = (
         joined.groupBy("server_id", spans.alias("span"))
-        .agg(*mean_and_max(rule.left, rule.left_name), *mean_and_max(rule.right, rule.right_name))
-        .select(
-            "server_id",
-            F.col("span.start").alias("window_start"),
-            F.col("span.end").alias("window_end"),
-            *statistic_names(rule),
-        )
+        .agg(*sums_of(rule.left), *sums_of(rule.right))
+        .withColumns({"window_start": F.col("span.start"), "window_end": F.col("span.end")})
     )
+    windows = finish_statistics(windows, rule)
     if window.clamp and window.origin is not None:
         bound = F.timestamp_seconds(first_start(F.lit(window.origin), window))
         windows = windows.where(F.col("window_start") >= bound)

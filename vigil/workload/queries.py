@@ -16,7 +16,7 @@ from vigil.operators import windows as W
 from vigil.operators.decode import decode_records, flag_problems, round_metrics, with_second
 from vigil.operators.dedupe import first_per_key
 from vigil.operators.fanout import fan_out
-from vigil.operators.join import KEYS, join_families, join_with_copies
+from vigil.operators.join import KEYS, join_families, merge_copies, merge_first
 from vigil.operators.report import alert_rows, alert_summary, sort_report
 from vigil.plans.reports import cpu_mem_report, net_disk_report, report, window_statistics
 from vigil.plans.snapshots import decode_family, raw_snapshot
@@ -43,7 +43,8 @@ def _unique(spark, sf_dir, family, *metrics):
 
 
 def _joined(spark, sf_dir):
-    return join_families(_unique(spark, sf_dir, "cpu"), _unique(spark, sf_dir, "mem"))
+    cpu, mem = _samples(spark, sf_dir, "cpu", "mem")
+    return merge_first(cpu, mem, ORDER)
 
 
 def _cpu_mem(spark, sf_dir, **settings):
@@ -212,7 +213,7 @@ def join_net_disk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def join_dup_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     net, disk = _samples(spark, sf_dir, "net", "disk")
-    return join_with_copies(net, disk, FAMILY_METRICS["net"], FAMILY_METRICS["disk"])
+    return merge_copies(net.drop("event_id"), disk.drop("event_id"))
 
 
 # Windows
@@ -228,7 +229,8 @@ def window_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _window_counts(spark, sf_dir, window):
-    return W.aggregate_windows(_joined(spark, sf_dir), window, [F.count(F.lit(1)).alias("samples")])
+    windows = W.aggregate_windows(_joined(spark, sf_dir), window, ["cpu_pct"])
+    return windows.select("server_id", "window_start", "window_end", F.col("cpu_pct_count").alias("samples"))
 
 
 def window_unclamped(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -387,8 +389,7 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = tel.events(spark, sf_dir).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    return spark.readStream.schema(tel.EVENTS).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
 
 
 def stream_cpu_mem_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:

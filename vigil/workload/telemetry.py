@@ -15,8 +15,11 @@ FIRST_SECOND = 1704150000
 STREAM_DELAY_SECONDS = 60
 
 
+EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
 def _hundredths() -> dict[str, Column]:
