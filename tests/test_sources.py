@@ -149,9 +149,9 @@ def test_split_is_written_in_one_pass(spark, tmp_path):
 def test_report_by_date_prunes(spark, tmp_path):
     path = str(tmp_path / "report")
     report = spark.range(200).selectExpr(
-        "concat('s', id % 3) server_id", "timestamp_seconds(1704150000 + id * 1000) window_start", "id"
+        "concat('s', id % 3) server_id", "timestamp_seconds(1704150000 + id * 1000) window_start", "if(id % 4 = 0, 'x', '') alert"
     )
-    sinks.write_report_by_date(report, path)
+    assert sinks.write_report_by_date(report, path) == {"total_rows": 200, "alert_rows": 50}
     back = spark.read.parquet(path)
     assert rows(back.select(report.columns)) == rows(report)
     one = back.where("date = date'2024-01-03'")
@@ -165,6 +165,16 @@ def test_job_folder_is_below_the_shared_one(spark):
     assert one != two and one.startswith(shared) and two.startswith(shared)
 
 
+def test_topic_positions(spark):
+    frame = spark.createDataFrame([(0, 5), (3, 5), (1, 4), (65535, (1 << 47) - 1)], "p int, o bigint")
+    at = [r[0] for r in frame.select(records.ingest_position(F.col("p"), F.col("o"))).collect()]
+    assert len(set(at)) == 4 and at[2] < at[0] < at[1] < at[3] and at[3] == 2**63 - 1
+    for beyond in ((65536, 0), (0, 1 << 47)):
+        frame = spark.createDataFrame([beyond], "p int, o bigint")
+        with pytest.raises(Exception, match="too large"):
+            frame.select(records.ingest_position(F.col("p"), F.col("o"))).collect()
+
+
 class FakeSession:
     """A cluster session that names no shared folder."""
 

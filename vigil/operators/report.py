@@ -80,9 +80,16 @@ def alert_rows(report: DataFrame) -> DataFrame:
     return report.where(F.col("alert") != fixed.NO_ALERT)
 
 
-def alert_summary(report: DataFrame) -> DataFrame:
-    """One row: all windows, and those with an alert, counted in one pass."""
-    return report.agg(
+def summary_counts() -> list[Column]:
+    return [
         F.count(F.lit(1)).alias("total_rows"),
         F.count_if(F.col("alert") != fixed.NO_ALERT).alias("alert_rows"),
-    )
+    ]
+
+
+def alert_summary(report: DataFrame) -> DataFrame:
+    """One row: all windows, and those with an alert, counted in one pass.
+
+    Sinks count while they write; this is for a report that is not written.
+    """
+    return report.agg(*summary_counts())

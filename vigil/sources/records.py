@@ -6,10 +6,29 @@ A topic needs Spark's Kafka connector at submit time
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-# Ingest position of a topic record, used to choose among copies.
-TOPIC_ORDER = ["partition", "offset"]
+# Column with the ingest position of a topic record, used to choose among copies.
+TOPIC_ORDER = ["position"]
+_PARTITIONS = 1 << 16
+_OFFSETS = 1 << 47
+
+
+def ingest_position(partition: Column, offset: Column) -> Column:
+    """Offset, then partition, as one long: unique within a topic.
+
+    A single fixed-width column keeps the choice of the first copy a hash
+    aggregate. Records beyond 65,536 partitions or 2**47 offsets fail.
+    """
+    fits = (partition < _PARTITIONS) & (offset < _OFFSETS)
+    packed = offset.cast("bigint") * F.lit(_PARTITIONS).cast("bigint") + partition
+    failed = F.raise_error(F.lit("topic partition or offset too large")).cast("bigint")
+    return F.when(fits, packed).otherwise(failed)
+
+
+def _topic_rows(loaded: DataFrame) -> DataFrame:
+    position = ingest_position(F.col("partition"), F.col("offset")).alias("position")
+    return loaded.select("value", position)
 
 
 def read_topic(
@@ -27,7 +46,7 @@ def read_topic(
     )
     if min_partitions:
         reader = reader.option("minPartitions", min_partitions)
-    return reader.load().select("value", *TOPIC_ORDER)
+    return _topic_rows(reader.load())
 
 
 def stream_topic(
@@ -42,7 +61,7 @@ def stream_topic(
     )
     if max_records:
         reader = reader.option("maxOffsetsPerTrigger", max_records)
-    return reader.load().select("value", *TOPIC_ORDER)
+    return _topic_rows(reader.load())
 
 
 def topic_directory(root: str, topic: str) -> str:

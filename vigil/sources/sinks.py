@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation, functions as F
+
+from vigil.operators.report import summary_counts
 
 
 def write_csv(rows: DataFrame, path: str) -> None:
@@ -17,21 +21,28 @@ def write_parquet(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").parquet(path)
 
 
-def write_report_by_date(report: DataFrame, path: str) -> None:
+def counted(rows: DataFrame, counts: list[Column], write: Callable[[DataFrame], None]) -> dict[str, int]:
+    """Write rows and return aggregates over them, taken in the same pass."""
+    seen = Observation()
+    write(rows.observe(seen, *counts))
+    return seen.get
+
+
+def write_report_by_date(report: DataFrame, path: str) -> dict[str, int]:
     """Parquet partitioned by the date of window_start, sorted within files.
 
     Rows are ranged on date, server and start, so a date or server with most
     of the rows is spread over many tasks and each task writes few dates.
+    Returns the counts of ``alert_summary``, taken while writing.
     """
     dated = report.withColumn("date", F.to_date("window_start"))
     key = ["date", "server_id", "window_start"]
-    (
-        dated.repartitionByRange(*key)
-        .sortWithinPartitions(*key)
-        .write.mode("overwrite")
-        .partitionBy("date")
-        .parquet(path)
-    )
+    sorted_rows = dated.repartitionByRange(*key).sortWithinPartitions(*key)
+
+    def write(rows: DataFrame) -> None:
+        rows.write.mode("overwrite").partitionBy("date").parquet(path)
+
+    return counted(sorted_rows, summary_counts(), write)
 
 
 def write_topics(records: DataFrame, servers: str) -> None:
