@@ -112,6 +112,31 @@ def test_summary_counts(spark):
     assert tuple(alert_summary(frame.limit(0)).first()) == (0, 0)
 
 
+def test_repeated_hour_of_a_zone_keeps_its_windows_apart(spark):
+    """Seconds an hour apart with the same clock time, when daylight saving ends."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        texts = ["2025-11-02T05:30:00Z", "2025-11-02T06:30:00Z"]
+        cpu = spark.createDataFrame([(t, "s", 1.0) for t in texts], CPU)
+        mem = spark.createDataFrame([(t, "s", 1.0) for t in texts], MEM)
+        starts = [r.window_start for r in cpu_mem_report(cpu, mem, labels="epoch").orderBy("window_start").collect()]
+        assert [s - 1762061400 for s in starts] == [0, 3580, 3590, 3600]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_same_results_without_ansi_mode(spark):
+    cpu = spark.createDataFrame([("2025-10-20 10:00:00", "s", 90.0), ("soon", "s", 1.0)], CPU)
+    mem = spark.createDataFrame([("2025-10-20 10:00:00", "s", None), ("10:00:00", "s", 1.0)], MEM)
+    expected = rows(cpu_mem_report(cpu, mem))
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        assert rows(cpu_mem_report(cpu, mem)) == expected and len(expected) == 1
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
 def test_unknown_modes_are_refused(spark):
     frame = samples(spark, [], "cpu_pct"), samples(spark, [], "mem_pct")
     with pytest.raises(ValueError):

@@ -104,12 +104,14 @@ def aggregate_windows(
     windows = (
         assign_windows(rows, window)
         .where(_step_down(F.col("window_start"), window.block) == F.col("block"))
-        .groupBy("server_id", "block", "window_start", "window_end")
+        .groupBy("server_id", "block", "window_start")
         .agg(*_sums(metrics, summed))
-        .drop("block")
     )
     bound = clamp_bound(spread, window)
-    return windows if bound is None else windows.where(F.col("window_start") >= bound)
+    if bound is not None:
+        windows = windows.where(F.col("window_start") >= bound)
+    window_end = (F.col("window_start") + F.lit(window.size)).alias("window_end")
+    return windows.select("server_id", "window_start", window_end, *names)
 
 
 def _sums(metrics: list[str], summed: bool) -> list[Column]:
