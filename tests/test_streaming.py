@@ -103,6 +103,23 @@ def test_ingest_order_decides_among_repeats(spark, tmp_path):
     assert stored_rows and {r.avg_cpu for r in stored_rows} == {2.0}
 
 
+def test_state_partitions_are_set_for_the_query_alone(spark, tmp_path):
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    for family in ("cpu", "mem"):
+        write_files(tmp_path, family, [range(0, 60)])
+    sides = [
+        stream_samples(decode_family(stream_record_files(spark, str(tmp_path / f)), f), f"{f}_pct", "lenient")
+        for f in ("cpu", "mem")
+    ]
+    query = write_available(
+        stream_report(*sides, CPU_MEM, delay=f"{DELAY} seconds"), str(tmp_path / "out"), str(tmp_path / "checkpoint"), 2
+    )
+    query.awaitTermination()
+    assert spark.conf.get("spark.sql.shuffle.partitions") == usual
+    assert {s["numShufflePartitions"] for p in query.recentProgress for s in p["stateOperators"]} == {2}
+    assert spark.read.parquet(str(tmp_path / "out")).count() > 0
+
+
 def test_other_rule(spark, tmp_path):
     for family, text in (("net", {"net_in": 6000, "net_out": 1}), ("disk", {"disk_io": 1})):
         (tmp_path / family).mkdir()

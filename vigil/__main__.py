@@ -68,6 +68,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     job.add_argument("--delay", default="1 minute")
     job.add_argument("--out", required=True)
     job.add_argument("--checkpoint", required=True)
+    job.add_argument("--state-partitions", type=int, help="fixed by the first run")
     return parser.parse_args(argv)
 
 
@@ -146,7 +147,7 @@ def run_stream(spark: SparkSession, args: argparse.Namespace) -> None:
         delay=args.delay,
         order=order[0] if order else None,
     )
-    write_available(result, args.out, args.checkpoint).awaitTermination()
+    write_available(result, args.out, args.checkpoint, args.state_partitions).awaitTermination()
 
 
 RUN = {"fan-out": run_fan_out, "snapshot": run_snapshot, "report": run_report, "stream": run_stream}

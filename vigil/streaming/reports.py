@@ -19,6 +19,8 @@ from vigil.operators.join import sums_of
 from vigil.operators.report import finish_statistics, with_alert
 from vigil.operators.windows import first_start
 
+_PARTITIONS = "spark.sql.shuffle.partitions"
+
 
 def stream_samples(rows: DataFrame, metric: str, timestamps: str, order: str | None = None) -> DataFrame:
     """Decoded stream rows as (server_id, ts, metric, order), ts cut to the second."""
@@ -69,12 +71,17 @@ def stream_report(
     return with_alert(windows, rule, thresholds)
 
 
-def write_available(report: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def write_available(
+    report: DataFrame, path: str, checkpoint: str, state_partitions: int | None = None
+) -> StreamingQuery:
     """Append all windows that are complete to Parquet by date, then stop.
 
-    Run again with the same folders to continue where it stopped.
+    Run again with the same folders to continue where it stopped. The first run
+    fixes how many partitions the state has: ``state_partitions``, or else the
+    session's shuffle partitions. Each batch visits all of them, so about one
+    per core serves best.
     """
-    return (
+    writer = (
         report.withColumn("date", F.to_date("window_start"))
         .writeStream.format("parquet")
         .partitionBy("date")
@@ -82,5 +89,14 @@ def write_available(report: DataFrame, path: str, checkpoint: str) -> StreamingQ
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
         .trigger(availableNow=True)
-        .start()
     )
+    if state_partitions is None:
+        return writer.start()
+    conf = report.sparkSession.conf
+    usual = conf.get(_PARTITIONS)
+    conf.set(_PARTITIONS, state_partitions)
+    try:
+        # A query takes its copy of the settings when it starts.
+        return writer.start()
+    finally:
+        conf.set(_PARTITIONS, usual)

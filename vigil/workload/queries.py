@@ -406,7 +406,8 @@ def stream_cpu_mem_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
         delay=f"{tel.STREAM_DELAY_SECONDS} seconds",
         order="event_id",
     )
-    write_available(alerts, f"{folder}/report", f"{folder}/checkpoint").awaitTermination()
+    cores = spark.sparkContext.defaultParallelism
+    write_available(alerts, f"{folder}/report", f"{folder}/checkpoint", cores).awaitTermination()
     return _epoch(spark.read.parquet(f"{folder}/report").drop("date"))
 
 
