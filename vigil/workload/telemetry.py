@@ -22,26 +22,22 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
-def _hundredths() -> dict[str, Column]:
-    c = F.round(F.col("value") * 100).cast("bigint")
-    i = F.col("event_id")
-    return {
-        "cpu_pct": (c * 37) % 4000 + 6000,
-        "mem_pct": (c * 91 + i * 13) % 4000 + 6000,
-        "net_in": (c * 53 + i * 7) % 560000,
-        "net_out": (c * 41 + i * 11) % 560000,
-        "disk_io": (c * 29 + i * 17) % 280000,
-    }
+_C = "CAST(round(value * 100) AS BIGINT)"
+# Metrics in hundredths.
+HUNDREDTHS = {
+    "cpu_pct": f"({_C} * 37) % 4000 + 6000",
+    "mem_pct": f"({_C} * 91 + event_id * 13) % 4000 + 6000",
+    "net_in": f"({_C} * 53 + event_id * 7) % 560000",
+    "net_out": f"({_C} * 41 + event_id * 11) % 560000",
+    "disk_io": f"({_C} * 29 + event_id * 17) % 280000",
+}
+SERVER = "concat('srv-', CAST(user_id % 5 AS STRING)) AS server_id"
 
 
 def event_second() -> Column:
     return F.lit(FIRST_SECOND) + F.shiftright("event_id", 1)
 
 
-def server() -> Column:
-    return F.concat(F.lit("srv-"), (F.col("user_id") % 5).cast("string"))
-
-
 def second_text(second: Column) -> Column:
     return F.date_format(F.timestamp_seconds(second), STRICT_TS_FORMAT)
 
@@ -57,16 +53,11 @@ def samples_of(rows: DataFrame, family: str, days: int = 1) -> DataFrame:
     event_id is the ingest position. With ``days`` above 1, events take turns
     to lie on that many days.
     """
-    numbers = _hundredths()
-    second = event_second()
+    second = f"{FIRST_SECOND} + shiftright(event_id, 1)"
     if days > 1:
-        second = second + F.col("event_id") % days * 86400
-    return _family_events(rows, family).select(
-        "event_id",
-        server().alias("server_id"),
-        second.alias("ts_sec"),
-        *((numbers[m] / 100.0).cast("float").alias(m) for m in FAMILY_METRICS[family]),
-    )
+        second += f" + event_id % {days} * 86400"
+    metrics = [f"CAST(({HUNDREDTHS[m]}) / 100.0D AS FLOAT) AS {m}" for m in FAMILY_METRICS[family]]
+    return _family_events(rows, family).selectExpr("event_id", SERVER, f"{second} AS ts_sec", *metrics)
 
 
 def rows_of(rows: DataFrame, family: str) -> DataFrame:
@@ -101,12 +92,7 @@ def dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.when(
         F.col("event_id") % 3 == 0, F.date_format(F.timestamp_seconds(second), "HH:mm:ss")
     ).otherwise(second_text(second))
-    numbers = {
-        m: F.concat(
-            (h / 100).cast("bigint").cast("string"), F.lit("."), F.lpad((h % 100).cast("string"), 2, "0")
-        ).alias(m)
-        for m, h in _hundredths().items()
-    }
-    return events(spark, sf_dir).select(
-        text.alias("ts"), server().alias("server_id"), *numbers.values(), "event_id"
-    )
+    metrics = [
+        F.expr(f"concat(({h}) DIV 100, '.', lpad(({h}) % 100, 2, '0')) AS {m}") for m, h in HUNDREDTHS.items()
+    ]
+    return events(spark, sf_dir).select(text.alias("ts"), F.expr(SERVER), *metrics, "event_id")
