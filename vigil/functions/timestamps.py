@@ -46,3 +46,9 @@ def epoch_second(ts: Column, mode: str) -> Column:
 def time_of_day(second: Column) -> Column:
     """HH:mm:ss of an epoch second in the session time zone; the date is lost."""
     return F.date_format(F.timestamp_seconds(second), fixed.TIME_OF_DAY_FORMAT)
+
+
+def second_of_day(second: Column) -> Column:
+    """The clock time behind ``time_of_day`` as seconds since midnight."""
+    ts = F.timestamp_seconds(second)
+    return F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)

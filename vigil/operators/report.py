@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from vigil import fixed_values as fixed
 from vigil.config import AlertRule
 from vigil.functions.alerts import alert_text
-from vigil.functions.timestamps import time_of_day
+from vigil.functions.timestamps import second_of_day, time_of_day
 from vigil.operators.windows import mean_and_max
 
 
@@ -47,17 +47,17 @@ def collapse_time_of_day(windows: DataFrame, size: int) -> DataFrame:
     """HH:mm:ss labels, and one row per server and label: the earliest window's.
 
     Windows of different days share a label, so a report over several days
-    loses windows this way; it exists for reports that carry no date.
+    loses windows this way; it exists for reports that carry no date. Rows are
+    grouped by the number behind the label, which is made for kept rows only.
     """
-    labelled = windows.withColumn("label", time_of_day(F.col("window_start")))
     names = [c for c in windows.columns if c not in ("server_id", "window_start", "window_end")]
     kept = [F.min_by(n, "window_start").alias(n) for n in names]
     return (
-        labelled.groupBy("server_id", "label")
+        windows.groupBy("server_id", second_of_day(F.col("window_start")).alias("second_of_day"))
         .agg(F.min("window_start").alias("first_start"), *kept)
         .select(
             "server_id",
-            F.col("label").alias("window_start"),
+            time_of_day(F.col("first_start")).alias("window_start"),
             time_of_day(F.col("first_start") + F.lit(size)).alias("window_end"),
             *names,
         )
@@ -72,7 +72,11 @@ def label_timestamps(windows: DataFrame) -> DataFrame:
 
 
 def sort_report(report: DataFrame) -> DataFrame:
-    """Total order by server and window start. The range shuffle splits a busy server."""
+    """Total order by server and window start. The range shuffle splits a busy server.
+
+    Finding the ranges runs the stage below once more, so sort a large report
+    after it is written, or write it by date, which needs no ranges.
+    """
     return report.orderBy("server_id", "window_start")
 
 

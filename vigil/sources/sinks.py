@@ -31,18 +31,18 @@ def counted(rows: DataFrame, counts: list[Column], write: Callable[[DataFrame],
 def write_report_by_date(report: DataFrame, path: str) -> dict[str, int]:
     """Parquet partitioned by the date of window_start, sorted within files.
 
-    Rows are ranged on date, server and start, so a date or server with most
-    of the rows is spread over many tasks and each task writes few dates.
-    Returns the counts of ``alert_summary``, taken while writing.
+    Rows are shuffled by date, where adaptive execution splits a date with much
+    data over several tasks and puts small dates together. Returns the counts of
+    ``alert_summary``, taken while writing.
     """
-    dated = report.withColumn("date", F.to_date("window_start"))
-    key = ["date", "server_id", "window_start"]
-    sorted_rows = dated.repartitionByRange(*key).sortWithinPartitions(*key)
+    dated = report.withColumn("date", F.to_date("window_start")).hint("rebalance", "date")
 
     def write(rows: DataFrame) -> None:
         rows.write.mode("overwrite").partitionBy("date").parquet(path)
 
-    return counted(sorted_rows, summary_counts(), write)
+    return counted(
+        dated.sortWithinPartitions("date", "server_id", "window_start"), summary_counts(), write
+    )
 
 
 def write_topics(records: DataFrame, servers: str) -> None:
