@@ -32,7 +32,7 @@ def write_files(folder, family, spans):
         lines = [
             record(s, f"srv-{v}", **metrics(s, v)[family == "mem"]) for s in span for v in range(2)
         ]
-        (folder / family / f"{i}-{span[0]}.json").write_text("\n".join(lines + ["garbage", lines[0]]))
+        (folder / family / f"{i}-{span[0]}.json").write_text("\n".join(lines + ["garbage", lines[0], '{"ts":"soon","server_id":"srv-0"}']))
 
 
 def stream(spark, folder, rule=CPU_MEM, window=SlidingWindow(origin=FIRST), families=("cpu", "mem")):

@@ -32,7 +32,7 @@ def brute_force(samples, size, slide, offset, clamp):
 
 def random_samples(seed, first, span):
     rng = random.Random(seed)
-    keys = {(f"s{rng.randrange(3)}", first + rng.randrange(span)) for _ in range(150)}
+    keys = {(f"s{rng.randrange(3)}", first + rng.randrange(span)) for _ in range(300)}
     return [(s, t, float(rng.randrange(100))) for s, t in sorted(keys)]
 
 
@@ -48,20 +48,32 @@ def aggregate_windows(frame, window, *columns):
 @pytest.mark.parametrize("size,slide,offset", CONFIGS)
 def test_windows_equal_brute_force(spark, size, slide, offset):
     for seed, first in ((size + slide, 1704150000), (offset, -173)):
-        samples = random_samples(seed, first, 200)
+        samples = random_samples(seed, first, 700)
         for clamp in (True, False):
             window = SlidingWindow(size, slide, offset, clamp=clamp, block=50)
             result = aggregate_windows(frame_of(spark, samples), window)
             assert rows(result) == brute_force(samples, size, slide, offset, clamp), (seed, clamp)
 
 
-@pytest.mark.parametrize("block", [1, 7, 10, 3600])
+@pytest.mark.parametrize("block", [1, 250, 333, 3600])
 def test_block_length_does_not_matter(spark, block):
-    samples = random_samples(block, 1704150000, 100)
+    samples = random_samples(block, 1704150000, 1500)
     result = aggregate_windows(frame_of(spark, samples), SlidingWindow(block=block))
     assert rows(result) == brute_force(samples, 30, 10, 0, True)
 
 
+def test_few_samples_go_to_two_blocks(spark):
+    frame = spark.range(86400).selectExpr("'s' server_id", "1704150000 + id ts_sec", "0f x")
+    for window in (SlidingWindow(), SlidingWindow(size=7200, slide=600)):
+        assert windows.spread_blocks(frame, window).count() <= 86400 * 9 / 8 + window.size
+    assert windows.spread_blocks(frame, SlidingWindow()).groupBy("block").count().agg({"count": "max"}).first()[0] == 3629
+
+
+def test_samples_without_a_second_are_in_no_window(spark):
+    frame = spark.createDataFrame([("s", None, 1.0), ("s", 5, 1.0)], "server_id string, ts_sec bigint, x float")
+    assert {r.ts_sec for r in assign_windows(frame, SlidingWindow()).collect()} == {5}
+
+
 @pytest.mark.parametrize("size,slide,offset", [c for c in CONFIGS if c[1] <= c[0]])
 def test_same_windows_as_the_built_in(spark, size, slide, offset):
     frame = frame_of(spark, random_samples(size, 1704150000, 200))

@@ -64,6 +64,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     job = jobs.add_parser("stream", help="records to a report, continuing from the last run")
     job.add_argument("report", choices=REPORTS)
     _record_source(job)
+    job.add_argument("--thresholds")
     _window(job)
     job.add_argument("--delay", default="1 minute")
     job.add_argument("--out", required=True)
@@ -144,6 +145,7 @@ def run_stream(spark: SparkSession, args: argparse.Namespace) -> None:
         side(families[1], rule.right),
         rule,
         SlidingWindow(args.window, args.slide, args.offset, origin=args.origin),
+        thresholds=read_thresholds(spark, args.thresholds).first().asDict() if args.thresholds else fixed.THRESHOLDS,
         delay=args.delay,
         order=order[0] if order else None,
     )

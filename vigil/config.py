@@ -13,8 +13,8 @@ class SlidingWindow:
 
     ``clamp`` drops windows that start before the slide step holding the first
     sample. ``origin`` is that sample's epoch second where the caller knows it;
-    otherwise it is computed in the same job. ``block`` is the span of window
-    starts that are aggregated together (see ``operators.windows``).
+    otherwise it is computed in the same job. ``block`` is the least span of
+    window starts that are aggregated together (see ``operators.windows``).
     """
 
     size: int = fixed.WINDOW_SECONDS
@@ -28,6 +28,11 @@ class SlidingWindow:
         if self.size < 1 or self.slide < 1 or self.block < 1:
             raise ValueError("size, slide and block must be positive whole seconds")
 
+    @property
+    def block_span(self) -> int:
+        """Blocks are long beside a window, so that few samples lie in reach of two."""
+        return max(self.block, 8 * self.size)
+
 
 @dataclass(frozen=True)
 class AlertRule:

@@ -5,7 +5,7 @@ window it lies in. Here each sample goes to the block of window starts it can
 belong to, one shuffle of about one copy per sample (two only within a window
 length of a block edge), and is spread over its windows after that shuffle.
 A (server, block) group is bounded: with one row per second it holds at most
-block + size rows, however busy the server.
+block_span + size rows, however busy the server.
 
 Within a block, samples are first summed up by pane, the longest step that
 divides both window and slide, so that overlapping windows add up panes instead
@@ -49,9 +49,9 @@ def spread_blocks(samples: DataFrame, window: SlidingWindow) -> DataFrame:
     """Shuffle samples to the blocks of window starts they can belong to."""
     second = F.col("ts_sec")
     blocks = F.sequence(
-        _step_down(second - F.lit(window.size - 1), window.block),
-        _step_down(second, window.block),
-        F.lit(window.block),
+        _step_down(second - F.lit(window.size - 1), window.block_span),
+        _step_down(second, window.block_span),
+        F.lit(window.block_span),
     )
     return samples.withColumn("block", F.explode(blocks)).repartition("server_id", "block")
 
@@ -103,7 +103,7 @@ def aggregate_windows(
         summed = True
     windows = (
         assign_windows(rows, window)
-        .where(_step_down(F.col("window_start"), window.block) == F.col("block"))
+        .where(_step_down(F.col("window_start"), window.block_span) == F.col("block"))
         .groupBy("server_id", "block", "window_start")
         .agg(*_sums(metrics, summed))
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 
@@ -61,12 +62,18 @@ def report(
     thresholds: Thresholds = fixed.THRESHOLDS,
     order: list[str] | None = None,
     labels: str = "timestamp",
+    duplicates: str | None = None,
 ) -> DataFrame:
     """Window statistics with alert text.
 
+    ``duplicates`` replaces the rule's treatment of repeated samples: raw records
+    instead of snapshots are reported right with "first".
+
     ``labels`` is "timestamp", "epoch" (seconds) or "time_of_day" (HH:mm:ss
     text, one row per server and label).
     """
+    if duplicates:
+        rule = replace(rule, duplicates=duplicates)
     windows = window_statistics(left, right, rule, window, order)
     if labels == "time_of_day":
         windows = collapse_time_of_day(windows, window.size)

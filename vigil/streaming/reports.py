@@ -35,7 +35,7 @@ def _unique(samples: DataFrame, metric: str, delay: str, order: str | None) -> D
     once the watermark has passed the second. Without it the first to arrive is
     kept at once.
     """
-    marked = samples.where(F.col("server_id").isNotNull()).withWatermark("ts", delay)
+    marked = samples.dropna(subset=["server_id", "ts"]).withWatermark("ts", delay)
     if order is None:
         return marked.select("server_id", "ts", metric).dropDuplicatesWithinWatermark(["server_id", "ts"])
     return marked.groupBy("server_id", "ts").agg(F.min_by(metric, order).alias(metric))

@@ -310,6 +310,7 @@ QUALIFY row_number() OVER (PARTITION BY server_id, ts_sec ORDER BY net_in, net_o
     "net_disk_alerts_dup": _net_disk(EPOCH_REPORT, unique=False),
     "cpu_mem_from_records": _cpu_mem(EPOCH_REPORT),
     "net_disk_from_records": _net_disk(EPOCH_REPORT),
+    "net_disk_from_snapshots": _net_disk(EPOCH_REPORT),
     "alert_null_semantics": _pairs(
         "CASE WHEN event_id % 3 <> 0 THEN CAST(cpu_pct AS DOUBLE) END",
         "CASE WHEN event_id % 5 <> 0 THEN CAST(cpu_pct AS DOUBLE) / 2 + 45 END",

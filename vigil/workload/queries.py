@@ -21,16 +21,14 @@ from vigil.operators.report import alert_rows, alert_summary, sort_report
 from vigil.plans.reports import cpu_mem_report, net_disk_report, report, window_statistics
 from vigil.plans.snapshots import decode_family, raw_snapshot
 from vigil.schemas import family_schema
-from vigil.sources.sinks import write_csv
+from vigil.sources.sinks import write_csv, write_parquet
 from vigil.sources.storage import job_folder
-from vigil.sources.tables import read_csv
+from vigil.sources.tables import read_csv, read_snapshot_parquet
 from vigil.sources.thresholds import threshold_table as thresholds_from_lines
 from vigil.streaming.reports import stream_report, stream_samples, write_available
 from vigil.workload import telemetry as tel
 
 ORDER = ["event_id"]
-# Telemetry samples repeat within a second; the snapshots keep the first.
-NET_DISK_FIRST = replace(NET_DISK, duplicates="first")
 
 
 def _samples(spark, sf_dir, *families, days=1):
@@ -54,7 +52,7 @@ def _cpu_mem(spark, sf_dir, **settings):
 
 def _net_disk(spark, sf_dir, **settings):
     net, disk = _samples(spark, sf_dir, "net", "disk")
-    return report(net, disk, NET_DISK_FIRST, order=ORDER, labels="epoch", **settings)
+    return report(net, disk, NET_DISK, order=ORDER, labels="epoch", duplicates="first", **settings)
 
 
 # Sources, decoding, fan-out
@@ -260,7 +258,7 @@ def cpu_mem_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def net_disk_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     net, disk = _samples(spark, sf_dir, "net", "disk")
-    return window_statistics(net, disk, NET_DISK_FIRST, order=ORDER)
+    return window_statistics(net, disk, replace(NET_DISK, duplicates="first"), order=ORDER)
 
 
 # Alerts and reports
@@ -292,13 +290,19 @@ def cpu_mem_from_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def net_disk_from_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JSON records to snapshots without repeats to alerts in one plan."""
+    """The same for network and disk, repeats dropped in the join."""
     net, disk = (
-        first_per_key(
-            decode_family(tel.family_records(spark, sf_dir, f), f, ORDER), ["server_id", "ts"], ORDER
-        )
-        for f in ("net", "disk")
+        decode_family(tel.family_records(spark, sf_dir, f), f, ORDER) for f in ("net", "disk")
     )
+    return _epoch(net_disk_report(net, disk, ORDER, duplicates="first"))
+
+
+def net_disk_from_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshots written and read back, then reported on as they are."""
+    folder = job_folder(spark, "net-disk-snapshots")
+    for family in ("net", "disk"):
+        write_parquet(raw_snapshot(tel.family_rows(spark, sf_dir, family), family, ORDER), f"{folder}/{family}")
+    net, disk = (read_snapshot_parquet(spark, f"{folder}/{f}", f) for f in ("net", "disk"))
     return _epoch(net_disk_report(net, disk))
 
 
@@ -447,6 +451,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         net_disk_alerts_dup,
         cpu_mem_from_records,
         net_disk_from_records,
+        net_disk_from_snapshots,
         alert_null_semantics,
         alert_boundary,
         alert_rows_query,
