@@ -57,7 +57,7 @@ def test_reports(spark, place, report, left, right):
 
 
 def test_stream_agrees_with_the_report(spark, place):
-    words = ["--records", "@topics", "--origin", str(FIRST), "--delay", "10 seconds", "--thresholds", "@limits"]
+    words = ["--records", "@topics", "--origin", str(FIRST), "--delay", "10 seconds", "--thresholds", "@limits", "--per-batch", "2"]
     job(spark, place, "stream", "cpu_mem", *words, "--out", "@stream", "--checkpoint", "@state")
     job(spark, place, "report", "cpu_mem", "--left", "@cpu.parquet", "--right", "@mem.parquet", "--thresholds", "@limits", "--out", "@batch")
     batch = spark.read.parquet(f"{place}/batch").where(F.unix_seconds("window_end") <= FIRST + 99 - 10)

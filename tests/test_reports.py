@@ -48,6 +48,15 @@ def test_net_disk_report_pairs_repeats(spark):
     assert [r.avg_net_in for r in once] == [10.0]
 
 
+def test_hot_key_makes_no_pairs(spark):
+    """30,000 copies of one second on each side would join into 900 million pairs."""
+    copies = spark.range(30000)
+    net = copies.selectExpr("'s' server_id", f"{TEN} ts_sec", "cast(id % 10 as float) net_in")
+    disk = copies.selectExpr("'s' server_id", f"{TEN} ts_sec", "cast(id % 100 as float) disk_io")
+    row = report(net, disk, NET_DISK, labels="epoch").first()
+    assert (row.avg_net_in, row.avg_disk_io, row.max_net_in, row.max_disk_io) == (4.5, 49.5, 9.0, 99.0)
+
+
 def test_null_metrics(spark):
     key = "2025-10-20 10:00:00"
     cpu = spark.createDataFrame([(key, "s", 99.0)], CPU)

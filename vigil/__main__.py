@@ -44,6 +44,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     job = jobs.add_parser("snapshot", help="records of a family to a table without repeats")
     job.add_argument("family", choices=fixed.FAMILY_METRICS)
     _record_source(job)
+    job.add_argument("--min-partitions", type=int, help="least number of read tasks per topic")
     job.add_argument("--out", required=True)
     job.add_argument("--format", choices=["csv", "parquet"], default="parquet")
     job.add_argument("--keep-undecodable", action="store_true")
@@ -67,6 +68,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     job.add_argument("--thresholds")
     _window(job)
     job.add_argument("--delay", default="1 minute")
+    job.add_argument("--per-batch", type=int, help="most records (topics) or files read per batch")
     job.add_argument("--out", required=True)
     job.add_argument("--checkpoint", required=True)
     job.add_argument("--state-partitions", type=int, help="fixed by the first run")
@@ -98,7 +100,7 @@ def run_snapshot(spark: SparkSession, args: argparse.Namespace) -> None:
     topic = fixed.TOPICS[args.family]
     order = records.TOPIC_ORDER if args.servers else None
     if args.servers:
-        source = records.read_topic(spark, args.servers, topic)
+        source = records.read_topic(spark, args.servers, topic, args.min_partitions)
     else:
         source = records.read_record_files(spark, records.topic_directory(args.records, topic))
     rows = decode_family(source, args.family, order)
@@ -134,9 +136,10 @@ def run_stream(spark: SparkSession, args: argparse.Namespace) -> None:
     def side(family: str, metric: str) -> DataFrame:
         topic = fixed.TOPICS[family]
         if args.servers:
-            source = records.stream_topic(spark, args.servers, topic)
+            source = records.stream_topic(spark, args.servers, topic, args.per_batch)
         else:
-            source = records.stream_record_files(spark, records.topic_directory(args.records, topic))
+            folder = records.topic_directory(args.records, topic)
+            source = records.stream_record_files(spark, folder, args.per_batch)
         rows = decode_family(source, family, order)
         return stream_samples(rows, metric, rule.timestamps, order[0] if order else None)
 
