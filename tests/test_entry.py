@@ -48,7 +48,9 @@ def test_query_equals_sql(spark, duck, name):
 
 
 def test_contract(spark):
-    assert contract.queries().keys() == contract.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLE.keys()
+    assert QUERIES.items() <= contract.queries().items()
+    assert contract.oracle_sql().keys() <= contract.queries().keys()
     assert contract.entry(spark).count() == 250
 
 
