@@ -14,3 +14,22 @@ g AS (
 )
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g
 """
+
+LLM_ORACLE["op7_embedding_dedup"] = r"""
+WITH RECURSIVE e AS (
+    SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+    WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+link AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM e a JOIN e b ON a.label = b.label AND a.vec_id <> b.vec_id
+    WHERE len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.98
+),
+reach(a, b) AS (
+    SELECT vec_id, vec_id FROM embeddings
+    UNION
+    SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a
+),
+c AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT c.vec_id, (SELECT count(*) FROM link WHERE link.a = c.vec_id) AS n_links, component_id, c.vec_id = component_id AS kept FROM c
+"""

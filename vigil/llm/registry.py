@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from vigil.llm.embedding_dedup import embedding_groups
 from vigil.llm.exact_dedup import exact_groups
+from vigil.llm.html_text import extract_text
 from vigil.llm.license_scan import scan_licenses
 from vigil.llm.mixing import mix_sources
 from vigil.llm.oracle import LLM_ORACLE
+from vigil.llm.packing import pack_documents
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,10 +23,22 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(_table(spark, sf_dir, "documents")).drop("detections")
 
 
+def op3_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_table(spark, sf_dir, "documents"))
+
+
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(_table(spark, sf_dir, "pages"))
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_groups(_table(spark, sf_dir, "embeddings"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_table(spark, sf_dir, "documents"))
 
@@ -32,7 +47,10 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_license_scan,
+        op3_best_two_fit,
+        op5_main_text,
         op6_mix_sources,
+        op7_embedding_dedup,
         op10_exact_dedup,
     )
 }
