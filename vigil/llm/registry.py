@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vigil.llm.embedding_dedup import embedding_groups
 from vigil.llm.exact_dedup import exact_groups
@@ -13,6 +13,7 @@ from vigil.llm.license_scan import scan_licenses
 from vigil.llm.mixing import mix_sources
 from vigil.llm.oracle import LLM_ORACLE
 from vigil.llm.packing import pack_documents
+from vigil.llm.toxicity import held_out_fold, score_toxicity, train_toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +40,13 @@ def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_groups(_table(spark, sf_dir, "embeddings"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = train_toxicity(docs, _table(spark, sf_dir, "labels"))
+    scored = score_toxicity(docs, model)
+    return scored.select("doc_id", F.coalesce(held_out_fold(), F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_table(spark, sf_dir, "documents"))
 
@@ -51,6 +59,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_main_text,
         op6_mix_sources,
         op7_embedding_dedup,
+        op8_toxicity,
         op10_exact_dedup,
     )
 }
