@@ -11,6 +11,7 @@ from vigil.llm.exact_dedup import exact_groups
 from vigil.llm.html_text import extract_text
 from vigil.llm.license_scan import scan_licenses
 from vigil.llm.mixing import mix_sources
+from vigil.llm.near_dedup import near_groups
 from vigil.llm.oracle import LLM_ORACLE
 from vigil.llm.packing import pack_documents
 from vigil.llm.toxicity import held_out_fold, score_toxicity, train_toxicity
@@ -24,6 +25,10 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(_table(spark, sf_dir, "documents")).drop("detections")
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(_table(spark, sf_dir, "documents"))
+
+
 def op3_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"))
 
@@ -55,6 +60,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_license_scan,
+        op2_near_dedup,
         op3_best_two_fit,
         op5_main_text,
         op6_mix_sources,
