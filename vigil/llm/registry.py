@@ -14,6 +14,7 @@ from vigil.llm.mixing import mix_sources
 from vigil.llm.near_dedup import near_groups
 from vigil.llm.oracle import LLM_ORACLE
 from vigil.llm.packing import pack_documents
+from vigil.llm.personal_data import find_personal_data, train_skip_chain
 from vigil.llm.toxicity import held_out_fold, score_toxicity, train_toxicity
 
 
@@ -33,6 +34,11 @@ def op3_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return find_personal_data(docs, train_skip_chain(docs))
+
+
 def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(_table(spark, sf_dir, "pages"))
 
@@ -62,6 +68,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_license_scan,
         op2_near_dedup,
         op3_best_two_fit,
+        op4_personal_data,
         op5_main_text,
         op6_mix_sources,
         op7_embedding_dedup,
