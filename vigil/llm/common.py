@@ -9,6 +9,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 U64 = np.uint64
+#: A set of ids is broadcast up to this many rows (8 bytes each); beyond, both sides are shuffled.
+BROADCAST_ROWS = 400_000
 BASE = 0x9E3779B97F4A7C15 | 1
 
 
@@ -41,6 +43,14 @@ def text_of(column: str | Column) -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 
 
+def by_ids(rows: DataFrame, column: str, ids: DataFrame, how: str) -> DataFrame:
+    """Left semi or left anti join of rows with a written table of one column of ids; null equals null."""
+    keys = ids.toDF("id of the other side")
+    if keys.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        keys = F.broadcast(keys)
+    return rows.join(keys, rows[column].eqNullSafe(keys["id of the other side"]), how)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (splitmix64), elementwise."""
     x = x.astype(U64, copy=True)

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from vigil.llm.common import shuffle_partitions, text_of, written
+from vigil.llm.common import by_ids, shuffle_partitions, text_of, written
 
 BLANKS = r"[\x20\x09-\x0D]+"
 
@@ -80,13 +80,25 @@ def exact_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_exact_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that stay, with all their columns; a row repeated with its id stays once."""
+    """The rows of docs that stay, with all their columns; a row repeated with its id and text stays once."""
     groups = written(exact_groups(docs, id_col=id_col, text_col=text_col), "groups")
-    kept = groups.where("kept").select(F.col("doc_id").alias(id_col))
-    repeated = groups.where(F.col("doc_id") == F.col("keep_id")).groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias(id_col))
-    single = docs.join(kept, docs[id_col].eqNullSafe(kept[id_col]), "left_semi")
+    repeated = written(groups.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").select("doc_id"), "repeated")
+    gone = written(by_ids(groups.where("NOT kept"), "doc_id", repeated, "left_anti").select("doc_id"), "gone")
+    single = by_ids(by_ids(docs, id_col, gone, "left_anti"), id_col, repeated, "left_anti")
     if repeated.limit(1).count() == 0:
         return single
-    return single.join(repeated, id_col, "left_anti").unionByName(
-        single.join(repeated, id_col, "left_semi").dropDuplicates([id_col])
+    # rows whose id does not tell them apart: by id and digest, of equal ones the longest
+    rows = by_ids(docs, id_col, repeated, "left_semi").select(
+        F.struct("*").alias("row"),
+        F.col(id_col).alias("doc_id"),
+        F.sha2(F.encode(normalised(text_col), "UTF-8"), 256).alias("text_sha256"),
+        F.length(text_of(text_col)).alias("n_chars"),
     )
+    kept = groups.where("kept").select(F.col("doc_id").alias("kept_id"), F.col("text_sha256").alias("kept_sha256"))
+    of_text = Window.partitionBy("doc_id", "text_sha256").orderBy(F.desc("n_chars"))
+    first = (
+        rows.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("text_sha256") == F.col("kept_sha256")), "left_semi")
+        .withColumn("number", F.row_number().over(of_text))
+        .where("number = 1")
+    )
+    return single.unionByName(first.select("row.*"))

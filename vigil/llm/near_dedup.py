@@ -8,10 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from vigil.llm.common import BASE, U64, components, mix, text_of, uniform, written
-
-#: A set of ids is broadcast up to this many rows (8 bytes each); beyond, both sides are shuffled.
-BROADCAST_ROWS = 400_000
+from vigil.llm.common import BASE, U64, by_ids, components, mix, text_of, uniform, written
 
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
@@ -124,13 +121,6 @@ def _class_keys(whose: np.ndarray, element: np.ndarray, count: np.ndarray, n: in
         return mix(total[last] - total[last - sizes] + sizes.astype(U64) * U64(BASE)).view(np.int64)
 
 
-def _semi(rows: DataFrame, keys: DataFrame, column: str) -> DataFrame:
-    """Rows whose column is among keys, a written table without repeats."""
-    if keys.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        keys = F.broadcast(keys)
-    return rows.join(keys, column, "left_semi")
-
-
 def near_groups(
     docs: DataFrame,
     *,
@@ -269,7 +259,7 @@ def _bags(texts: DataFrame, wanted: DataFrame, classes: DataFrame, words: int) -
                     }
                 )
 
-    bags = _semi(texts, ids, "doc_id").mapInPandas(bag, "class long, elements binary, counts binary")
+    bags = by_ids(texts, "doc_id", ids, "left_semi").mapInPandas(bag, "class long, elements binary, counts binary")
     return bags.join(wanted, "class", "left_semi").dropDuplicates(["class"])
 
 
@@ -294,9 +284,10 @@ def _verified(pairs: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
 
 
 def drop_near_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that stay, with their columns: of each group the smallest id, once."""
+    """The rows of docs that stay, with their columns: of each group the one with the smallest id.
+
+    An id that repeats with other texts stays if it does with one of them.
+    """
     groups = near_groups(docs, id_col=id_col, text_col=text_col)
-    gone = written(groups.where("NOT kept").select(F.col("doc_id").alias(id_col)).distinct(), "gone")
-    if gone.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        gone = F.broadcast(gone)
-    return docs.join(gone, id_col, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    gone = groups.groupBy("doc_id").agg(F.max("kept").alias("kept")).where("NOT kept").select("doc_id")
+    return by_ids(docs, id_col, written(gone, "gone"), "left_anti")

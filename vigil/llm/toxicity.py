@@ -338,4 +338,5 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, *, id_col: str = "doc_
 def drop_toxic(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that are not predicted toxic, with their columns."""
     model = train_toxicity(docs, labels, id_col=id_col, text_col=text_col)
-    return score_toxicity(docs, model, id_col=id_col, text_col=text_col).where("predicted = 0").select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text"))
+    return score_toxicity(rows, model).where("predicted = 0").select("row.*")
