@@ -15,6 +15,7 @@ from vigil.llm.near_dedup import near_groups
 from vigil.llm.oracle import LLM_ORACLE
 from vigil.llm.packing import pack_documents
 from vigil.llm.personal_data import find_personal_data, train_skip_chain
+from vigil.llm.substring_dedup import repeated_spans
 from vigil.llm.toxicity import held_out_fold, score_toxicity, train_toxicity
 
 
@@ -58,6 +59,13 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(held_out_fold(), F.lit(False)).alias("held_out"), "score", "predicted")
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return repeated_spans(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), "kept_sha256"
+    )
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_table(spark, sf_dir, "documents"))
 
@@ -73,6 +81,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_mix_sources,
         op7_embedding_dedup,
         op8_toxicity,
+        op9_suffix_dedup,
         op10_exact_dedup,
     )
 }
