@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vigil.llm.common import written
+from vigil.llm.common import package_on_workers, written
 from vigil.llm.exact_dedup import drop_exact_copies
 from vigil.llm.mixing import mix_sources
 from vigil.llm.near_dedup import drop_near_copies
@@ -70,6 +70,7 @@ ORACLE_SQL: str | None = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents."""
+    package_on_workers(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name)

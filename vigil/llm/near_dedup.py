@@ -111,6 +111,27 @@ def probability_jaccard(elements_a: np.ndarray, weights_a: np.ndarray, elements_
     return float(np.sum(1 / ((above_a + only_a) / a + (below_b + only_b) / b)))
 
 
+def chunks(sizes: list[int], most: int, room: int) -> Iterator[slice]:
+    """Slices of at most `most` texts and, unless one is larger, `room` characters."""
+    begin, held = 0, 0
+    for i, size in enumerate(sizes):
+        if i > begin and (i - begin == most or held + size > room):
+            yield slice(begin, i)
+            begin, held = i, 0
+        held += size
+    if sizes:
+        yield slice(begin, len(sizes))
+
+
+def band_keys(signature: np.ndarray, bands: int) -> np.ndarray:
+    """A 64-bit key per row and band of a signature; band b has every registers / bands-th register from b on."""
+    with np.errstate(over="ignore"):
+        key = np.broadcast_to(mix(np.arange(1, bands + 1, dtype=U64)), (len(signature), bands)).copy()
+        for r in range(signature.shape[1] // bands):
+            key = mix(key * U64(BASE) + signature[:, r * bands : (r + 1) * bands])
+    return key.view(np.int64)
+
+
 def _class_keys(whose: np.ndarray, element: np.ndarray, count: np.ndarray, n: int) -> np.ndarray:
     """A 64-bit hash of each text's bag of shingles."""
     with np.errstate(over="ignore"):
@@ -130,7 +151,9 @@ def near_groups(
     threshold: float = 0.8,
     bands: int = 32,
     rows_per_band: int = 6,
-    star_rounds: int = 3,
+    star_rounds: int = 2,
+    sketch_registers: int = 768,
+    block_rows: int = 512,
 ) -> DataFrame:
     """Per row: doc_id, class_id, group_id, group_size, kept.
 
@@ -140,35 +163,31 @@ def near_groups(
     (a pair at 0.8 is missed in all bands once in 15,000 times), each verified
     on the whole bags. group_id is the smallest id reachable by links.
 
-    A bucket never yields all its pairs: its classes are first compared with
-    one centre, another one in each of `star_rounds` rounds, and pairs already
-    in one component are dropped; only what then still spans several components
-    is compared pair by pair, so no link between components is lost.
+    A bucket's classes are first compared with centres only (`_by_stars`), and
+    buckets within one component are done. Members of the others are compared
+    pair by pair by longer sketches inside tasks (`_alike`); what agrees there
+    and still is of several components is verified, so no link between
+    components is lost to the shortcut.
 
     Null, empty and blank texts and rows without an id link with nothing: null
     class_id, group_id their own id. Rows that repeat an id and text are one
     class; an id repeated with other texts belongs to several classes and gets
     each one's group. Other columns are not read; an empty table gives no rows.
     """
-    registers = bands * rows_per_band
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for at in range(0, len(batch), 128):
-                part = batch.iloc[at : at + 128]
+            for piece in chunks([len(t) for t in batch["text"]], 128, 400_000):
+                part = batch.iloc[piece]
                 whose, element, count = shingles(list(part["text"]), words)
                 there = np.unique(whose)
-                signature = prob_min_hash(np.searchsorted(there, whose), element, count.astype(float), len(there), registers)
-                with np.errstate(over="ignore"):
-                    key = np.broadcast_to(mix(np.arange(1, bands + 1, dtype=U64)), (len(there), bands)).copy()
-                    for r in range(rows_per_band):
-                        key = mix(key * U64(BASE) + signature[:, r::rows_per_band])
+                signature = prob_min_hash(np.searchsorted(there, whose), element, count.astype(float), len(there), bands * rows_per_band)
                 frame = pd.DataFrame(
                     {
                         "doc_id": part["doc_id"].to_numpy()[there],
                         "class": _class_keys(whose, element, count, len(part))[there],
-                        "band": list(key.view(np.int64)),
+                        "band": list(band_keys(signature, bands)),
                     }
                 )
                 yield frame
@@ -182,31 +201,14 @@ def near_groups(
         .dropDuplicates(["class"])
         .select("class", F.explode("band").alias("bucket"))
     )
-    buckets = written(spread, "buckets")
-    shared = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    members = written(buckets.join(shared, "bucket"), "members")
-
+    members = _members(written(spread, "buckets"))
     bags = written(_bags(texts, members.select("class").distinct(), classes, words), "bags")
-    links = written(_verified(_star(members.withColumn("component", F.col("class")), 0), bags, threshold), "links")
-    tested_links = links
-    for turn in range(1, star_rounds + 1):
-        reached = components(tested_links.select("a", "b"), members.select(F.col("class").alias("v")).distinct())
-        open_members = _open(members, reached)
-        if open_members.limit(1).count() == 0:
-            break
-        if turn < star_rounds:
-            pairs = _star(open_members, turn)
-        else:
-            other = open_members.select("bucket", F.col("class").alias("b"), F.col("component").alias("component_b"))
-            pairs = (
-                open_members.withColumnRenamed("class", "a")
-                .join(other, "bucket")
-                .where((F.col("a") < F.col("b")) & (F.col("component") != F.col("component_b")))
-                .select("a", "b")
-                .distinct()
-            )
-        tested_links = written(tested_links.unionByName(_verified(pairs, bags, threshold)), "links")
-    groups = written(components(tested_links, classes.select(F.col("class").alias("v"))), "components")
+    alone = members.select(F.col("class").alias("v"), F.col("class").alias("component")).distinct()
+    links, open_members = _by_stars(members, alone, bags, threshold, star_rounds)
+    if open_members.limit(1).count():
+        alike = written(_alike(open_members, bags, threshold, sketch_registers, block_rows), "pairs")
+        links = links.unionByName(written(_verified(alike, bags, threshold), "links"))
+    groups = written(components(links, classes.select(F.col("class").alias("v"))), "components")
     named = groups.join(classes.withColumnRenamed("class", "v"), "v")
     totals = named.groupBy("component").agg(F.min("class_id").alias("group_id"), F.sum("size").alias("group_size"))
     known = named.join(totals, "component").select(F.col("v").alias("class"), "class_id", "group_id", "group_size")
@@ -217,6 +219,47 @@ def near_groups(
     return found.unionByName(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("group_id"), F.lit(True)))
 
 
+def _members(buckets: DataFrame) -> DataFrame:
+    """(bucket, class, degree) for buckets of several classes; degree: how many others the class meets in all."""
+    shared = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    met = written(buckets.join(shared, "bucket"), "members")
+    degrees = met.groupBy("class").agg(F.sum(F.col("n") - 1).alias("degree"))
+    return written(met.drop("n").join(degrees, "class"), "members")
+
+
+def _by_stars(
+    members: DataFrame, reached: DataFrame, bags: DataFrame, threshold: float, rounds: int
+) -> tuple[DataFrame, DataFrame]:
+    """Links found with the centres of buckets, and the members of buckets that still span several components.
+
+    In each round a bucket's centre is the member with the highest degree, in
+    later rounds one outside the component of the last centre; it is compared
+    with the bucket's members of other components.
+    """
+    links = None
+    left = _open(members, reached)
+    for turn in range(rounds):
+        if left.limit(1).count() == 0:
+            break
+        best = F.max_by(F.struct("class", "component"), F.struct("degree", "class"))
+        centres = left.groupBy("bucket").agg(best.alias("centre"))
+        if turn:
+            outside = left.join(centres, "bucket").where(F.col("component") != F.col("centre.component"))
+            centres = outside.groupBy("bucket").agg(best.alias("centre"))
+        pairs = (
+            left.join(centres, "bucket")
+            .where(F.col("component") != F.col("centre.component"))
+            .select(F.least("class", "centre.class").alias("a"), F.greatest("class", "centre.class").alias("b"))
+            .distinct()
+        )
+        found = written(_verified(pairs, bags, threshold), "links")
+        links = found if links is None else links.unionByName(found)
+        before = reached.select(F.col("v").alias("a"), F.col("component").alias("b"))
+        reached = components(links.unionByName(before), members.select(F.col("class").alias("v")).distinct())
+        left = _open(members, written(reached, "reached"))
+    return links if links is not None else bags.sparkSession.createDataFrame([], "a long, b long"), left
+
+
 def _open(members: DataFrame, reached: DataFrame) -> DataFrame:
     """Members, with their component, of the buckets that span several."""
     with_component = written(members.join(reached.select(F.col("v").alias("class"), "component"), "class"), "members")
@@ -229,13 +272,68 @@ def _open(members: DataFrame, reached: DataFrame) -> DataFrame:
     return written(with_component.join(several, "bucket"), "members")
 
 
-def _star(members: DataFrame, turn: int) -> DataFrame:
-    """Pairs of each bucket's members with its centre, unless both are of one component."""
-    centres = members.groupBy("bucket").agg(F.min_by(F.struct("class", "component"), F.xxhash64(F.lit(turn), "class")).alias("centre"))
+def _alike(members: DataFrame, bags: DataFrame, threshold: float, registers: int, block_rows: int) -> DataFrame:
+    """Pairs of a bucket's classes, of different components, whose sketches are alike.
+
+    A sketch is a byte of each of many registers. Two at the threshold agree in
+    fewer places than 4.5 standard deviations below it once in 300,000 times.
+    Members of a bucket are compared within a task, `block_rows` at a time: a
+    larger bucket is dealt by hash to blocks, each pair of which is a unit of
+    its own. Only pairs that may be links leave the task.
+    """
+    least = registers * (threshold - 4.5 * (threshold * (1 - threshold) / registers) ** 0.5)
+
+    def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for piece in chunks([len(e) for e in batch["elements"]], 64, 400_000):
+                part = batch.iloc[piece]
+                element = [np.frombuffer(e, "<u8") for e in part["elements"]]
+                count = np.concatenate([np.frombuffer(c, "<u4") for c in part["counts"]]).astype(float)
+                whose = np.repeat(np.arange(len(part)), [len(e) for e in element])
+                signature = prob_min_hash(whose, mix(np.concatenate(element)), count, len(part), registers)
+                rows = (signature >> U64(56)).astype(np.uint8)
+                yield pd.DataFrame({"class": part["class"].to_numpy(), "sketch": [row.tobytes() for row in rows]})
+
+    sketches = written(
+        bags.join(members.select("class").distinct(), "class", "left_semi").mapInPandas(sketch, "class long, sketch binary"), "sketches"
+    )
+    blocks = members.groupBy("bucket").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("blocks"))
+    dealt = members.join(blocks, "bucket").withColumn("own", F.pmod(F.xxhash64("class"), "blocks").cast("int"))
+    units = dealt.select(
+        "bucket", "class", "component", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    ).select("bucket", "class", "component", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    keys = ["bucket", "i", "j"]
+
+    def compare(unit: pd.DataFrame) -> pd.DataFrame:
+        rows = np.frombuffer(b"".join(unit["sketch"]), np.uint8).reshape(len(unit), registers)
+        names, component, own = (unit[c].to_numpy() for c in ("class", "component", "own"))
+        within = unit["i"].iloc[0] == unit["j"].iloc[0]
+        pairs = []
+        for k in range(len(unit) - 1):
+            others = component[k + 1 :] != component[k]
+            if not within:
+                others &= own[k + 1 :] != own[k]
+            others = np.flatnonzero(others) + k + 1
+            near = others[(rows[others] == rows[k]).sum(axis=1) >= least]
+            pairs += [(min(names[k], names[o]), max(names[k], names[o])) for o in near]
+        return pd.DataFrame(pairs, columns=["a", "b"], dtype="int64")
+
+    def compare_units(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+        for batch in batches:
+            for _, part in batch.groupby(keys, sort=False):
+                if held and tuple(held[0][keys].iloc[0]) != tuple(part[keys].iloc[0]):
+                    yield compare(pd.concat(held))
+                    held = []
+                held.append(part)
+        if held:
+            yield compare(pd.concat(held))
+
     return (
-        members.join(centres, "bucket")
-        .where(F.col("component") != F.col("centre.component"))
-        .select(F.least("class", "centre.class").alias("a"), F.greatest("class", "centre.class").alias("b"))
+        units.join(sketches, "class")
+        .repartition(*keys)
+        .sortWithinPartitions(*keys)
+        .mapInPandas(compare_units, "a long, b long")
         .distinct()
     )
 
@@ -246,8 +344,8 @@ def _bags(texts: DataFrame, wanted: DataFrame, classes: DataFrame, words: int) -
 
     def bag(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for at in range(0, len(batch), 128):
-                part = batch.iloc[at : at + 128]
+            for piece in chunks([len(t) for t in batch["text"]], 128, 400_000):
+                part = batch.iloc[piece]
                 whose, element, count = shingles(list(part["text"]), words)
                 last = np.cumsum(np.bincount(whose, minlength=len(part)))
                 cut = lambda x, kind: [p.astype(kind).tobytes() for p in np.split(x, last[:-1])]

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from vigil.llm.common import package_on_workers
 from vigil.llm.embedding_dedup import embedding_groups
 from vigil.llm.exact_dedup import exact_groups
 from vigil.llm.html_text import extract_text
@@ -20,6 +21,7 @@ from vigil.llm.toxicity import held_out_fold, score_toxicity, train_toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    package_on_workers(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
