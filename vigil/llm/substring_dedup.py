@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -24,6 +25,8 @@ from vigil.llm.suffix_groups import suffix_array
 HOT = 4000
 #: Text bytes in a group of documents or, roughly, of anchors that one task holds at a time.
 GROUP_BYTES = 8_000_000
+#: Bytes hashed at a time; places in them fit into 16 bits.
+SEGMENT = 1 << 16
 #: Symbols sorted at a time, unless one anchor's surroundings are more.
 SORTED_AT_ONCE = 200_000
 
@@ -37,32 +40,58 @@ def surroundings(reach: int) -> np.dtype:
     return np.dtype([("anchor", "<u8"), ("key", "<i8"), ("doc", "<i8"), ("at", "<i8"), ("n_left", "u1"), ("n_right", "u1"), *sides])
 
 
+@lru_cache(maxsize=4)
+def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number and of its inverse modulo 2**64."""
+    with np.errstate(over="ignore"):
+        return tuple(np.cumprod(np.concatenate(([U64(1)], np.full(n - 1, b, U64)))) for b in (base, pow(base, -1, 1 << 64)))
+
+
+@lru_cache(maxsize=4)
+def _byte_numbers(salt: int) -> np.ndarray:
+    return mix(np.arange(1, 257, dtype=U64) + U64(1000 * salt))
+
+
 def gram_hashes(raw: np.ndarray, gram: int, salt: int = 0) -> np.ndarray:
-    """A hash of the `gram` bytes from each place on (gram - 1 places fewer): differences of prefix sums."""
-    base = BASE + 2 * salt
+    """A hash of the `gram` bytes from each place on (gram - 1 places fewer): differences of prefix sums.
+
+    raw has at most SEGMENT bytes.
+    """
+    powers, inverse = _powers(BASE + 2 * salt, SEGMENT)
     with np.errstate(over="ignore"):
-        powers = np.cumprod(np.concatenate(([U64(1)], np.full(len(raw), base, U64))))
-        inverse = np.cumprod(np.concatenate(([U64(1)], np.full(len(raw), pow(base, -1, 1 << 64), U64))))
-        table = mix(np.arange(1, 257, dtype=U64) + U64(1000 * salt))
-        total = np.concatenate(([U64(0)], np.cumsum(table[raw] * powers[:-1], dtype=U64)))
-        return mix((total[gram:] - total[:-gram]) * inverse[: len(raw) - gram + 1])
+        total = np.zeros(len(raw) + 1, U64)
+        np.cumsum(_byte_numbers(salt)[raw] * powers[: len(raw)], out=total[1:])
+        sums = (total[gram:] - total[:-gram]) * inverse[: len(raw) - gram + 1]
+        sums ^= sums >> U64(32)
+        sums *= U64(0xD6E8FEB86659FD93)
+        return sums ^ (sums >> U64(32))
+
+
+def segments(n: int, window: int) -> Iterator[tuple[int, int]]:
+    """(start, end) of the parts of n bytes, of at most SEGMENT each, that together hold each window."""
+    for start in range(0, max(n - window + 1, 0), SEGMENT - window + 1):
+        yield start, min(n, start + SEGMENT)
 
 
 def anchors(raw: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
     """Places in order, and hashes (48 bits), of the grams with the smallest hash (the first of equal ones) of some window."""
-    if len(raw) < window:
-        return np.zeros(0, np.int64), np.zeros(0, U64)
-    hashes = gram_hashes(raw, gram) >> U64(16)
-    low, at = hashes, np.arange(len(hashes))
-    width, wanted = 1, window - gram + 1
-    while width < wanted:
-        step = min(width, wanted - width)
-        left, right = low[:-step], low[step:]
-        at = np.where(left <= right, at[:-step], at[step:])
-        low = np.minimum(left, right)
-        width += step
-    places = at[np.concatenate(([True], at[1:] != at[:-1]))]
-    return places, hashes[places]
+    places, hashes = [np.zeros(0, np.int64)], [np.zeros(0, U64)]
+    for start, end in segments(len(raw), window):
+        # the hash above the place: the smallest of a run has the smallest hash, and of equal ones the first place
+        low = gram_hashes(raw[start:end], gram) >> U64(16) << U64(16)
+        low |= np.arange(len(low), dtype=U64)
+        width, wanted = 1, window - gram + 1
+        while width < wanted:
+            step = min(width, wanted - width)
+            low = np.minimum(low[:-step], low[step:])
+            width += step
+        low = low[np.concatenate(([True], low[1:] != low[:-1]))]
+        places.append((low & U64(0xFFFF)).astype(np.int64) + start)
+        hashes.append(low >> U64(16))
+    if len(places) == 2:
+        return places[1], hashes[1]
+    at, first = np.unique(np.concatenate(places), return_index=True)
+    return at, np.concatenate(hashes)[first]
 
 
 def _row_hashes(rows: np.ndarray) -> np.ndarray:
@@ -171,12 +200,19 @@ def covered(found: np.ndarray, window: int, gram: int) -> np.ndarray:
         earliest = np.full(m, np.iinfo(np.int64).max)
         np.minimum.at(earliest, piece, first)
         # windows of each piece with the first document that has them, pieces of an anchor together
-        by_anchor = np.argsort(group[of_piece], kind="stable")
-        sizes = (left + right)[of_piece][by_anchor] + 2
+        pieces_of = np.bincount(group[of_piece])[group[of_piece]]
+        width = (left + right)[of_piece]
+        # an anchor's only piece: all its windows are the first document's
+        only = np.flatnonzero(pieces_of == 1)
+        n_starts = width[only] - need + 1
+        starts = np.arange(n_starts.sum()) - np.repeat(np.cumsum(n_starts) - n_starts, n_starts)
+        found_windows = [(np.repeat(only, n_starts), starts, np.repeat(earliest[only], n_starts))]
+        several = np.flatnonzero(pieces_of > 1)
+        by_anchor = several[np.argsort(group[of_piece][several], kind="stable")]
+        sizes = width[by_anchor] + 2
         anchors_of = group[of_piece][by_anchor]
-        found_windows: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         begin = 0
-        ends = np.flatnonzero(np.concatenate((anchors_of[1:] != anchors_of[:-1], [True]))) + 1
+        ends = np.flatnonzero(np.concatenate((anchors_of[1:] != anchors_of[:-1], [True]))) + 1 if len(several) else []
         total = np.concatenate(([0], np.cumsum(sizes)))
         for k, end in enumerate(ends):
             last = k == len(ends) - 1
@@ -368,10 +404,13 @@ def repeated_spans(
             is_hot = known_hot[where]
             if is_hot.any():
                 begins = np.unique(np.concatenate([np.arange(max(0, p - reach), min(p, len(raw) - window) + 1) for p in at[is_hot]]))
-                part = np.empty(len(begins), HOT_WINDOW)
-                part["low"], part["high"] = gram_hashes(raw, window, 1)[begins], gram_hashes(raw, window, 2)[begins]
-                part["key"], part["doc"], part["at"] = key, doc, begins
-                hot.append(part)
+                for start, end in segments(len(raw), window):
+                    own = begins[(begins >= start) & (begins <= end - window)]
+                    part = np.empty(len(own), HOT_WINDOW)
+                    for name, salt in (("low", 1), ("high", 2)):
+                        part[name] = gram_hashes(raw[start:end], window, salt)[own - start]
+                    part["key"], part["doc"], part["at"] = key, doc, own
+                    hot.append(part)
                 at, hashes = at[~is_hot], hashes[~is_hot]
             part = np.empty(len(at), context)
             padded = np.concatenate((np.zeros(reach, np.uint8), raw, np.zeros(reach, np.uint8)))
@@ -403,14 +442,19 @@ def repeated_spans(
         spans = merged(np.concatenate(out))
         return _packed("bucket", spans["key"] % groups, spans)
 
-    spans = written(sent.groupBy("target").applyInPandas(compare, "bucket long, data binary"), "spans")
+    def gather(group: pd.DataFrame) -> pd.DataFrame:
+        spans = merged(np.concatenate([np.frombuffer(d, INTERVAL) for d in group["data"]]))
+        return pd.DataFrame({"bucket": group["bucket"][:1], "data": [spans.tobytes()]})
+
+    compared = sent.groupBy("target").applyInPandas(compare, "bucket long, data binary")
+    spans = written(compared.groupBy("bucket").applyInPandas(gather, "bucket long, data binary"), "spans")
 
     def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for data in batch["data"]:
                 yield pd.DataFrame({"row_key": np.unique(np.frombuffer(data, INTERVAL)["key"])})
 
-    touched = written(spans.select("data").mapInPandas(keys, "row_key long").distinct(), "touched")
+    touched = written(spans.select("data").mapInPandas(keys, "row_key long"), "touched")
     cut_texts = by_ids(single.select(bucket_of, "row_key", "text"), "row_key", touched, "left_semi")
 
     def cut(group: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
