@@ -37,7 +37,7 @@ def apportion(weights: np.ndarray, seats: int, caps: np.ndarray) -> np.ndarray:
             low = middle
         else:
             high = middle
-    got = won(high)
+    got = won(high * (1 + 1e-12))  # seats at a tie are given below
     while (left := seats - int(got.sum())) > 0:
         quotient = np.where(got < caps, weights / (2 * got + 1), -1.0)
         for i in np.argsort(-quotient, kind="stable")[:left]:

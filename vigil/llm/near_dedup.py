@@ -187,7 +187,7 @@ def near_groups(
                     {
                         "doc_id": part["doc_id"].to_numpy()[there],
                         "class": _class_keys(whose, element, count, len(part))[there],
-                        "band": list(band_keys(signature, bands)),
+                        "band": pd.Series(list(band_keys(signature, bands)), dtype=object),
                     }
                 )
                 yield frame

@@ -213,6 +213,8 @@ def fit_svm(x: np.ndarray, y: np.ndarray, landmarks: Landmarks, span: int, prior
         look, look_bias = new + momentum * (new - w), new_bias + momentum * (new_bias - bias)
         w, bias = new, new_bias
     margins = features @ w + bias
+    if not (0 < (y > 0).sum() < len(y)):
+        return ToxicityModel(landmarks, np.zeros(m), 0.0, span, 0.0, float(np.log(prior / (1 - prior))))
     slope, shift = 1.0, 0.0
     share = share * np.where(y > 0, prior, 1 - prior) * 2
     for _ in range(4000):
@@ -247,8 +249,8 @@ def train_toxicity(
     landmark is the sum over its words. Each document gives the passage nearest
     the landmarks; only vectors over the landmarks and `candidates` pieces reach
     the driver. Unlabelled rows and null ids are not
-    learned from. Without toxic documents no words are landmarks but one that
-    matches nothing, and every score is the same.
+    learned from. Without labelled documents of both classes every score is the
+    share of toxic ones among them, 0.001 at least and without any.
     """
     ids = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y"))
     ids = ids.where(F.col("doc_id").isNotNull() & F.col("y").isNotNull() & ~held_out_fold("doc_id")).dropDuplicates(["doc_id"])
