@@ -199,14 +199,15 @@ def near_groups(
     spread = (
         signed.join(classes.withColumnRenamed("class_id", "doc_id").select("doc_id", "class"), ["doc_id", "class"])
         .dropDuplicates(["class"])
-        .select("class", F.explode("band").alias("bucket"))
+        .select("class", "band")
     )
-    members = _members(written(spread, "buckets"))
+    banded = written(spread, "bands")
+    members = _members(banded.select("class", F.explode("band").alias("bucket")))
     bags = written(_bags(texts, members.select("class").distinct(), classes, words), "bags")
     alone = members.select(F.col("class").alias("v"), F.col("class").alias("component")).distinct()
     links, open_members = _by_stars(members, alone, bags, threshold, star_rounds)
     if open_members.limit(1).count():
-        alike = written(_alike(open_members, bags, threshold, sketch_registers, block_rows), "pairs")
+        alike = written(_alike(open_members, banded, bags, threshold, sketch_registers, block_rows), "pairs")
         links = links.unionByName(written(_verified(alike, bags, threshold), "links"))
     groups = written(components(links, classes.select(F.col("class").alias("v"))), "components")
     named = groups.join(classes.withColumnRenamed("class", "v"), "v")
@@ -272,14 +273,17 @@ def _open(members: DataFrame, reached: DataFrame) -> DataFrame:
     return written(with_component.join(several, "bucket"), "members")
 
 
-def _alike(members: DataFrame, bags: DataFrame, threshold: float, registers: int, block_rows: int) -> DataFrame:
+def _alike(
+    members: DataFrame, banded: DataFrame, bags: DataFrame, threshold: float, registers: int, block_rows: int
+) -> DataFrame:
     """Pairs of a bucket's classes, of different components, whose sketches are alike.
 
     A sketch is a byte of each of many registers. Two at the threshold agree in
     fewer places than 4.5 standard deviations below it once in 300,000 times.
     Members of a bucket are compared within a task, `block_rows` at a time: a
     larger bucket is dealt by hash to blocks, each pair of which is a unit of
-    its own. Only pairs that may be links leave the task.
+    its own. Only pairs that may be links leave the task, each from the first
+    band its two classes agree in.
     """
     least = registers * (threshold - 4.5 * (threshold * (1 - threshold) / registers) ** 0.5)
 
@@ -294,9 +298,9 @@ def _alike(members: DataFrame, bags: DataFrame, threshold: float, registers: int
                 rows = (signature >> U64(56)).astype(np.uint8)
                 yield pd.DataFrame({"class": part["class"].to_numpy(), "sketch": [row.tobytes() for row in rows]})
 
-    sketches = written(
-        bags.join(members.select("class").distinct(), "class", "left_semi").mapInPandas(sketch, "class long, sketch binary"), "sketches"
-    )
+    wanted = written(members.select("class").distinct(), "wanted")
+    drawn = bags.join(wanted, "class", "left_semi").mapInPandas(sketch, "class long, sketch binary")
+    sketches = written(drawn.join(banded, "class"), "sketches")
     blocks = members.groupBy("bucket").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("blocks"))
     dealt = members.join(blocks, "bucket").withColumn("own", F.pmod(F.xxhash64("class"), "blocks").cast("int"))
     units = dealt.select(
@@ -307,6 +311,8 @@ def _alike(members: DataFrame, bags: DataFrame, threshold: float, registers: int
     def compare(unit: pd.DataFrame) -> pd.DataFrame:
         rows = np.frombuffer(b"".join(unit["sketch"]), np.uint8).reshape(len(unit), registers)
         names, component, own = (unit[c].to_numpy() for c in ("class", "component", "own"))
+        bands = np.stack(unit["band"].to_list())
+        bucket = unit["bucket"].iloc[0]
         within = unit["i"].iloc[0] == unit["j"].iloc[0]
         pairs = []
         for k in range(len(unit) - 1):
@@ -315,6 +321,8 @@ def _alike(members: DataFrame, bags: DataFrame, threshold: float, registers: int
                 others &= own[k + 1 :] != own[k]
             others = np.flatnonzero(others) + k + 1
             near = others[(rows[others] == rows[k]).sum(axis=1) >= least]
+            agree = bands[near] == bands[k]
+            near = near[bands[k][agree.argmax(axis=1)] == bucket]
             pairs += [(min(names[k], names[o]), max(names[k], names[o])) for o in near]
         return pd.DataFrame(pairs, columns=["a", "b"], dtype="int64")
 
