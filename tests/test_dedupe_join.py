@@ -23,16 +23,16 @@ def test_order_of_two_columns(spark):
     assert rows(first_per_key(frame, KEYS, ["partition", "offset"])) == [("s", 1, 1.0)]
 
 
-def test_without_order_smallest_values_nulls_last(spark):
+def test_without_order_largest_values_nulls_last(spark):
     schema = "server_id string, ts_sec bigint, a float, b float"
-    frame = spark.createDataFrame([("s", 1, None, 0.0), ("s", 1, 2.0, 5.0), ("s", 1, 2.0, None)], schema)
+    frame = spark.createDataFrame([("s", 1, None, 9.0), ("s", 1, 2.0, 5.0), ("s", 1, 2.0, None), ("s", 1, 1.0, 8.0)], schema)
     assert rows(first_per_key(frame, KEYS)) == [("s", 1, 2.0, 5.0)]
     assert rows(first_per_key(frame.select("server_id", "ts_sec", "a"), KEYS)) == [("s", 1, 2.0)]
 
 
 def test_null_keys_are_one_key(spark):
     frame = spark.createDataFrame([(None, None, 1.0), (None, None, 2.0), ("a", 1, 3.0)], "server_id string, ts_sec bigint, a float")
-    assert rows(first_per_key(frame, KEYS)) == [(None, None, 1.0), ("a", 1, 3.0)]
+    assert rows(first_per_key(frame, KEYS)) == [(None, None, 2.0), ("a", 1, 3.0)]
 
 
 def test_result_does_not_depend_on_partitioning(spark):
@@ -50,6 +50,20 @@ def test_partial_aggregate_before_the_shuffle(spark):
     assert "partial_min_by" in plan and "SortAggregate" not in plan
 
 
+def test_two_values_without_order_are_not_sorted(spark):
+    frame = spark.range(10).selectExpr("'s' server_id", "id ts_sec", "cast(id as float) a", "cast(id as float) b")
+    plan = first_per_key(frame, KEYS)._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min_by" in plan and "SortAggregate" not in plan
+
+
+def test_large_values_without_order_are_chosen_alike(spark):
+    frame = spark.range(3000).selectExpr(
+        "'s' server_id", "id % 5 ts_sec", "cast(1e30 + (id % 7) * 1e29 as float) a", "cast(-1e30 * (id % 3) as float) b"
+    )
+    found = {tuple(rows(first_per_key(frame.repartition(n), KEYS))) for n in (1, 4, 9)}
+    assert len(found) == 1
+
+
 def test_join_needs_both_keys(spark):
     cpu = spark.createDataFrame([("s", 1, 1.0), ("s", 2, 2.0), (None, 3, 3.0), ("s", None, 4.0)], "server_id string, ts_sec bigint, a float")
     mem = spark.createDataFrame([("s", 1, 5.0), ("t", 2, 6.0), (None, 3, 7.0), ("s", None, 8.0)], "server_id string, ts_sec bigint, b float")

@@ -45,7 +45,7 @@ def test_net_disk_report_pairs_repeats(spark):
         replace(NET_DISK, duplicates="first"),
         labels="epoch",
     ).collect()
-    assert [r.avg_net_in for r in once] == [10.0]
+    assert [r.avg_net_in for r in once] == [6000.0]
 
 
 def test_hot_key_makes_no_pairs(spark):

@@ -166,13 +166,10 @@ def test_job_folder_is_below_the_shared_one(spark):
 
 
 def test_topic_positions(spark):
-    frame = spark.createDataFrame([(0, 5), (3, 5), (1, 4), (65535, (1 << 47) - 1)], "p int, o bigint")
-    at = [r[0] for r in frame.select(records.ingest_position(F.col("p"), F.col("o"))).collect()]
-    assert len(set(at)) == 4 and at[2] < at[0] < at[1] < at[3] and at[3] == 2**63 - 1
-    for beyond in ((65536, 0), (0, 1 << 47)):
-        frame = spark.createDataFrame([beyond], "p int, o bigint")
-        with pytest.raises(Exception, match="too large"):
-            frame.select(records.ingest_position(F.col("p"), F.col("o"))).collect()
+    most = 2**31 - 1, 2**63 - 1
+    frame = spark.createDataFrame([(0, 5), (3, 5), (1, 4), (65536, 1 << 47), most], "p int, o bigint")
+    at = [int(r[0]) for r in frame.select(records.ingest_position(F.col("p"), F.col("o"))).collect()]
+    assert at[2] < at[0] < at[1] < at[3] < at[4] == most[1] * 2**32 + most[0]
 
 
 class FakeSession:
@@ -199,3 +196,32 @@ def test_a_cluster_without_shared_folder_is_refused():
 def test_topics_need_the_connector(spark, call):
     with pytest.raises(Exception, match="kafka"):
         call(spark)
+
+
+def test_csv_gives_back_what_it_took(spark, tmp_path):
+    names = ['a"b', 'q"x,y', "back\\slash", '"q"', "  lead", "trail  ", "tab\t", "\\", '\\"', ",", "é"]
+    frame = spark.createDataFrame([("t", n, float(i)) for i, n in enumerate(names)], "ts string, server_id string, cpu_pct float")
+    sinks.write_csv(frame, str(tmp_path / "odd"))
+    assert rows(tables.read_snapshot_csv(spark, str(tmp_path / "odd"), "cpu")) == rows(frame)
+    with pytest.raises(Exception, match="line break"):
+        sinks.write_csv(frame.withColumn("server_id", F.lit("two\nlines")), str(tmp_path / "bad"))
+
+
+def test_snapshot_by_date_is_pruned(spark, tmp_path):
+    frame = spark.createDataFrame(
+        [(f"2024-01-0{d} 23:59:5{s}", "s", float(s)) for d in (1, 2, 3) for s in range(5)], "ts string, server_id string, cpu_pct float"
+    )
+    path = str(tmp_path / "cpu")
+    sinks.write_snapshot_by_date(frame.withColumn("ts_sec", F.unix_timestamp("ts")), path)
+    assert rows(tables.read_snapshot_parquet(spark, path, "cpu")) == rows(frame)
+    day = tables.read_snapshot_parquet(spark, path, "cpu", "2024-01-02", "2024-01-02")
+    assert rows(day) == rows(frame.where("ts LIKE '2024-01-02%'"))
+    assert "PartitionFilters: [isnotnull(date" in day._jdf.queryExecution().executedPlan().toString()
+
+
+def test_run_folder_is_removed(spark):
+    folder = storage.job_folder(spark, "gone")
+    spark.range(3).write.parquet(folder)
+    storage.remove_folder(spark, folder)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(folder)

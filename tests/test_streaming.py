@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from vigil.config import CPU_MEM, NET_DISK, SlidingWindow
 from vigil.operators.decode import with_second
-from vigil.plans.reports import report
+from vigil.plans.reports import cpu_mem_report, report
 from vigil.plans.snapshots import decode_family
 from vigil.sources.records import stream_record_files
-from vigil.streaming.reports import stream_report, stream_samples, write_available
+from vigil.streaming.reports import late_rows, stream_report, stream_samples, with_tail, write_available
 
 FIRST = 1704150000
 DELAY = 20
@@ -96,7 +96,6 @@ def test_ingest_order_decides_among_repeats(spark, tmp_path):
         stream_samples(source(), "mem_pct", "lenient", "pos"),
         CPU_MEM,
         delay=f"{DELAY} seconds",
-        order="pos",
     )
     write_available(alerts, str(tmp_path / "out"), str(tmp_path / "checkpoint")).awaitTermination()
     stored_rows = spark.read.parquet(str(tmp_path / "out")).collect()
@@ -134,3 +133,58 @@ def test_gaps_are_refused(spark, tmp_path):
     side = stream_samples(decode_family(stream_record_files(spark, str(tmp_path / "cpu")), "cpu"), "cpu_pct", "lenient")
     with pytest.raises(ValueError):
         stream_report(side, side, CPU_MEM, SlidingWindow(size=10, slide=30))
+
+
+def test_repeats_are_chosen_as_in_batch(spark, tmp_path):
+    """Each second has 95.0 and 10.0, in either order; both say there is a spike."""
+    for family, values in (("cpu", (95.0, 10.0)), ("mem", (10.0, 10.0))):
+        (tmp_path / family).mkdir()
+        for i in range(2):
+            lines = [record(s, "s", **{f"{family}_pct": v}) for s in range(i * 60, i * 60 + 60) for v in (values if s % 2 else values[::-1])]
+            (tmp_path / family / f"{i}.json").write_text("\n".join(lines))
+    stream(spark, tmp_path)
+    sides = [decode_family(spark.read.text(str(tmp_path / f)), f) for f in ("cpu", "mem")]
+    expected = epoch(cpu_mem_report(*sides)).where(F.col("window_end") <= FIRST + 119 - DELAY)
+    assert stored(spark, tmp_path) == rows(expected)
+    assert {r[-1] for r in stored(spark, tmp_path)} == {CPU_MEM.texts[1]}
+
+
+def test_uneven_windows_equal_batch(spark, tmp_path):
+    for family in ("cpu", "mem"):
+        write_files(tmp_path, family, [range(0, 150)])
+    stream(spark, tmp_path, window=SlidingWindow(size=60, slide=7, origin=FIRST))
+    sides = [with_second(decode_family(spark.read.text(str(tmp_path / f)), f), "lenient") for f in ("cpu", "mem")]
+    whole = report(*sides, replace(CPU_MEM, duplicates="first"), SlidingWindow(size=60, slide=7), labels="epoch")
+    found = stored(spark, tmp_path)
+    assert found == rows(whole.where(F.col("window_end") <= FIRST + 149 - DELAY)) and len(found) > 5
+
+
+def test_tail_and_late_rows(spark, tmp_path):
+    for family in ("cpu", "mem"):
+        write_files(tmp_path, family, [range(0, 60), range(60, 120)])
+    stream(spark, tmp_path)
+    closed = epoch(spark.read.parquet(str(tmp_path / "out")).drop("date"))
+    assert rows(with_tail(closed, batch(spark, tmp_path))) == rows(batch(spark, tmp_path))
+    assert rows(with_tail(closed.limit(0), batch(spark, tmp_path))) == rows(batch(spark, tmp_path))
+    for family in ("cpu", "mem"):
+        (tmp_path / family / "late.json").write_text("\n".join(record(s, "srv-7", **{f"{family}_pct": 1.0}) for s in range(5)))
+    sides = [
+        stream_samples(decode_family(stream_record_files(spark, str(tmp_path / f), max_files=1), f), f"{f}_pct", "lenient")
+        for f in ("cpu", "mem")
+    ]
+    alerts = stream_report(*sides, CPU_MEM, SlidingWindow(origin=FIRST), delay=f"{DELAY} seconds")
+    assert late_rows(write_available(alerts, str(tmp_path / "out"), str(tmp_path / "checkpoint"))) == 10
+
+
+def test_samples_are_not_multiplied_before_the_first_shuffle(spark, tmp_path):
+    for family in ("cpu", "mem"):
+        write_files(tmp_path, family, [range(0, 30)])
+    sides = [
+        stream_samples(decode_family(stream_record_files(spark, str(tmp_path / f)), f), f"{f}_pct", "lenient")
+        for f in ("cpu", "mem")
+    ]
+    query = write_available(stream_report(*sides, CPU_MEM, delay="1 second"), str(tmp_path / "o"), str(tmp_path / "c"))
+    query.awaitTermination()
+    plan = query._jsq.explainInternal(False)
+    first_shuffle = plan.rindex("Exchange")
+    assert "Expand" not in plan[first_shuffle:]

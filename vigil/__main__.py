@@ -20,12 +20,13 @@ from pyspark.sql import DataFrame, SparkSession
 from vigil import fixed_values as fixed
 from vigil.config import CPU_MEM, NET_DISK, SlidingWindow
 from vigil.operators.fanout import fan_out
+from vigil.operators.decode import flag_problems, with_second
 from vigil.operators.report import sort_report, summary_counts
 from vigil.plans.reports import cpu_mem_report, net_disk_report
-from vigil.plans.snapshots import decode_family, quarantine, raw_snapshot
+from vigil.plans.snapshots import decode_family, raw_snapshot
 from vigil.sources import records, sinks, tables
 from vigil.sources.thresholds import read_thresholds
-from vigil.streaming.reports import stream_report, stream_samples, write_available
+from vigil.streaming.reports import late_rows, stream_report, stream_samples, write_available
 
 REPORTS = {"cpu_mem": (CPU_MEM, "cpu", "mem"), "net_disk": (NET_DISK, "net", "disk")}
 
@@ -48,7 +49,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     job.add_argument("--out", required=True)
     job.add_argument("--format", choices=["csv", "parquet"], default="parquet")
     job.add_argument("--keep-undecodable", action="store_true")
-    job.add_argument("--bad", help="where to put rows that can not reach a report")
+    job.add_argument("--bad", help="where to put all rows by problem: none, or why they can not reach a report")
 
     job = jobs.add_parser("report", help="two snapshots to a window report with alerts")
     job.add_argument("report", choices=REPORTS)
@@ -58,6 +59,9 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     job.add_argument("--thresholds")
     job.add_argument("--time-of-day", action="store_true", help="HH:mm:ss labels; days collapse")
     _window(job)
+    job.add_argument("--from-date", help="first day of Parquet snapshots to read")
+    job.add_argument("--to-date", help="last day of Parquet snapshots to read")
+    job.add_argument("--zone", help="time zone of HH:mm:ss labels")
     job.add_argument("--no-clamp", dest="clamp", action="store_false")
     job.add_argument("--out", required=True)
     job.add_argument("--out-format", choices=["csv", "parquet"], default="parquet")
@@ -104,17 +108,27 @@ def run_snapshot(spark: SparkSession, args: argparse.Namespace) -> None:
     else:
         source = records.read_record_files(spark, records.topic_directory(args.records, topic))
     rows = decode_family(source, args.family, order)
-    snapshot = raw_snapshot(rows, args.family, order, args.keep_undecodable)
-    (sinks.write_csv if args.format == "csv" else sinks.write_parquet)(snapshot, args.out)
+    rule = next(r for r, *families in REPORTS.values() if args.family in families)
     if args.bad:
-        rule = next(r for r, *families in REPORTS.values() if args.family in families)
-        sinks.write_parquet(quarantine(rows, rule.timestamps), args.bad)
+        # one read: the rows are stored good and bad, and the snapshot is made from those
+        sinks.write_split(flag_problems(with_second(rows, rule.timestamps)), args.bad)
+        rows = spark.read.parquet(args.bad).drop("problem", "ts_sec")
+    snapshot = raw_snapshot(rows, args.family, order, args.keep_undecodable, ordered=args.format == "csv")
+    if args.format == "csv":
+        sinks.write_csv(snapshot, args.out)
+    else:
+        sinks.write_snapshot_by_date(with_second(snapshot, rule.timestamps), args.out)
 
 
 def run_report(spark: SparkSession, args: argparse.Namespace) -> dict[str, int]:
     _, *families = REPORTS[args.report]
-    read = tables.read_snapshot_csv if args.format == "csv" else tables.read_snapshot_parquet
-    left, right = (read(spark, p, f) for p, f in zip((args.left, args.right), families))
+
+    def read(path: str, family: str) -> DataFrame:
+        if args.format == "csv":
+            return tables.read_snapshot_csv(spark, path, family)
+        return tables.read_snapshot_parquet(spark, path, family, args.from_date, args.to_date)
+
+    left, right = (read(p, f) for p, f in zip((args.left, args.right), families))
     make = cpu_mem_report if args.report == "cpu_mem" else net_disk_report
     result = make(
         left,
@@ -122,6 +136,7 @@ def run_report(spark: SparkSession, args: argparse.Namespace) -> dict[str, int]:
         window=SlidingWindow(args.window, args.slide, args.offset, args.clamp, args.origin),
         thresholds=read_thresholds(spark, args.thresholds) if args.thresholds else fixed.THRESHOLDS,
         labels="time_of_day" if args.time_of_day else "timestamp",
+        zone=args.zone,
     )
     if args.out_format == "parquet" and not args.time_of_day:
         return sinks.write_report_by_date(result, args.out)
@@ -129,7 +144,7 @@ def run_report(spark: SparkSession, args: argparse.Namespace) -> dict[str, int]:
     return sinks.counted(sort_report(result), summary_counts(), lambda rows: write(rows, args.out))
 
 
-def run_stream(spark: SparkSession, args: argparse.Namespace) -> None:
+def run_stream(spark: SparkSession, args: argparse.Namespace) -> dict[str, int]:
     rule, *families = REPORTS[args.report]
     order = records.TOPIC_ORDER if args.servers else None
 
@@ -150,9 +165,8 @@ def run_stream(spark: SparkSession, args: argparse.Namespace) -> None:
         SlidingWindow(args.window, args.slide, args.offset, origin=args.origin),
         thresholds=read_thresholds(spark, args.thresholds).first().asDict() if args.thresholds else fixed.THRESHOLDS,
         delay=args.delay,
-        order=order[0] if order else None,
     )
-    write_available(result, args.out, args.checkpoint, args.state_partitions).awaitTermination()
+    return {"late_rows": late_rows(write_available(result, args.out, args.checkpoint, args.state_partitions))}
 
 
 RUN = {"fan-out": run_fan_out, "snapshot": run_snapshot, "report": run_report, "stream": run_stream}

@@ -43,12 +43,23 @@ def epoch_second(ts: Column, mode: str) -> Column:
     return F.unix_seconds(parse(ts, mode))
 
 
-def time_of_day(second: Column) -> Column:
-    """HH:mm:ss of an epoch second in the session time zone; the date is lost."""
-    return F.date_format(F.timestamp_seconds(second), fixed.TIME_OF_DAY_FORMAT)
+def epoch_microsecond(ts: Column, mode: str) -> Column:
+    """Epoch microsecond of timestamp text, null where it does not parse."""
+    return F.unix_micros(parse(ts, mode))
 
 
-def second_of_day(second: Column) -> Column:
-    """The clock time behind ``time_of_day`` as seconds since midnight."""
+def _shown(second: Column, zone: str | None) -> Column:
+    """The clock in ``zone`` at an epoch second; without one, the session's."""
     ts = F.timestamp_seconds(second)
+    return ts if zone is None else F.convert_timezone(None, F.lit(zone), ts.cast("timestamp_ntz"))
+
+
+def time_of_day(second: Column, zone: str | None = None) -> Column:
+    """HH:mm:ss of an epoch second in ``zone``, else the session time zone; the date is lost."""
+    return F.date_format(_shown(second, zone), fixed.TIME_OF_DAY_FORMAT)
+
+
+def second_of_day(second: Column, zone: str | None = None) -> Column:
+    """The clock time behind ``time_of_day`` as seconds since midnight."""
+    ts = _shown(second, zone)
     return F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)

@@ -12,7 +12,6 @@ from vigil.functions.timestamps import epoch_second
 def decode_records(records: DataFrame, schema: StructType, carry: list[str] | None = None) -> DataFrame:
     """Decode the JSON in ``value`` (text or binary) into the schema's columns.
 
-    ``carry`` lists columns of ``records`` to keep beside them, such as the
     ``carry`` lists columns of ``records`` to keep beside them, such as the
     topic offset. Text that is not a JSON object gives a row of nulls.
 

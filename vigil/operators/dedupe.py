@@ -5,12 +5,42 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 
+#: Hundredths beyond this differ in the last digits of a position only.
+_MOST = 10**12
+
+
+def value_position(values: list[str]) -> Column:
+    """A number that is smaller the larger the values are, by the first, then the second; nulls last.
+
+    For up to two metrics of two decimal places. Equal rows apart, values of
+    10**10 and more may tie here; a hash of the row then decides, so the choice
+    is the same on every run.
+    """
+    if len(values) > 2:
+        raise ValueError("up to two values")
+    position = F.lit(0).cast("decimal(1,0)")
+    for v in values:
+        hundredths = F.round(F.col(v).cast("double") * 100)
+        bounded = F.greatest(F.lit(-_MOST), F.least(F.lit(_MOST), hundredths)).cast("bigint")
+        place = F.when(F.col(v).isNull(), F.lit(2 * _MOST + 1)).otherwise(F.lit(_MOST) - bounded).cast("decimal(13,0)")
+        position = (position * F.lit(10**13).cast("decimal(14,0)") + place).cast("decimal(27,0)")
+    tie = F.pmod(F.xxhash64(*values), F.lit(10**10)).cast("decimal(10,0)")
+    return (position * F.lit(10**10).cast("decimal(11,0)") + tie).cast("decimal(38,0)")
+
+
+def sample_position(microsecond: Column, value: str) -> Column:
+    """Place of a sample among those of its second: the earlier first, of equal ones the larger value."""
+    value_place = (value_position([value]) / F.lit(10**10).cast("decimal(11,0)")).cast("decimal(13,0)")
+    return (microsecond.cast("decimal(20,0)") * F.lit(10**13).cast("decimal(14,0)") + value_place).cast("decimal(38,0)")
+
+
 def first_values(values: list[str], order: list[str] | None, present: Column | None = None) -> list[Column]:
     """Aggregates giving ``values`` of the first row, among the rows that are ``present``.
 
     First is the lowest ``order``: the ingest position, not null and unique
-    within a group. Without it, it is the row with the smallest values, nulls
-    last. One fixed-width order column, or one value without order, keeps the
+    within a group. Without it, it is the row with the largest values, nulls
+    last: of samples that nothing else tells apart, a monitor keeps the peak.
+    One fixed-width order column, or up to two values without order, keeps the
     aggregate a hash aggregate.
     """
 
@@ -21,7 +51,9 @@ def first_values(values: list[str], order: list[str] | None, present: Column | N
     if len(order) == 1:
         return [F.min_by(v, among(F.col(order[0]))).alias(v) for v in values]
     if not order and len(values) == 1:
-        return [F.min(among(F.col(v))).alias(v) for v in values]
+        return [F.max(among(F.col(v))).alias(v) for v in values]
+    if not order and len(values) == 2:
+        return [F.min_by(v, among(value_position(values))).alias(v) for v in values]
     position = [F.col(o) for o in order]
     for v in values:
         position += [F.col(v).isNull(), F.col(v)]

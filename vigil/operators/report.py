@@ -43,7 +43,7 @@ def finish_statistics(windows: DataFrame, rule: AlertRule) -> DataFrame:
     return windows.select("server_id", "window_start", "window_end", left, right, left_max, right_max)
 
 
-def collapse_time_of_day(windows: DataFrame, size: int) -> DataFrame:
+def collapse_time_of_day(windows: DataFrame, size: int, zone: str | None = None) -> DataFrame:
     """HH:mm:ss labels, and one row per server and label: the earliest window's.
 
     Windows of different days share a label, so a report over several days
@@ -53,12 +53,12 @@ def collapse_time_of_day(windows: DataFrame, size: int) -> DataFrame:
     names = [c for c in windows.columns if c not in ("server_id", "window_start", "window_end")]
     kept = [F.min_by(n, "window_start").alias(n) for n in names]
     return (
-        windows.groupBy("server_id", second_of_day(F.col("window_start")).alias("second_of_day"))
+        windows.groupBy("server_id", second_of_day(F.col("window_start"), zone).alias("second_of_day"))
         .agg(F.min("window_start").alias("first_start"), *kept)
         .select(
             "server_id",
-            time_of_day(F.col("first_start")).alias("window_start"),
-            time_of_day(F.col("first_start") + F.lit(size)).alias("window_end"),
+            time_of_day(F.col("first_start"), zone).alias("window_start"),
+            time_of_day(F.col("first_start") + F.lit(size), zone).alias("window_end"),
             *names,
         )
     )

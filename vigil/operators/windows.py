@@ -118,6 +118,10 @@ def _sums(metrics: list[str], summed: bool) -> list[Column]:
     """Sums, counts and maxima of samples, or of such sums again."""
     if not summed:
         return [part for m in metrics for part in sums_of(m)]
+    return combined_sums(metrics)
+
+
+def combined_sums(metrics: list[str]) -> list[Column]:
     combine = {"sum": F.sum, "count": F.sum, "max": F.max}
     return [f(f"{m}_{part}").alias(f"{m}_{part}") for m in metrics for part, f in combine.items()]
 

@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from vigil import fixed_values as fixed
 from vigil.config import CPU_MEM, NET_DISK, AlertRule, SlidingWindow
+from vigil.functions.timestamps import epoch_microsecond
 from vigil.operators.decode import with_second
+from vigil.operators.dedupe import sample_position
 from vigil.operators.join import KEYS, merge_copies, merge_first
 from vigil.operators.report import (
     collapse_time_of_day,
@@ -22,9 +24,18 @@ from vigil.operators.windows import aggregate_windows
 Thresholds = Mapping[str, float] | DataFrame
 
 
+#: Column with a sample's place among repeats where the rows have no ingest position.
+POSITION = "position"
+
+
 def samples(rows: DataFrame, metric: str, timestamps: str, order: list[str] | None = None) -> DataFrame:
-    """Decoded or snapshot rows as (server_id, ts_sec, metric, order columns)."""
-    return with_second(rows, timestamps).select(*KEYS, metric, *(order or []))
+    """Decoded or snapshot rows as (server_id, ts_sec, metric, order columns).
+
+    Without order columns, ``position`` puts the earliest of a second first.
+    """
+    place = [F.col(o) for o in order or []]
+    place = place or [sample_position(epoch_microsecond(F.col("ts"), timestamps), metric).alias(POSITION)]
+    return with_second(rows, timestamps).select(*KEYS, metric, *place)
 
 
 def window_statistics(
@@ -63,6 +74,7 @@ def report(
     order: list[str] | None = None,
     labels: str = "timestamp",
     duplicates: str | None = None,
+    zone: str | None = None,
 ) -> DataFrame:
     """Window statistics with alert text.
 
@@ -70,13 +82,14 @@ def report(
     instead of snapshots are reported right with "first".
 
     ``labels`` is "timestamp", "epoch" (seconds) or "time_of_day" (HH:mm:ss
-    text, one row per server and label).
+    text, one row per server and label, on the clock of ``zone`` or else the
+    session's).
     """
     if duplicates:
         rule = replace(rule, duplicates=duplicates)
     windows = window_statistics(left, right, rule, window, order)
     if labels == "time_of_day":
-        windows = collapse_time_of_day(windows, window.size)
+        windows = collapse_time_of_day(windows, window.size, zone)
     elif labels == "timestamp":
         windows = label_timestamps(windows)
     elif labels != "epoch":
@@ -102,6 +115,6 @@ def _family_report(left, right, rule, order, settings):
         samples(left, rule.left, rule.timestamps, order),
         samples(right, rule.right, rule.timestamps, order),
         rule,
-        order=order,
+        order=order or [POSITION],
         **settings,
     )

@@ -17,9 +17,13 @@ def decode_family(records: DataFrame, family: str, order: list[str] | None = Non
 
 
 def raw_snapshot(
-    rows: DataFrame, family: str, order: list[str] | None = None, keep_undecodable: bool = False
+    rows: DataFrame,
+    family: str,
+    order: list[str] | None = None,
+    keep_undecodable: bool = False,
+    ordered: bool = True,
 ) -> DataFrame:
-    """Decoded rows, one per server and timestamp text, sorted by both.
+    """Decoded rows, one per server and timestamp text, sorted by both if ``ordered``.
 
     Rows without server or timestamp are left out (``quarantine`` has them);
     ``keep_undecodable`` keeps one of each, as nulls, for a like-for-like copy.
@@ -27,7 +31,8 @@ def raw_snapshot(
     if not keep_undecodable:
         rows = rows.dropna(subset=["server_id", "ts"])
     unique = first_per_key(rows, ["server_id", "ts"], order)
-    return unique.select(*family_schema(family).names).orderBy("server_id", "ts")
+    snapshot = unique.select(*family_schema(family).names)
+    return snapshot.orderBy("server_id", "ts") if ordered else snapshot
 
 
 def quarantine(rows: DataFrame, timestamps: str) -> DataFrame:

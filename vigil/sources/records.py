@@ -10,20 +10,17 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Column with the ingest position of a topic record, used to choose among copies.
 TOPIC_ORDER = ["position"]
-_PARTITIONS = 1 << 16
-_OFFSETS = 1 << 47
+_PARTITION_NUMBERS = 1 << 32
 
 
 def ingest_position(partition: Column, offset: Column) -> Column:
-    """Offset, then partition, as one long: unique within a topic.
+    """Offset, then partition, as one number: unique within a topic, whatever their size.
 
-    A single fixed-width column keeps the choice of the first copy a hash
-    aggregate. Records beyond 65,536 partitions or 2**47 offsets fail.
+    A single fixed-width column keeps the choice of the first copy a hash aggregate.
     """
-    fits = (partition < _PARTITIONS) & (offset < _OFFSETS)
-    packed = offset.cast("bigint") * F.lit(_PARTITIONS).cast("bigint") + partition
-    failed = F.raise_error(F.lit("topic partition or offset too large")).cast("bigint")
-    return F.when(fits, packed).otherwise(failed)
+    return (
+        offset.cast("decimal(20,0)") * F.lit(_PARTITION_NUMBERS).cast("decimal(10,0)") + partition.cast("decimal(10,0)")
+    ).cast("decimal(38,0)")
 
 
 def _topic_rows(loaded: DataFrame) -> DataFrame:

@@ -9,12 +9,20 @@ from pyspark.sql import Column, DataFrame, Observation, functions as F
 from vigil.operators.report import summary_counts
 
 
+#: How text is written and read back: quotes doubled, blanks kept.
+CSV_TEXT = {"escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def write_csv(rows: DataFrame, path: str) -> None:
     """Directory of CSV files with header lines, replacing what is there.
 
-    The files of a sorted frame, taken by name, hold it in order.
+    The files of a sorted frame, taken by name, hold it in order. A line break
+    in a text fails the job: a file with one could not be split over tasks.
     """
-    rows.write.mode("overwrite").option("header", True).csv(path)
+    texts = [f.name for f in rows.schema.fields if f.dataType.simpleString() == "string"]
+    failed = F.raise_error(F.lit("line break in CSV text"))
+    whole = {c: F.when(F.col(c).rlike(r"[\r\n]"), failed.cast("string")).otherwise(F.col(c)) for c in texts}
+    rows.withColumns(whole).write.mode("overwrite").options(header=True, **CSV_TEXT).csv(path)
 
 
 def write_parquet(rows: DataFrame, path: str) -> None:
@@ -45,6 +53,13 @@ def write_report_by_date(report: DataFrame, path: str) -> dict[str, int]:
     )
 
 
+def write_snapshot_by_date(snapshot: DataFrame, path: str) -> None:
+    """Parquet partitioned by the UTC date of ``ts_sec``, sorted by server and time within files."""
+    dated = snapshot.withColumn("date", F.date_add(F.lit("1970-01-01").cast("date"), F.floor(F.col("ts_sec") / 86400).cast("int")))
+    spread = dated.hint("rebalance", "date").sortWithinPartitions("date", "server_id", "ts_sec")
+    spread.drop("ts_sec").write.mode("overwrite").partitionBy("date").parquet(path)
+
+
 def write_topics(records: DataFrame, servers: str) -> None:
     """Send rows (topic, value) to their topics, without keys."""
     (

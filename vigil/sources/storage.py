@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -11,13 +10,18 @@ SETTING = "spark.checkpoint.dir"
 
 
 def job_folder(spark: SparkSession, name: str) -> str:
-    """New folder for one run below the folder the cluster names.
+    """New folder for one run below the folder the session's setting names.
 
-    Only a local session without that setting gets a temporary folder.
+    Without the setting the job is refused: no folder of one machine is one that
+    all executors can reach.
     """
     shared = spark.conf.get(SETTING, None)
-    if shared:
-        return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
+    if not shared:
         raise ValueError(f"set {SETTING} to a folder all executors can reach")
-    return tempfile.mkdtemp(prefix=f"{name}-")
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a run's folder once its result has been read."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -2,32 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from vigil.schemas import family_schema
+from vigil.sources.sinks import CSV_TEXT
+
 
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """CSV with a header line that must name the schema's columns in order.
 
     Fields bind by position; a different header is an error, not a mix-up.
-    Fields that do not parse are null.
+    Fields that do not parse are null. Text comes back as ``sinks.write_csv``
+    took it.
     """
-    return (
-        spark.read.option("header", True)
-        .option("enforceSchema", False)
-        .option("escape", '"')
-        .schema(schema)
-        .csv(path)
-    )
+    return spark.read.options(header=True, enforceSchema=False, **CSV_TEXT).schema(schema).csv(path)
 
 
 def read_snapshot_csv(spark: SparkSession, path: str, family: str) -> DataFrame:
     return read_csv(spark, path, family_schema(family))
 
 
-def read_snapshot_parquet(spark: SparkSession, path: str, family: str) -> DataFrame:
-    return spark.read.schema(family_schema(family)).parquet(path)
+def read_snapshot_parquet(
+    spark: SparkSession, path: str, family: str, first_date: str | None = None, last_date: str | None = None
+) -> DataFrame:
+    """A Parquet snapshot; dates (inclusive) limit one written by date to their folders."""
+    schema = family_schema(family)
+    if not first_date and not last_date:
+        return spark.read.schema(schema).parquet(path).select(*schema.names)
+    rows = spark.read.schema(family_schema(family).add("date", "date")).parquet(path)
+    if first_date:
+        rows = rows.where(F.col("date") >= F.lit(first_date).cast("date"))
+    if last_date:
+        rows = rows.where(F.col("date") <= F.lit(last_date).cast("date"))
+    return rows.select(*schema.names)
 
 
 def read_dataset_csv(spark: SparkSession, path: str) -> DataFrame:

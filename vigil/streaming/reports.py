@@ -9,36 +9,38 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from math import gcd
+
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from vigil import fixed_values as fixed
 from vigil.config import AlertRule, SlidingWindow
-from vigil.functions.timestamps import parse
+from vigil.functions.timestamps import epoch_microsecond, parse
+from vigil.operators.dedupe import sample_position
 from vigil.operators.join import sums_of
 from vigil.operators.report import finish_statistics, with_alert
-from vigil.operators.windows import first_start
+from vigil.operators.windows import combined_sums, first_start
+from vigil.plans.reports import POSITION
 
 _PARTITIONS = "spark.sql.shuffle.partitions"
 
 
 def stream_samples(rows: DataFrame, metric: str, timestamps: str, order: str | None = None) -> DataFrame:
-    """Decoded stream rows as (server_id, ts, metric, order), ts cut to the second."""
-    second = F.date_trunc("second", parse(F.col("ts"), timestamps)).alias("ts")
-    return rows.select("server_id", second, metric, *([order] if order else []))
+    """Decoded stream rows as (server_id, ts, metric, position), ts cut to the second.
 
+    Position is the order column, else what the batch plans use without one.
+    """
+    place = F.col(order) if order else sample_position(epoch_microsecond(F.col("ts"), timestamps), metric)
+    second = F.date_trunc("second", parse(F.col("ts"), timestamps)).alias("ts")
+    return rows.select("server_id", second, metric, place.alias(POSITION))
 
-def _unique(samples: DataFrame, metric: str, delay: str, order: str | None) -> DataFrame:
-    """One sample per server and second.
 
-    With an ingest position the lowest one is kept, the same after any retry,
-    once the watermark has passed the second. Without it the first to arrive is
-    kept at once.
-    """
+def _unique(samples: DataFrame, metric: str, delay: str) -> DataFrame:
+    """One sample per server and second: that of the lowest position, as in batch,
+    chosen when the watermark has passed the second."""
     marked = samples.dropna(subset=["server_id", "ts"]).withWatermark("ts", delay)
-    if order is None:
-        return marked.select("server_id", "ts", metric).dropDuplicatesWithinWatermark(["server_id", "ts"])
-    return marked.groupBy("server_id", "ts").agg(F.min_by(metric, order).alias(metric))
+    return marked.groupBy("server_id", "ts").agg(F.min_by(metric, POSITION).alias(metric))
 
 
 def stream_report(
@@ -48,20 +50,25 @@ def stream_report(
     window: SlidingWindow = SlidingWindow(),
     thresholds: Mapping[str, float] = fixed.THRESHOLDS,
     delay: str = "1 minute",
-    order: str | None = None,
 ) -> DataFrame:
-    """Streaming report on two sample streams from ``stream_samples``."""
+    """Streaming report on two sample streams from ``stream_samples``.
+
+    Samples are summed by pane, the longest step that divides window and slide,
+    and panes by window, so a sample goes through one shuffle once.
+    """
     if window.slide > window.size:
         raise ValueError("streaming windows must not have gaps between them")
-    joined = _unique(left, rule.left, delay, order).join(
-        _unique(right, rule.right, delay, order), ["server_id", "ts"]
-    )
+    joined = _unique(left, rule.left, delay).join(_unique(right, rule.right, delay), ["server_id", "ts"])
+    pane = gcd(window.size, window.slide)
+    panes = joined.groupBy(
+        "server_id", F.window("ts", f"{pane} seconds", startTime=f"{window.offset % pane} seconds").alias("pane")
+    ).agg(*sums_of(rule.left), *sums_of(rule.right))
     spans = F.window(
-        "ts", f"{window.size} seconds", f"{window.slide} seconds", f"{window.offset % window.slide} seconds"
+        F.window_time("pane"), f"{window.size} seconds", f"{window.slide} seconds", f"{window.offset % window.slide} seconds"
     )
     windows = (
-        joined.groupBy("server_id", spans.alias("span"))
-        .agg(*sums_of(rule.left), *sums_of(rule.right))
+        panes.groupBy("server_id", spans.alias("span"))
+        .agg(*combined_sums([rule.left, rule.right]))
         .withColumns({"window_start": F.col("span.start"), "window_end": F.col("span.end")})
     )
     windows = finish_statistics(windows, rule)
@@ -71,6 +78,29 @@ def stream_report(
     return with_alert(windows, rule, thresholds)
 
 
+def late_rows(query: StreamingQuery) -> int:
+    """Wait for a query to stop; how many rows came after the watermark had passed them.
+
+    Progress is read while the query runs, since Spark keeps the last reports only.
+    """
+    dropped: dict[int, int] = {}
+    running = True
+    while running:
+        running = not query.awaitTermination(5)
+        for progress in query.recentProgress:
+            dropped[progress["batchId"]] = sum(s["numRowsDroppedByWatermark"] for s in progress["stateOperators"])
+    return sum(dropped.values())
+
+
+def with_tail(closed: DataFrame, batch: DataFrame) -> DataFrame:
+    """A stream's closed windows and, from the batch report, those still open when it stopped.
+
+    Windows close in order of time, so the open ones start after the last closed one.
+    """
+    last = closed.agg(F.max("window_start").alias("last")).scalar()
+    return closed.unionByName(batch.where(last.isNull() | (F.col("window_start") > last)))
+
+
 def write_available(
     report: DataFrame, path: str, checkpoint: str, state_partitions: int | None = None
 ) -> StreamingQuery:

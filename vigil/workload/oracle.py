@@ -15,7 +15,7 @@ from vigil.fixed_values import (
     THRESHOLDS,
     TOPICS,
 )
-from vigil.workload.telemetry import FIRST_SECOND, STREAM_DELAY_SECONDS
+from vigil.workload.telemetry import FIRST_SECOND, ODD_SERVERS
 
 TELEMETRY = f"""
 cents AS (SELECT *, CAST(round(value * 100) AS BIGINT) AS c FROM events),
@@ -40,19 +40,26 @@ telemetry AS (
   FROM hundredths)"""
 
 
-def _side(family: str, table: str = "telemetry") -> str:
-    """All samples of a family."""
-    where = " WHERE event_type <> 'error'" if family in ("mem", "disk") else ""
+def _side(family: str, table: str = "telemetry", whole: bool = False) -> str:
+    """All samples of a family; ``whole``: of all events."""
+    where = " WHERE event_type <> 'error'" if family in ("mem", "disk") and not whole else ""
     return f"SELECT event_id, server_id, ts_sec, ts, {', '.join(FAMILY_METRICS[family])} FROM {table}{where}"
 
 
-def _first(family: str, table: str = "telemetry", key: str = "ts_sec") -> str:
+def _first(
+    family: str, table: str = "telemetry", key: str = "ts_sec", order: str = "event_id", whole: bool = False
+) -> str:
     return (
-        f"SELECT * FROM ({_side(family, table)}) s "
-        f"QUALIFY row_number() OVER (PARTITION BY server_id, {key} ORDER BY event_id) = 1"
+        f"SELECT * FROM ({_side(family, table, whole)}) s "
+        f"QUALIFY row_number() OVER (PARTITION BY server_id, {key} ORDER BY {order}) = 1"
     )
 
 
+def _peak(family: str, tenths: bool) -> str:
+    """The order of samples without a position: by time, then the largest."""
+    return ("9 - event_id % 3, " if tenths else "") + f"{FAMILY_METRICS[family][0]} DESC"
+
+
 def _joined(left: str, right: str, unique: bool = True, table: str = "telemetry") -> str:
     pick = _first if unique else _side
     metrics = ", ".join(FAMILY_METRICS[left] + FAMILY_METRICS[right])
@@ -200,7 +207,7 @@ broken AS (
 
 def _snapshot(family: str) -> str:
     metrics = ", ".join(FAMILY_METRICS[family])
-    return _with(select=f"SELECT ts, server_id, {metrics} FROM ({_first(family, key='ts')}) f")
+    return _with(select=f"SELECT ts, server_id, {metrics} FROM ({_first(family, key='ts', whole=True)}) f")
 
 
 def _copies() -> str:
@@ -250,6 +257,46 @@ FROM pairs""",
     )
 
 
+def _without_position(tenths: bool) -> str:
+    """The CPU and memory report on samples that have no ingest position."""
+    sides = [_first(f, order=_peak(f, tenths)) for f in ("cpu", "mem")]
+    joined = f"""
+joined AS (
+  SELECT l.server_id AS server_id, l.ts_sec AS ts_sec, cpu_pct, mem_pct
+  FROM ({sides[0]}) l JOIN ({sides[1]}) r ON l.server_id = r.server_id AND l.ts_sec = r.ts_sec)"""
+    return _with(
+        joined,
+        _assigned(),
+        _stats("cpu_pct", "mem_pct", "cpu", "mem"),
+        f"alerts AS (SELECT *, {CPU_MEM_CASE} AS alert FROM stats)",
+        select=EPOCH_REPORT,
+    )
+
+
+def _odd_text() -> str:
+    names = ", ".join("'" + n + "'" for n in ODD_SERVERS)
+    return _with(
+        f"odd AS (SELECT * REPLACE ((ARRAY[{names}])[event_id % {len(ODD_SERVERS)} + 1] AS server_id) FROM telemetry)",
+        select=f"SELECT ts, server_id, cpu_pct FROM ({_first('cpu', 'odd', 'ts')}) f",
+    )
+
+
+BROKEN = (
+    "broken AS (SELECT * FROM telemetry WHERE event_id % 7 <> 0 AND event_id % 11 <> 0)",
+)
+
+
+def _collapsed(shift: int) -> str:
+    """Time-of-day labels on a clock `shift` seconds ahead of UTC."""
+    clock = [f"strftime(make_timestamp(({c} + {shift}) * 1000000), '%H:%M:%S') AS {c}" for c in ("window_start", "window_end")]
+    return _cpu_mem(
+        f"""SELECT * REPLACE ({', '.join(clock)})
+FROM alerts QUALIFY row_number() OVER (PARTITION BY server_id, window_start % 86400 ORDER BY window_start) = 1""",
+        "three_days",
+        THREE_DAYS,
+    )
+
+
 ORACLE: dict[str, str] = {
     "fanout_topics": _with(_dataset(), select=_sent(dict.fromkeys(TOPICS, "true"), "dataset")),
     "fanout_bad_rows": _fanout_bad_rows(),
@@ -288,7 +335,7 @@ FROM telemetry"""
     "dedupe_second": _with(select=f"SELECT server_id, ts_sec, cpu_pct FROM ({_first('cpu')}) f"),
     "dedupe_without_order": _with(
         select="""SELECT server_id, ts_sec, net_in, net_out FROM telemetry
-QUALIFY row_number() OVER (PARTITION BY server_id, ts_sec ORDER BY net_in, net_out) = 1"""
+QUALIFY row_number() OVER (PARTITION BY server_id, ts_sec ORDER BY net_in DESC, net_out DESC) = 1"""
     ),
     "join_cpu_mem": _with(_joined("cpu", "mem"), select="SELECT * FROM joined"),
     "join_net_disk": _with(_joined("net", "disk"), select="SELECT * FROM joined"),
@@ -333,17 +380,15 @@ QUALIFY row_number() OVER (PARTITION BY server_id, ts_sec ORDER BY net_in, net_o
     ),
     "report_sorted": _net_disk(EPOCH_REPORT),
     "multi_day_windows": _cpu_mem(EPOCH_REPORT, "three_days", THREE_DAYS),
-    "tod_collapse": _cpu_mem(
-        """SELECT * REPLACE (
-  strftime(make_timestamp(window_start * 1000000), '%H:%M:%S') AS window_start,
-  strftime(make_timestamp(window_end * 1000000), '%H:%M:%S') AS window_end)
-FROM alerts QUALIFY row_number() OVER (PARTITION BY server_id, window_start % 86400 ORDER BY window_start) = 1""",
-        "three_days",
-        THREE_DAYS,
-    ),
+    "tod_collapse": _collapsed(0),
+    "tod_zone": _collapsed(19800),
     "csv_round_trip": _cpu_mem("SELECT * REPLACE (nullif(alert, '') AS alert) FROM alerts"),
-    "stream_cpu_mem_alerts": _cpu_mem(
-        "SELECT * FROM alerts WHERE window_end <= (SELECT least(max(ts_sec), max(ts_sec) FILTER "
-        f"(WHERE event_type <> 'error')) - {STREAM_DELAY_SECONDS} FROM telemetry)"
+    "stream_cpu_mem_alerts": _cpu_mem(EPOCH_REPORT),
+    "stream_repeats": _without_position(tenths=True),
+    "dedupe_subsecond": _with(
+        select=f"SELECT server_id, ts_sec, cpu_pct FROM ({_first('cpu', order=_peak('cpu', True))}) f"
     ),
+    "join_null_keys": _cpu_mem(EPOCH_REPORT, "broken", BROKEN),
+    "csv_odd_text": _odd_text(),
+    "pipeline_files": _without_position(tenths=False).replace(" WHERE event_type <> 'error'", ""),
 }

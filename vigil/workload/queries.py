@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from vigil.config import CPU_MEM, NET_DISK, SlidingWindow
 from vigil.fixed_values import FAMILY_METRICS, THRESHOLDS, TOPICS
@@ -18,14 +18,15 @@ from vigil.operators.dedupe import first_per_key
 from vigil.operators.fanout import fan_out
 from vigil.operators.join import KEYS, join_families, merge_copies, merge_first
 from vigil.operators.report import alert_rows, alert_summary, sort_report
-from vigil.plans.reports import cpu_mem_report, net_disk_report, report, window_statistics
+from vigil.plans.reports import POSITION, cpu_mem_report, net_disk_report, report, samples, window_statistics
 from vigil.plans.snapshots import decode_family, raw_snapshot
 from vigil.schemas import family_schema
-from vigil.sources.sinks import write_csv, write_parquet
+from vigil.sources.records import read_record_files, topic_directory
+from vigil.sources.sinks import write_csv, write_parquet, write_report_by_date, write_snapshot_by_date, write_topic_files
 from vigil.sources.storage import job_folder
-from vigil.sources.tables import read_csv, read_snapshot_parquet
-from vigil.sources.thresholds import threshold_table as thresholds_from_lines
-from vigil.streaming.reports import stream_report, stream_samples, write_available
+from vigil.sources.tables import read_csv, read_dataset_csv, read_snapshot_csv, read_snapshot_parquet
+from vigil.sources.thresholds import read_thresholds, threshold_table as thresholds_from_lines
+from vigil.streaming.reports import late_rows, stream_report, stream_samples, with_tail, write_available
 from vigil.workload import telemetry as tel
 
 ORDER = ["event_id"]
@@ -106,10 +107,10 @@ def ts_default_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def decode_topic_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = tel.events(spark, sf_dir).select("event_id", F.col("props").cast("binary").alias("value"))
-    props = decode_records(records, "k bigint", carry=ORDER)
-    cpu = decode_family(tel.family_records(spark, sf_dir, "cpu"), "cpu", ORDER)
-    return cpu.join(props, "event_id").select("event_id", "ts", "server_id", "cpu_pct", "k")
+    records = tel.family_records(spark, sf_dir, "cpu", carry=["props"])
+    cpu = decode_family(records, "cpu", ["props", *ORDER])
+    keys = cpu.select("*", F.col("props").cast("binary").alias("value"))
+    return decode_records(keys, T.StructType().add("k", T.LongType()), ["ts", "server_id", "cpu_pct", *ORDER])
 
 
 def decode_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -156,7 +157,7 @@ def raw_snapshot_cpu(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_snapshot_mem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_snapshot(tel.family_rows(spark, sf_dir, "mem"), "mem", ORDER)
+    return raw_snapshot(tel.family_rows(spark, sf_dir, "mem", whole=True), "mem", ORDER)
 
 
 def raw_snapshot_net(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,7 +165,7 @@ def raw_snapshot_net(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_snapshot_disk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_snapshot(tel.family_rows(spark, sf_dir, "disk"), "disk", ORDER)
+    return raw_snapshot(tel.family_rows(spark, sf_dir, "disk", whole=True), "disk", ORDER)
 
 
 def truncate_seconds(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -393,26 +394,91 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.readStream.schema(tel.EVENTS).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    """The table as a stream, be it a file or a folder of files."""
+    return spark.readStream.schema(tel.EVENTS).parquet(f"{sf_dir}/events.parquet*")
 
 
-def stream_cpu_mem_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = job_folder(spark, "stream-cpu-mem")
-    cpu, mem = (
-        stream_samples(tel.rows_of(_event_stream(spark, sf_dir), f), FAMILY_METRICS[f][0], "lenient", "event_id")
-        for f in ("cpu", "mem")
-    )
+def _streamed(spark: SparkSession, sides: list[DataFrame], batch: DataFrame, name: str) -> DataFrame:
+    """The CPU and memory report of two streams, with the windows still open at the end from the batch plan."""
+    folder = job_folder(spark, name)
     alerts = stream_report(
-        cpu,
-        mem,
-        CPU_MEM,
-        SlidingWindow(origin=tel.FIRST_SECOND),
-        delay=f"{tel.STREAM_DELAY_SECONDS} seconds",
-        order="event_id",
+        *sides, CPU_MEM, SlidingWindow(origin=tel.FIRST_SECOND), delay=f"{tel.STREAM_DELAY_SECONDS} seconds"
     )
     cores = spark.sparkContext.defaultParallelism
-    write_available(alerts, f"{folder}/report", f"{folder}/checkpoint", cores).awaitTermination()
-    return _epoch(spark.read.parquet(f"{folder}/report").drop("date"))
+    late_rows(write_available(alerts, f"{folder}/report", f"{folder}/checkpoint", cores))
+    closed = spark.read.schema(alerts.schema).parquet(f"{folder}/report").select(*alerts.columns)
+    return with_tail(_epoch(closed), batch)
+
+
+def stream_cpu_mem_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sides = [
+        stream_samples(tel.rows_of(_event_stream(spark, sf_dir), f), FAMILY_METRICS[f][0], "lenient", "event_id")
+        for f in ("cpu", "mem")
+    ]
+    return _streamed(spark, sides, _cpu_mem(spark, sf_dir), "stream-cpu-mem")
+
+
+def stream_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeats without an ingest position, stream and batch by the same rule."""
+    families = ("cpu", "mem")
+    sides = [
+        stream_samples(tel.subsecond_rows(_event_stream(spark, sf_dir), f), FAMILY_METRICS[f][0], "lenient")
+        for f in families
+    ]
+    rows = [tel.subsecond_rows(tel.events(spark, sf_dir), f) for f in families]
+    return _streamed(spark, sides, _epoch(cpu_mem_report(*rows)), "stream-repeats")
+
+
+# Repeats, odd keys and files
+
+
+def dedupe_subsecond(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of a second's samples the earliest, of equal ones the largest."""
+    rows = samples(tel.subsecond_rows(tel.events(spark, sf_dir), "cpu"), "cpu_pct", "lenient")
+    return first_per_key(rows, KEYS, [POSITION])
+
+
+def join_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows over samples some of which have no server or no second."""
+    i = F.col("event_id")
+    broken = {
+        "server_id": F.when(i % 7 != 0, F.col("server_id")),
+        "ts_sec": F.when(i % 11 != 0, F.col("ts_sec")),
+    }
+    cpu, mem = (s.withColumns(broken) for s in _samples(spark, sf_dir, "cpu", "mem"))
+    return report(cpu, mem, CPU_MEM, order=ORDER, labels="epoch")
+
+
+def csv_odd_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A snapshot by CSV whose servers have quotes, commas, backslashes and blanks."""
+    folder = job_folder(spark, "csv-odd-text")
+    names = F.array(*[F.lit(n) for n in tel.ODD_SERVERS])
+    rows = tel.family_rows(spark, sf_dir, "cpu").withColumn("server_id", F.get(names, F.col("event_id") % len(tel.ODD_SERVERS)))
+    write_csv(raw_snapshot(rows, "cpu", ORDER), folder)
+    return read_snapshot_csv(spark, folder, "cpu")
+
+
+def tod_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels on the clock of another zone than the session's."""
+    return report(*_three_days(spark, sf_dir), CPU_MEM, order=ORDER, labels="time_of_day", zone="Asia/Kolkata")
+
+
+def pipeline_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wide CSV, fan-out, topic files, snapshots, threshold file and report by date, each written and read."""
+    folder = job_folder(spark, "pipeline-files")
+    wide = tel.dataset(spark, sf_dir).withColumn("ts", tel.second_text(tel.event_second())).drop("event_id")
+    write_csv(wide, f"{folder}/wide")
+    write_topic_files(fan_out(read_dataset_csv(spark, f"{folder}/wide")), f"{folder}/topics")
+    limits = "\n".join(f"{name}: {value}" for name, value in THRESHOLDS.items())
+    spark.range(1).select(F.lit(limits).alias("value")).coalesce(1).write.text(f"{folder}/limits")
+    for family in ("cpu", "mem"):
+        records = read_record_files(spark, topic_directory(f"{folder}/topics", TOPICS[family]))
+        snapshot = raw_snapshot(decode_family(records, family), family, ordered=False)
+        write_snapshot_by_date(with_second(snapshot, CPU_MEM.timestamps), f"{folder}/{family}")
+    cpu, mem = (read_snapshot_parquet(spark, f"{folder}/{f}", f) for f in ("cpu", "mem"))
+    result = cpu_mem_report(cpu, mem, thresholds=read_thresholds(spark, f"{folder}/limits"))
+    write_report_by_date(result, f"{folder}/report")
+    return _epoch(spark.read.schema(result.schema).parquet(f"{folder}/report").select(*result.columns))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -462,5 +528,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         tod_collapse,
         csv_round_trip,
         stream_cpu_mem_alerts,
+        stream_repeats,
+        dedupe_subsecond,
+        join_null_keys,
+        csv_odd_text,
+        tod_zone,
+        pipeline_files,
     )
 }

@@ -34,6 +34,10 @@ HUNDREDTHS = {
 SERVER = "concat('srv-', CAST(user_id % 5 AS STRING)) AS server_id"
 
 
+# Names that CSV has to quote or keep the blanks of.
+ODD_SERVERS = ['a"b', 'q"x,y', "back\\slash", '"quoted"', "  lead", "trail  ", "c,d", "plain"]
+
+
 def event_second() -> Column:
     return F.lit(FIRST_SECOND) + F.shiftright("event_id", 1)
 
@@ -47,7 +51,9 @@ def _family_events(rows: DataFrame, family: str) -> DataFrame:
     return rows.where(F.col("event_type") != "error") if family in ("mem", "disk") else rows
 
 
-def samples_of(rows: DataFrame, family: str, days: int = 1) -> DataFrame:
+def samples_of(
+    rows: DataFrame, family: str, days: int = 1, whole: bool = False, carry: list[str] | None = None
+) -> DataFrame:
     """(event_id, server_id, ts_sec, metrics) of events, batch or stream.
 
     event_id is the ingest position. With ``days`` above 1, events take turns
@@ -57,13 +63,14 @@ def samples_of(rows: DataFrame, family: str, days: int = 1) -> DataFrame:
     if days > 1:
         second += f" + event_id % {days} * 86400"
     metrics = [f"CAST(({HUNDREDTHS[m]}) / 100.0D AS FLOAT) AS {m}" for m in FAMILY_METRICS[family]]
-    return _family_events(rows, family).selectExpr("event_id", SERVER, f"{second} AS ts_sec", *metrics)
+    rows = rows if whole else _family_events(rows, family)
+    return rows.selectExpr("event_id", SERVER, f"{second} AS ts_sec", *metrics, *(carry or []))
 
 
-def rows_of(rows: DataFrame, family: str) -> DataFrame:
-    """Decoded rows: (ts text, server_id, metrics, event_id)."""
-    return samples_of(rows, family).select(
-        second_text(F.col("ts_sec")).alias("ts"), "server_id", *FAMILY_METRICS[family], "event_id"
+def rows_of(rows: DataFrame, family: str, whole: bool = False, carry: list[str] | None = None) -> DataFrame:
+    """Decoded rows: (ts text, server_id, metrics, event_id, carried columns)."""
+    return samples_of(rows, family, whole=whole, carry=carry).select(
+        second_text(F.col("ts_sec")).alias("ts"), "server_id", *FAMILY_METRICS[family], "event_id", *(carry or [])
     )
 
 
@@ -71,15 +78,23 @@ def family_samples(spark: SparkSession, sf_dir: str, family: str, days: int = 1)
     return samples_of(events(spark, sf_dir), family, days)
 
 
-def family_rows(spark: SparkSession, sf_dir: str, family: str) -> DataFrame:
-    return rows_of(events(spark, sf_dir), family)
+def subsecond_rows(rows: DataFrame, family: str) -> DataFrame:
+    """Rows without position whose text has tenths, so that a second's samples differ or tie in time."""
+    tenth = (F.lit(9) - F.pmod("event_id", F.lit(3))).cast("string")
+    text = F.concat(second_text(F.col("ts_sec")), F.lit("."), tenth).alias("ts")
+    return samples_of(rows, family).select(text, "server_id", *FAMILY_METRICS[family])
+
+
+def family_rows(spark: SparkSession, sf_dir: str, family: str, whole: bool = False) -> DataFrame:
+    """Decoded rows of all the family's samples; ``whole``: of all events."""
+    return rows_of(events(spark, sf_dir), family, whole)
 
 
-def family_records(spark: SparkSession, sf_dir: str, family: str) -> DataFrame:
-    """JSON records: (value, event_id)."""
-    rows = family_rows(spark, sf_dir, family)
+def family_records(spark: SparkSession, sf_dir: str, family: str, carry: list[str] | None = None) -> DataFrame:
+    """JSON records: (value, event_id, carried columns of events)."""
+    rows = rows_of(events(spark, sf_dir), family, carry=carry)
     return rows.select(
-        F.to_json(F.struct("ts", "server_id", *FAMILY_METRICS[family])).alias("value"), "event_id"
+        F.to_json(F.struct("ts", "server_id", *FAMILY_METRICS[family])).alias("value"), "event_id", *(carry or [])
     )
 
 
