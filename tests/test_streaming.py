@@ -10,6 +10,7 @@ from vigil.plans.reports import cpu_mem_report, report
 from vigil.plans.snapshots import decode_family
 from vigil.sources.records import stream_record_files
 from vigil.streaming.reports import late_rows, stream_report, stream_samples, with_tail, write_available
+from vigil.workload.queries import QUERIES
 
 FIRST = 1704150000
 DELAY = 20
@@ -188,3 +189,11 @@ def test_samples_are_not_multiplied_before_the_first_shuffle(spark, tmp_path):
     plan = query._jsq.explainInternal(False)
     first_shuffle = plan.rindex("Exchange")
     assert "Expand" not in plan[first_shuffle:]
+
+
+@pytest.mark.parametrize("events", ["event_id >= 0", "event_id < 100", "false"])
+def test_streaming_query_over_a_folder_of_files(spark, tmp_path, events):
+    table = spark.read.parquet("/root/testdata/sf0.001/events.parquet").where(events)
+    table.repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    found = QUERIES["stream_cpu_mem_alerts"](spark, str(tmp_path))
+    assert rows(found) == rows(QUERIES["cpu_mem_alerts"](spark, str(tmp_path)))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -23,7 +24,7 @@ from vigil.plans.snapshots import decode_family, raw_snapshot
 from vigil.schemas import family_schema
 from vigil.sources.records import read_record_files, topic_directory
 from vigil.sources.sinks import write_csv, write_parquet, write_report_by_date, write_snapshot_by_date, write_topic_files
-from vigil.sources.storage import job_folder
+from vigil.sources.storage import SETTING, job_folder
 from vigil.sources.tables import read_csv, read_dataset_csv, read_snapshot_csv, read_snapshot_parquet
 from vigil.sources.thresholds import read_thresholds, threshold_table as thresholds_from_lines
 from vigil.streaming.reports import late_rows, stream_report, stream_samples, with_tail, write_available
@@ -32,6 +33,14 @@ from vigil.workload import telemetry as tel
 ORDER = ["event_id"]
 
 
+def _run_folder(spark: SparkSession, name: str) -> str:
+    """A run's folder. These queries are their own caller, so they name one in a local session that has none."""
+    master = spark.conf.get("spark.master", "")
+    if not spark.conf.get(SETTING, None) and (master == "local" or master.startswith("local[")):
+        spark.conf.set(SETTING, tempfile.mkdtemp(prefix="vigil-"))
+    return job_folder(spark, name)
+
+
 def _samples(spark, sf_dir, *families, days=1):
     return [tel.family_samples(spark, sf_dir, f, days) for f in families]
 
@@ -300,7 +309,7 @@ def net_disk_from_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def net_disk_from_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Snapshots written and read back, then reported on as they are."""
-    folder = job_folder(spark, "net-disk-snapshots")
+    folder = _run_folder(spark, "net-disk-snapshots")
     for family in ("net", "disk"):
         write_parquet(raw_snapshot(tel.family_rows(spark, sf_dir, family), family, ORDER), f"{folder}/{family}")
     net, disk = (read_snapshot_parquet(spark, f"{folder}/{f}", f) for f in ("net", "disk"))
@@ -384,7 +393,7 @@ def tod_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = job_folder(spark, "csv-round-trip")
+    folder = _run_folder(spark, "csv-round-trip")
     result = sort_report(_cpu_mem(spark, sf_dir))
     write_csv(result, folder)
     return read_csv(spark, folder, result.schema)
@@ -400,7 +409,7 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _streamed(spark: SparkSession, sides: list[DataFrame], batch: DataFrame, name: str) -> DataFrame:
     """The CPU and memory report of two streams, with the windows still open at the end from the batch plan."""
-    folder = job_folder(spark, name)
+    folder = _run_folder(spark, name)
     alerts = stream_report(
         *sides, CPU_MEM, SlidingWindow(origin=tel.FIRST_SECOND), delay=f"{tel.STREAM_DELAY_SECONDS} seconds"
     )
@@ -451,7 +460,7 @@ def join_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def csv_odd_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A snapshot by CSV whose servers have quotes, commas, backslashes and blanks."""
-    folder = job_folder(spark, "csv-odd-text")
+    folder = _run_folder(spark, "csv-odd-text")
     names = F.array(*[F.lit(n) for n in tel.ODD_SERVERS])
     rows = tel.family_rows(spark, sf_dir, "cpu").withColumn("server_id", F.get(names, F.col("event_id") % len(tel.ODD_SERVERS)))
     write_csv(raw_snapshot(rows, "cpu", ORDER), folder)
@@ -465,7 +474,7 @@ def tod_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pipeline_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wide CSV, fan-out, topic files, snapshots, threshold file and report by date, each written and read."""
-    folder = job_folder(spark, "pipeline-files")
+    folder = _run_folder(spark, "pipeline-files")
     wide = tel.dataset(spark, sf_dir).withColumn("ts", tel.second_text(tel.event_second())).drop("event_id")
     write_csv(wide, f"{folder}/wide")
     write_topic_files(fan_out(read_dataset_csv(spark, f"{folder}/wide")), f"{folder}/topics")
