@@ -329,7 +329,7 @@ def repeated_spans(
     base = written(
         texts.select("doc_id", "row_key", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2(raw, 256).alias("digest")), "texts"
     )
-    firsts = base.groupBy("digest").agg(F.min("doc_id").alias("first_id"))
+    firsts = written(base.groupBy("digest").agg(F.min("doc_id").alias("first_id")), "firsts")  # joined anew, so that a hot digest can be split
     placed = written(
         base.join(firsts, "digest").withColumn("copy", F.coalesce(F.col("doc_id") > F.col("first_id"), F.lit(False))), "texts"
     )
