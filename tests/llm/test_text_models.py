@@ -144,6 +144,9 @@ def test_main_text():
     assert main_text("<article><p>cut off he") == "cut off he"
     assert main_text("<article><p>cut off</p><p cl") == "cut off"
     assert main_text("<p>a < b & c</p>") == "a < b & c"
+    comments = "<div id='comments'><article class='comment'><p>A reader says this.</p></article></div>"
+    assert main_text(f"<main><p>intro</p><article><p>x</p></article>{comments}<article class='related'><p>y</p></article></main>") == "x"
+    assert main_text("<main><h2>B</h2><p>x</p></main><p>other</p>") == "B\n\nx"
     assert main_text("<nav><p>never closed<article><p>in it</p></article>") == "in it"
     for empty in ("", "<!--", "<script>x", "<p></p>", "   "):
         assert main_text(empty) == ""

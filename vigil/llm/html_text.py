@@ -29,33 +29,40 @@ MARKS = frozenset(
     " recommended reply replies share sharing sidebar signup social sponsor sponsored subscribe toolbar widget complementary contentinfo".split()
 )
 
+# Of those, what makes an article of its own no main text.
+ASIDES = frozenset("comment comments disqus reply replies related recommended promo promotion sponsor sponsored".split())
+
 TAG = re.compile(r"<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([A-Za-z][A-Za-z0-9:-]*)([^>]*+)>|<!--|<[!?/]")
 MARKED = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 SPACE = re.compile(r"\s+")
 
 
-def _is_boilerplate(tag: str, attributes: str, in_main: bool) -> bool:
+def _boilerplate(tag: str, attributes: str, in_main: bool) -> int:
+    """0: may hold main text, 1: not unless an article begins in it, 2: not at all."""
     if tag in BOILERPLATE or (tag == "header" and not in_main):
-        return True
-    if not attributes or tag in ("html", "body", "main", "article"):
-        return False
-    for value in MARKED.findall(attributes):
-        if not MARKS.isdisjoint(re.split(r"[^a-z]+", "".join(value).lower())):
-            return True
-    return HIDDEN.search(attributes) is not None
-
-
-def page_lines(page: str) -> list[tuple[str, int, bool, int]]:
-    """The page's lines without markup: (text, characters in links, boilerplate, number of the region).
-
-    A line is the text of one block. Regions change where boilerplate and
-    article elements begin or end. Unclosed elements end with what holds them,
+        return 1
+    if not attributes or tag in ("html", "body", "main"):
+        return 0
+    words = {word for value in MARKED.findall(attributes) for word in re.split(r"[^a-z]+", "".join(value).lower())}
+    if not ASIDES.isdisjoint(words):
+        return 2
+    if tag == "article":
+        return 0
+    return int(not MARKS.isdisjoint(words) or HIDDEN.search(attributes) is not None)
+
+
+def page_lines(page: str) -> list[tuple[str, int, bool, int, int]]:
+    """The page's lines without markup: (text, characters in links, boilerplate, region, place).
+
+    A line is the text of one block. Its place is 2 in an article, 1 in the main
+    element, else 0. Regions change where boilerplate and such elements begin or
+    end. Unclosed elements end with what holds them,
     a paragraph or list item also with the next block; an article in unclosed
     boilerplate ends that.
     """
-    lines: list[tuple[str, int, bool, int]] = []
-    stack: list[tuple[str, bool]] = []
+    lines: list[tuple[str, int, bool, int, int]] = []
+    stack: list[tuple[str, int]] = []
     parts: list[str] = []
     linked, region, at, end = 0, 0, 0, len(page)
 
@@ -63,7 +70,9 @@ def page_lines(page: str) -> list[tuple[str, int, bool, int]]:
         nonlocal linked
         text = SPACE.sub(" ", "".join(parts)).strip()
         if text:
-            lines.append((text, linked, any(bad for _, bad in stack), region if any(t in MAIN for t, _ in stack) else -1 - region))
+            around = {t for t, _ in stack}
+            place = 2 if "article" in around else int("main" in around)
+            lines.append((text, linked, any(bad for _, bad in stack), region, place))
         parts.clear()
         linked = 0
 
@@ -116,7 +125,7 @@ def page_lines(page: str) -> list[tuple[str, int, bool, int]]:
                     if stack[i][0] in BLOCKS:
                         break
             else:
-                bad = _is_boilerplate(tag, attributes, any(t in MAIN for t, _ in stack))
+                bad = _boilerplate(tag, attributes, any(t in MAIN for t, _ in stack))
                 if bad:
                     flush()
                 stack.append((tag, bad))
@@ -129,11 +138,11 @@ def page_lines(page: str) -> list[tuple[str, int, bool, int]]:
         if holder >= 0 and not any(bad for _, bad in stack[holder + 1 :]):
             if stack[holder][0] in ENDED_BY_BLOCKS or stack[holder][0] == tag == "li":
                 close(stack[holder][0])
-        if tag in MAIN and any(bad for _, bad in stack):
-            stack = [(t, False) for t, _ in stack]
+        if tag in MAIN and any(bad == 1 for _, bad in stack):
+            stack = [(t, bad if bad == 2 else 0) for t, bad in stack]
         if tag == "hr":
             continue
-        bad = _is_boilerplate(tag, attributes, any(t in MAIN for t, _ in stack))
+        bad = _boilerplate(tag, attributes, any(t in MAIN for t, _ in stack))
         if bad or tag in MAIN:
             region += 1
         stack.append((tag, bad))
@@ -145,35 +154,35 @@ def main_text(page: str, width: int = 3, surge: int = 60) -> str:
     """The text between surge and dive points of a page's line blocks, blocks joined by two newlines.
 
     Each line weighs as much as its text outside links; boilerplate weighs
-    nothing, and so do lines outside the article where the page marks one.
+    nothing, and so do lines outside the article, or else the main element, where
+    the page marks one.
     Block i is the sum over `width` lines from i on, regions being `width`
     empty lines apart. A block of at least `surge` characters (of any where the
-    article is marked, or if no block on the page reaches it) is a surge; the
+    place is marked, or if no block on the page reaches it) is a surge; the
     text from there to the first empty block, the dive, is kept, lines of links
     included.
     """
     lines = page_lines(page)
-    own = [line for line in lines if not line[2]]
-    marked = any(region >= 0 for *_, region in own)
+    marked = max((place for _, _, bad, _, place in lines if not bad), default=0)
     spread: list[int] = []  # the line on each place, -1 where there is none
     last = None
-    for i, (_, _, bad, region) in enumerate(lines):
+    for i, (_, _, bad, region, place) in enumerate(lines):
         if region != last:
             spread.extend([-1] * width)
-        spread.append(-1 if bad or (marked and region < 0) else i)
+        spread.append(-1 if bad or place < marked else i)
         last = region
     weight = np.array([max(0, len(lines[i][0]) - lines[i][1]) if i >= 0 else 0 for i in spread] + [0] * width, np.int64)
     total = np.concatenate(([0], np.cumsum(weight)))
     blocks = total[width:] - total[:-width]
     least = 1 if marked or blocks.size == 0 else max(1, min(surge, int(blocks.max())))
     kept, inside = [], False
-    for place, block in enumerate(blocks[: len(spread)]):
+    for at, block in enumerate(blocks[: len(spread)]):
         if not inside and block >= least:
             inside = True
         elif inside and block == 0:
             inside = False
-        if inside and spread[place] >= 0:
-            kept.append(lines[spread[place]][0])
+        if inside and spread[at] >= 0:
+            kept.append(lines[spread[at]][0])
     return "\n\n".join(kept)
 
 
