@@ -17,6 +17,8 @@ from vigil.llm.common import text_of, written
 START = "^"
 NOT_LETTERS = re.compile(r"[\W_]+")
 LOOSE = re.compile(r"(?:(?<=\s)|^)(?:\w(?:[^\w\s]|_)*+\s++){2,}\w(?=(?:[^\w\s]|_)*+(?:\s|$))")
+#: A word repeated in a passage counts this many times at most, so that junk of one word adds up to nothing.
+REPEATS = 2
 #: Words are read in windows of this many characters, STRIDE apart.
 WINDOW, STRIDE = 8, 3
 
@@ -146,7 +148,7 @@ class ToxicityModel:
 class WordCache:
     """Kernels of the tokens seen so far in this worker, for at most `room` tokens."""
 
-    def __init__(self, landmarks: Landmarks, room: int = 500_000) -> None:
+    def __init__(self, landmarks: Landmarks, room: int = 200_000) -> None:
         self.landmarks, self.room = landmarks, room
         self.seen: set[str] = set()
         self.near: dict[str, list[tuple[int, float]]] = {}
@@ -176,12 +178,18 @@ def passages(texts: list[str], cache: WordCache, together: int = 256) -> Iterato
 
 
 def best_passage(hits: list[tuple[int, str]], worth: dict[str, float], span: int) -> tuple[float, int, int]:
-    """Largest sum of the worth of hits[i:j] within `span` tokens, with i and j."""
+    """Largest sum of the worth of hits[i:j] within `span` tokens, with i and j; a token counts REPEATS times at most."""
     best, total, first = (0.0, 0, 0), 0.0, 0
+    held: Counter[str] = Counter()
     for j, (at, token) in enumerate(hits):
-        total += worth[token]
+        held[token] += 1
+        if held[token] <= REPEATS:
+            total += worth[token]
         while hits[first][0] <= at - span:
-            total -= worth[hits[first][1]]
+            gone = hits[first][1]
+            held[gone] -= 1
+            if held[gone] < REPEATS:
+                total -= worth[gone]
             first += 1
         if total > best[0]:
             best = (total, first, j + 1)
@@ -246,7 +254,7 @@ def train_toxicity(
     Landmarks are the pieces of words that most tell the classes apart by the
     share of documents with them (toxic less 4 times the others', at least
     `least_lift`), no two with four characters in common. A passage is `span` words; its kernel to a
-    landmark is the sum over its words. Each document gives the passage nearest
+    landmark is the sum over its words, each twice at most. Each document gives the passage nearest
     the landmarks; only vectors over the landmarks and `candidates` pieces reach
     the driver. Unlabelled rows and null ids are not
     learned from. Without labelled documents of both classes every score is the
@@ -303,9 +311,9 @@ def train_toxicity(
                 worth = {token: max(value for _, value in cache.near[token]) for _, token in hits}
                 _, i, j = best_passage(hits, worth, span)
                 x = np.zeros(m)
-                for _, token in hits[i:j]:
+                for token, times in Counter(token for _, token in hits[i:j]).items():
                     for mark, value in cache.near[token]:
-                        x[mark] += value
+                        x[mark] += value * min(times, REPEATS)
                 out.append((doc_id, int(y > 0), x))
             yield pd.DataFrame(out, columns=["doc_id", "y", "x"])
 
