@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from vigil.llm.common import text_of, written
 
@@ -46,6 +48,12 @@ def apportion(weights: np.ndarray, seats: int, caps: np.ndarray) -> np.ndarray:
     return got
 
 
+def drawn(seed: int, *parts: str) -> Column:
+    """A number from 0 below 2**60 that the seed and the columns decide, the same in any engine with md5."""
+    text = F.concat_ws(":", F.lit(str(seed)), *[F.col(p).cast("string") for p in parts])
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
+
+
 def with_targets(sources: DataFrame, ceiling: int = 3) -> DataFrame:
     """sources (source, source_size) with weight and target.
 
@@ -122,8 +130,8 @@ def mix_sources(
     named = sources.withColumnRenamed("source", "s")
     dealt = written(
         sized.join(named, F.col("source").eqNullSafe(F.col("s")))
-        .select("doc_id", "source", "size", F.xxhash64(F.lit(seed), "doc_id").alias("place"), "n_shards")
-        .withColumn("shard", F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id"), "n_shards"))
+        .select("doc_id", "source", "size", drawn(seed, "doc_id").alias("place"), "n_shards")
+        .withColumn("shard", F.pmod(drawn(seed + 1, "doc_id"), "n_shards"))
         .drop("n_shards"),
         "dealt",
     )
@@ -137,7 +145,7 @@ def mix_sources(
     def source_quotas(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("source", na_position="last", kind="stable")
         total = int(pdf["source_size"].sum())
-        pdf["blocks"] = apportion(pdf["target"], round(total / block), pdf["n_blocks"] * ceiling)
+        pdf["blocks"] = apportion(pdf["target"], math.floor(total / block + 0.5), pdf["n_blocks"] * ceiling)
         return pdf[["source", "blocks"]]
 
     quotas = (
@@ -163,7 +171,7 @@ def mix_sources(
     line = Window.partitionBy("source", "shard").orderBy("place", "doc_id")
     laid = dealt.withColumn("end", F.sum("size").over(line.rowsBetween(Window.unboundedPreceding, 0)))
     passes = F.when(F.col("n_blocks") > 0, F.floor(F.col("quota") / F.col("n_blocks"))).otherwise(0).cast("long")
-    first = F.when(F.col("n_blocks") > 0, F.pmod(F.xxhash64(F.lit(seed + 2), "source", "shard"), "n_blocks")).otherwise(0)
+    first = F.when(F.col("n_blocks") > 0, F.pmod(drawn(seed + 2, "source", "shard"), "n_blocks")).otherwise(0)
     chosen = (
         laid.join(quotas, F.col("source").eqNullSafe(F.col("s")) & (F.col("shard") == F.col("k")))
         .withColumn("passes", passes)

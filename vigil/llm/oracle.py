@@ -138,3 +138,65 @@ FROM lines l LEFT JOIN base_rows b ON l.doc_id = b.doc_id LEFT JOIN all_rows r O
 
 
 LLM_ORACLE["op1_license_scan"] = _license_scan()
+
+
+def _mix_sources(block: int = 8, ceiling: int = 3, shard_rows: int = 2000, seed: int = 42) -> str:
+    """Every seat has its quotient here, and the highest are taken."""
+
+    def drawn(n: int, *parts: str) -> str:
+        return f"CAST('0x' || substring(md5(concat_ws(':', '{n}', {', '.join(parts)})), 1, 15) AS BIGINT)"
+
+    return rf"""
+WITH sized AS (
+    SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+      {drawn(seed, 'doc_id')} AS place, {drawn(seed + 1, 'doc_id')} AS deal
+    FROM documents),
+totals AS (
+    SELECT source, CAST(sum(size) AS BIGINT) AS source_size, CAST(ceil(count(*) / {shard_rows}.0) AS BIGINT) AS n_shards,
+      row_number() OVER (ORDER BY source NULLS LAST) - 1 AS nth
+    FROM sized GROUP BY source),
+weighed AS (SELECT *, nth % 3 + 1 AS weight, {ceiling} * source_size AS most, sum(source_size) OVER () AS everything FROM totals),
+running AS (
+    SELECT *, everything - coalesce(sum(most) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
+      sum(weight) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weights
+    FROM weighed WINDOW w AS (ORDER BY most / weight, nth)),
+sources AS (
+    SELECT source, source_size, n_shards, nth, everything,
+      CASE WHEN most * weights <= weight * rest THEN CAST(most AS DOUBLE)
+        ELSE CAST(weight * max(rest) FILTER (WHERE most * weights > weight * rest) OVER () AS DOUBLE)
+          / CAST(max(weights) FILTER (WHERE most * weights > weight * rest) OVER () AS DOUBLE) END AS target
+    FROM running),
+dealt AS (SELECT d.*, deal % n_shards AS shard FROM sized d JOIN sources s ON d.source IS NOT DISTINCT FROM s.source),
+shards AS (
+    SELECT source, shard, CAST(sum(size) AS BIGINT) AS shard_size, CAST(ceil(sum(size) / {block}.0) AS BIGINT) AS n_blocks
+    FROM dealt GROUP BY source, shard),
+room AS (SELECT source, sum(n_blocks) AS n_blocks FROM shards GROUP BY source),
+source_seats AS (
+    SELECT source, count(*) AS blocks FROM (
+      SELECT source, row_number() OVER (ORDER BY target / (2 * seat + 1) DESC, nth, seat) AS rank, everything
+      FROM (SELECT s.*, unnest(range(CAST({ceiling} * n_blocks AS BIGINT))) AS seat
+            FROM sources s JOIN room r ON s.source IS NOT DISTINCT FROM r.source WHERE target > 0) x) y
+    WHERE rank <= floor(everything / {block} + 0.5) GROUP BY source),
+shard_seats AS (
+    SELECT source, shard, count(*) AS quota FROM (
+      SELECT source, shard, blocks, row_number() OVER (PARTITION BY source ORDER BY shard_size / (2 * seat + 1) DESC, shard, seat) AS rank
+      FROM (SELECT h.*, blocks, unnest(range({ceiling} * n_blocks)) AS seat
+            FROM shards h JOIN source_seats q ON h.source IS NOT DISTINCT FROM q.source WHERE shard_size > 0) x) y
+    WHERE rank <= blocks GROUP BY source, shard),
+laid AS (
+    SELECT d.doc_id, d.source, size, n_blocks, coalesce(quota, 0) AS quota,
+      sum(size) OVER (PARTITION BY d.source, d.shard ORDER BY place, d.doc_id ROWS UNBOUNDED PRECEDING) AS upto,
+      {drawn(seed + 2, 'd.source', 'd.shard')} AS start
+    FROM dealt d JOIN shards h ON d.source IS NOT DISTINCT FROM h.source AND d.shard = h.shard
+    LEFT JOIN shard_seats q ON d.source IS NOT DISTINCT FROM q.source AND d.shard = q.shard),
+turned AS (
+    SELECT *, CASE WHEN n_blocks > 0 THEN quota // n_blocks ELSE 0 END AS passes, CASE WHEN n_blocks > 0 THEN start % n_blocks ELSE 0 END AS a FROM laid),
+chosen AS (SELECT *, a + quota - passes * n_blocks AS b FROM turned)
+SELECT doc_id, size, source_size, target,
+  CAST(size * passes + greatest(0, least(upto, b * {block}) - greatest(upto - size, a * {block}))
+    + greatest(0, least(upto, (b - n_blocks) * {block}) - (upto - size)) AS BIGINT) AS taken
+FROM chosen c JOIN sources s ON c.source IS NOT DISTINCT FROM s.source
+"""
+
+
+LLM_ORACLE["op6_mix_sources"] = _mix_sources()
