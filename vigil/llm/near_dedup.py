@@ -222,7 +222,8 @@ def near_groups(
 
 def _members(buckets: DataFrame) -> DataFrame:
     """(bucket, class, degree) for buckets of several classes; degree: how many others the class meets in all."""
-    shared = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    # what is known of buckets is written before it meets their rows: a join of two shuffles can split a hot bucket
+    shared = written(buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
     met = written(buckets.join(shared, "bucket"), "members")
     degrees = met.groupBy("class").agg(F.sum(F.col("n") - 1).alias("degree"))
     return written(met.drop("n").join(degrees, "class"), "members")
@@ -243,10 +244,10 @@ def _by_stars(
         if left.limit(1).count() == 0:
             break
         best = F.max_by(F.struct("class", "component"), F.struct("degree", "class"))
-        centres = left.groupBy("bucket").agg(best.alias("centre"))
+        centres = written(left.groupBy("bucket").agg(best.alias("centre")), "centres")
         if turn:
             outside = left.join(centres, "bucket").where(F.col("component") != F.col("centre.component"))
-            centres = outside.groupBy("bucket").agg(best.alias("centre"))
+            centres = written(outside.groupBy("bucket").agg(best.alias("centre")), "centres")
         pairs = (
             left.join(centres, "bucket")
             .where(F.col("component") != F.col("centre.component"))
@@ -270,7 +271,7 @@ def _open(members: DataFrame, reached: DataFrame) -> DataFrame:
         .where("low < high")
         .select("bucket")
     )
-    return written(with_component.join(several, "bucket"), "members")
+    return written(with_component.join(written(several, "buckets"), "bucket"), "members")
 
 
 def _alike(
@@ -301,7 +302,7 @@ def _alike(
     wanted = written(members.select("class").distinct(), "wanted")
     drawn = bags.join(wanted, "class", "left_semi").mapInPandas(sketch, "class long, sketch binary")
     sketches = written(drawn.join(banded, "class"), "sketches")
-    blocks = members.groupBy("bucket").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("blocks"))
+    blocks = written(members.groupBy("bucket").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("blocks")), "blocks")
     dealt = members.join(blocks, "bucket").withColumn("own", F.pmod(F.xxhash64("class"), "blocks").cast("int"))
     units = dealt.select(
         "bucket", "class", "component", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
