@@ -204,8 +204,8 @@ def near_groups(
     banded = written(spread, "bands")
     members = _members(banded.select("class", F.explode("band").alias("bucket")))
     bags = written(_bags(texts, members.select("class").distinct(), classes, words), "bags")
-    alone = members.select(F.col("class").alias("v"), F.col("class").alias("component")).distinct()
-    links, open_members = _by_stars(members, alone, bags, threshold, star_rounds)
+    apart = members.select(F.col("class").alias("v"), F.col("class").alias("component")).distinct()
+    links, open_members = _by_stars(members, apart, bags, threshold, star_rounds)
     if open_members.limit(1).count():
         alike = written(_alike(open_members, banded, bags, threshold, sketch_registers, block_rows), "pairs")
         links = links.unionByName(written(_verified(alike, bags, threshold), "links"))
