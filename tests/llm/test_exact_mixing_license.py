@@ -1,13 +1,14 @@
 import hashlib
 import re
 from collections import Counter, defaultdict
+from re import _constants, _parser
 
 import numpy as np
 import pytest
 
 from tests.llm.helpers import DOCS, documents, odd_documents
 from vigil.llm.exact_dedup import drop_exact_copies, exact_groups
-from vigil.llm.license_scan import BASE_RULE, PHRASES, scan_licenses, signature_rules
+from vigil.llm.license_scan import BASE_RULE, LICENSES, PHRASES, scan_licenses, signature_rules
 from vigil.llm.mixing import apportion, mix_sources
 
 
@@ -150,6 +151,41 @@ def test_licenses_equal_brute_force(spark):
     assert len(signature_rules()) > 200
 
 
+def spellings(parts):
+    """All texts a parsed pattern of groups, branches, classes and options matches."""
+    out = [""]
+    for kind, value in parts:
+        if kind is _constants.LITERAL:
+            ways = [chr(value)]
+        elif kind is _constants.IN:
+            ways = [chr(c) for k, v in value for c in ([v] if k is _constants.LITERAL else range(v[0], v[1] + 1))]
+        elif kind is _constants.SUBPATTERN:
+            ways = spellings(value[3])
+        elif kind is _constants.BRANCH:
+            ways = [w for branch in value[1] for w in spellings(branch)]
+        else:
+            assert kind is _constants.MAX_REPEAT and value[:2] == (0, 1)
+            ways = ["", *spellings(value[2])]
+        out = [a + b for a in out for b in ways]
+    return out
+
+
+def test_licenses_by_all_names(spark):
+    texts = [
+        "Distributed under the terms of the GPL version 3",
+        "Released under Apache 2.0, covered under the terms and conditions of Expat",
+        "Licensed under the Creative Commons Attribution-ShareAlike 4.0",
+        "subject to the GNU Library General Public License version 2.0",
+    ]
+    names = sorted({name for _, _, pattern in LICENSES for name in spellings(_parser.parse(pattern))})
+    texts += [line for name in names for line in (f"released under {name}", f"a copy of the {name} license", f"according to the {name.upper()}.")]
+    docs = documents(spark, [(i, t, None, None, None) for i, t in enumerate(texts)])
+    found = {r.doc_id: tuple(r)[1:8] for r in scan_licenses(docs).collect()}
+    assert found == {i: scan(t) for i, t in enumerate(texts)}
+    assert [found[i][5] for i in range(4)] == ["gpl-3", "apache-2,mit", "cc-by-sa", "lgpl-2.1"]
+    assert all(found[i][5] for i in found)
+
+
 def test_license_plan_is_native(spark):
     plan = scan_licenses(spark.createDataFrame([], DOCS))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan

@@ -1,13 +1,15 @@
 """License scans: ordered signature rules in built-in functions only.
 
 Rules are regular expressions over the text's words, written as template times
-license. A rule runs on a document only if its keyword occurs there. Matches
-contained in a longer match, or in an equal one of a better rule, are suppressed.
+license. A rule runs on a document only if a keyword of its license and one of
+any template occur there; a match always has both. Matches contained in a longer match, or in an equal one of a better rule, are suppressed.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -20,64 +22,66 @@ PHRASES = {
     "cc by nc": "cc-by-nc",
 }
 
-# Label, a word each text with that name has, and the name as a
-# pattern over words in lower case with one space between them.
+# Label, words of which each text with that name has at least one
+# (with a space where a word begins or ends), and the name as a pattern over
+# words in lower case with one space between them.
 LICENSES = [
-    ("mit", "mit", "(?:mit|expat|mit x11)"),
-    ("mit-0", "mit", "mit (?:0|no attribution)"),
-    ("apache-1", "apache", "apache (?:software )?(?:license )?(?:version )?1 [01]"),
-    ("apache-2", "apache", "(?:apache|asl) (?:software )?(?:license )?(?:version |v )?2(?: 0)?"),
-    ("bsd-2-clause", "bsd", "(?:bsd 2 clause|2 clause bsd|simplified bsd|freebsd)"),
-    ("bsd-3-clause", "bsd", "(?:bsd 3 clause|3 clause bsd|new bsd|modified bsd|revised bsd)"),
-    ("bsd-4-clause", "bsd", "(?:bsd 4 clause|4 clause bsd|original bsd)"),
-    ("0bsd", "bsd", "(?:0bsd|bsd 0 clause|zero clause bsd)"),
-    ("isc", "isc", "(?:isc|internet systems consortium)"),
-    ("zlib", "zlib", "zlib(?: libpng)?"),
-    ("gpl-2", "gpl", "(?:gnu )?gpl ?(?:version |v ?)?2(?: 0)?(?: only| or later)?"),
-    ("gpl-3", "gpl", "(?:gnu )?gpl ?(?:version |v ?)?3(?: 0)?(?: only| or later)?"),
-    ("gpl-2", "general", "gnu general public license (?:version |v ?)2(?: 0)?"),
-    ("gpl-3", "general", "gnu general public license (?:version |v ?)3(?: 0)?"),
-    ("gpl", "general", "gnu general public license"),
-    ("lgpl-2.1", "lesser", "gnu (?:lesser|library) general public license (?:version |v ?)2(?: [01])?"),
-    ("lgpl-3", "lesser", "gnu lesser general public license (?:version |v ?)3(?: 0)?"),
-    ("lgpl-2.1", "lgpl", "lgpl ?(?:version |v ?)?2(?: [01])?(?: only| or later)?"),
-    ("lgpl-3", "lgpl", "lgpl ?(?:version |v ?)?3(?: 0)?(?: only| or later)?"),
-    ("agpl-3", "affero", "(?:gnu )?affero general public license(?: (?:version |v ?)3(?: 0)?)?"),
-    ("agpl-3", "agpl", "agpl ?(?:version |v ?)?3(?: 0)?(?: only| or later)?"),
-    ("mpl-1.1", "mozilla", "mozilla public license (?:version |v ?)?1 [01]"),
-    ("mpl-2", "mozilla", "mozilla public license (?:version |v ?)?2(?: 0)?"),
-    ("mpl-2", "mpl", "mpl (?:version |v ?)?2(?: 0)?"),
-    ("epl-1", "eclipse", "eclipse public license (?:version |v ?)?1(?: 0)?"),
-    ("epl-2", "eclipse", "eclipse public license (?:version |v ?)?2(?: 0)?"),
-    ("cddl-1", "cddl", "cddl(?: (?:version |v ?)?1(?: [01])?)?"),
-    ("unlicense", "unlicense", "(?:the )?unlicense"),
-    ("wtfpl", "wtfpl", "wtfpl(?: (?:version |v ?)?2)?"),
-    ("artistic-2", "artistic", "artistic(?: license)?(?: (?:version |v ?)?2(?: 0)?)?"),
-    ("boost-1", "boost", "boost software(?: license)?(?: (?:version )?1 0)?"),
-    ("bsl-1", "bsl", "bsl (?:version )?1 [01]"),
-    ("eupl-1.2", "eupl", "(?:eupl|european union public license)(?: (?:version |v ?)?1 [0-2])?"),
-    ("ofl-1.1", "ofl", "(?:sil )?(?:ofl|open font license)(?: (?:version |v ?)?1 1)?"),
-    ("psf-2", "python", "(?:psf|python software foundation)(?: license)?(?: (?:version )?2(?: 0)?)?"),
-    ("postgresql", "postgresql", "postgresql"),
-    ("odbl-1", "odbl", "(?:odbl|open database license)(?: (?:version |v ?)?1 0)?"),
-    ("cc0-1", "cc0", "cc0(?: 1 0)?(?: universal)?"),
-    ("cc-by", "cc", "(?:cc by|creative commons attribution)(?: [1-4] 0)?(?: international| unported)?"),
-    ("cc-by-sa", "cc", "(?:cc by sa|creative commons attribution share ?alike)(?: [1-4] 0)?"),
-    ("cc-by-nd", "cc", "(?:cc by nd|creative commons attribution no ?deriv(?:s|atives))(?: [1-4] 0)?"),
-    ("cc-by-nc", "cc", "(?:cc by nc|creative commons attribution non ?commercial)(?: [1-4] 0)?"),
-    ("cc-by-nc-sa", "cc", "(?:cc by nc sa|creative commons attribution non ?commercial share ?alike)(?: [1-4] 0)?"),
-    ("cc-by-nc-nd", "cc", "(?:cc by nc nd|creative commons attribution non ?commercial no ?deriv(?:s|atives))(?: [1-4] 0)?"),
+    ("mit", (" mit ", " expat "), "(?:mit|expat|mit x11)"),
+    ("mit-0", (" mit ",), "mit (?:0|no attribution)"),
+    ("apache-1", (" apache ",), "apache (?:software )?(?:license )?(?:version )?1 [01]"),
+    ("apache-2", (" apache ", " asl "), "(?:apache|asl) (?:software )?(?:license )?(?:version |v )?2(?: 0)?"),
+    ("bsd-2-clause", ("bsd ",), "(?:bsd 2 clause|2 clause bsd|simplified bsd|freebsd)"),
+    ("bsd-3-clause", ("bsd ",), "(?:bsd 3 clause|3 clause bsd|new bsd|modified bsd|revised bsd)"),
+    ("bsd-4-clause", ("bsd ",), "(?:bsd 4 clause|4 clause bsd|original bsd)"),
+    ("0bsd", ("bsd ",), "(?:0bsd|bsd 0 clause|zero clause bsd)"),
+    ("isc", (" isc ", " internet systems consortium "), "(?:isc|internet systems consortium)"),
+    ("zlib", (" zlib ",), "zlib(?: libpng)?"),
+    ("gpl-2", (" gpl",), "(?:gnu )?gpl ?(?:version |v ?)?2(?: 0)?(?: only| or later)?"),
+    ("gpl-3", (" gpl",), "(?:gnu )?gpl ?(?:version |v ?)?3(?: 0)?(?: only| or later)?"),
+    ("gpl-2", (" general public ",), "gnu general public license (?:version |v ?)2(?: 0)?"),
+    ("gpl-3", (" general public ",), "gnu general public license (?:version |v ?)3(?: 0)?"),
+    ("gpl", (" general public ",), "gnu general public license"),
+    ("lgpl-2.1", (" lesser general ", " library general "), "gnu (?:lesser|library) general public license (?:version |v ?)2(?: [01])?"),
+    ("lgpl-3", (" lesser general ", " library general "), "gnu lesser general public license (?:version |v ?)3(?: 0)?"),
+    ("lgpl-2.1", (" lgpl",), "lgpl ?(?:version |v ?)?2(?: [01])?(?: only| or later)?"),
+    ("lgpl-3", (" lgpl",), "lgpl ?(?:version |v ?)?3(?: 0)?(?: only| or later)?"),
+    ("agpl-3", (" affero ",), "(?:gnu )?affero general public license(?: (?:version |v ?)3(?: 0)?)?"),
+    ("agpl-3", (" agpl",), "agpl ?(?:version |v ?)?3(?: 0)?(?: only| or later)?"),
+    ("mpl-1.1", (" mozilla ",), "mozilla public license (?:version |v ?)?1 [01]"),
+    ("mpl-2", (" mozilla ",), "mozilla public license (?:version |v ?)?2(?: 0)?"),
+    ("mpl-2", (" mpl ",), "mpl (?:version |v ?)?2(?: 0)?"),
+    ("epl-1", (" eclipse ",), "eclipse public license (?:version |v ?)?1(?: 0)?"),
+    ("epl-2", (" eclipse ",), "eclipse public license (?:version |v ?)?2(?: 0)?"),
+    ("cddl-1", (" cddl ",), "cddl(?: (?:version |v ?)?1(?: [01])?)?"),
+    ("unlicense", (" unlicense ",), "(?:the )?unlicense"),
+    ("wtfpl", (" wtfpl ",), "wtfpl(?: (?:version |v ?)?2)?"),
+    ("artistic-2", (" artistic ",), "artistic(?: license)?(?: (?:version |v ?)?2(?: 0)?)?"),
+    ("boost-1", (" boost ",), "boost software(?: license)?(?: (?:version )?1 0)?"),
+    ("bsl-1", (" bsl ",), "bsl (?:version )?1 [01]"),
+    ("eupl-1.2", (" eupl ", " european union "), "(?:eupl|european union public license)(?: (?:version |v ?)?1 [0-2])?"),
+    ("ofl-1.1", (" ofl ", " open font "), "(?:sil )?(?:ofl|open font license)(?: (?:version |v ?)?1 1)?"),
+    ("psf-2", (" psf ", " python software "), "(?:psf|python software foundation)(?: license)?(?: (?:version )?2(?: 0)?)?"),
+    ("postgresql", (" postgresql ",), "postgresql"),
+    ("odbl-1", (" odbl ", " open database "), "(?:odbl|open database license)(?: (?:version |v ?)?1 0)?"),
+    ("cc0-1", (" cc0 ",), "cc0(?: 1 0)?(?: universal)?"),
+    ("cc-by", (" cc by ", " creative commons "), "(?:cc by|creative commons attribution)(?: [1-4] 0)?(?: international| unported)?"),
+    ("cc-by-sa", (" cc by ", " creative commons "), "(?:cc by sa|creative commons attribution share ?alike)(?: [1-4] 0)?"),
+    ("cc-by-nd", (" cc by ", " creative commons "), "(?:cc by nd|creative commons attribution no ?deriv(?:s|atives))(?: [1-4] 0)?"),
+    ("cc-by-nc", (" cc by ", " creative commons "), "(?:cc by nc|creative commons attribution non ?commercial)(?: [1-4] 0)?"),
+    ("cc-by-nc-sa", (" cc by ", " creative commons "), "(?:cc by nc sa|creative commons attribution non ?commercial share ?alike)(?: [1-4] 0)?"),
+    ("cc-by-nc-nd", (" cc by ", " creative commons "), "(?:cc by nc nd|creative commons attribution non ?commercial no ?deriv(?:s|atives))(?: [1-4] 0)?"),
 ]
 
-# How a text refers to a license, best first, and how sure it is.
+# How a text refers to a license, best first, what each such text
+# has, and how sure it is.
 TEMPLATES = [
-    ("spdx license identifier {}", 1.0),
-    ("(?:licensed|released|distributed|published|provided|available|covered) under (?:the )?(?:terms (?:and conditions )?of (?:the )?)?{}(?: licen[cs]e)?", 0.95),
-    ("(?:subject|according) to (?:the )?(?:terms (?:and conditions )?of (?:the )?)?{}(?: licen[cs]e)?", 0.9),
-    ("under (?:the )?{} licen[cs]e", 0.85),
-    ("(?:see|read|accept|copy of) (?:the )?{} licen[cs]e", 0.8),
-    ("licen[cs]e (?:is |type |identifier |name )?(?:the )?{}", 0.7),
-    ("{} licen[cs]e", 0.6),
+    ("spdx license identifier {}", "licen[cs]e", 1.0),
+    ("(?:licensed|released|distributed|published|provided|available|covered) under (?:the )?(?:terms (?:and conditions )?of (?:the )?)?{}(?: licen[cs]e)?", " under ", 0.95),
+    ("(?:subject|according) to (?:the )?(?:terms (?:and conditions )?of (?:the )?)?{}(?: licen[cs]e)?", "(?:subject|according) to ", 0.9),
+    ("under (?:the )?{} licen[cs]e", "licen[cs]e", 0.85),
+    ("(?:see|read|accept|copy of) (?:the )?{} licen[cs]e", "licen[cs]e", 0.8),
+    ("licen[cs]e (?:is |type |identifier |name )?(?:the )?{}", "licen[cs]e", 0.7),
+    ("{} licen[cs]e", "licen[cs]e", 0.6),
 ]
 
 BASE_RULE = -1
@@ -88,7 +92,7 @@ NOT_A_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 class Rule:
     priority: int
     label: str
-    keyword: str
+    keywords: tuple[str, ...]
     pattern: str
     sure: float
 
@@ -96,9 +100,9 @@ class Rule:
 def signature_rules() -> list[Rule]:
     """Rules in order: by template, then by license; 0 is the best priority."""
     return [
-        Rule(i * len(LICENSES) + j, label, keyword, rf"(?<= ){template.format(name)}(?= )", sure)
-        for i, (template, sure) in enumerate(TEMPLATES)
-        for j, (label, keyword, name) in enumerate(LICENSES)
+        Rule(i * len(LICENSES) + j, label, keywords, rf"(?<= ){template.format(name)}(?= )", sure)
+        for i, (template, _, sure) in enumerate(TEMPLATES)
+        for j, (label, keywords, name) in enumerate(LICENSES)
     ]
 
 
@@ -159,25 +163,26 @@ def scan_licenses(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     n_words = F.when(F.col("words") == "", 0).otherwise(
         F.octet_length("words") - F.octet_length(F.replace(F.col("words"), F.lit(" "), F.lit(""))) + 1
     )
+    reference = "|".join([*dict.fromkeys(needed for _, needed, _ in TEMPLATES), *PHRASES])
     gated = plain.select(
         "doc_id",
         n_words.cast("long").alias("n_words"),
-        F.when(F.col("words").rlike("(?i)licen[cs]|spdx|cc by"), lower).alias("words"),
+        F.when(F.col("words").rlike(f"(?i){reference}"), lower).alias("words"),
     )
 
     base_rules = F.array(*[_rule(BASE_RULE, label, f"(?<= ){phrase}(?= )", 1.0) for phrase, label in PHRASES.items()])
-    by_keyword: dict[str, list[Rule]] = {}
+    by_keywords: dict[tuple[str, ...], list[Rule]] = {}
     for rule in signature_rules():
-        by_keyword.setdefault(rule.keyword, []).append(rule)
+        by_keywords.setdefault(rule.keywords, []).append(rule)
     none = F.array().cast("array<struct<priority:int,label:string,pattern:string,sure:double>>")
     rules = F.concat(
         base_rules,
         *[
             F.when(
-                F.contains(F.col("words"), F.lit(keyword)),
+                reduce(or_, [F.contains(F.col("words"), F.lit(keyword)) for keyword in keywords]),
                 F.array(*[_rule(r.priority, r.label, r.pattern, r.sure) for r in own]),
             ).otherwise(none)
-            for keyword, own in by_keyword.items()
+            for keywords, own in by_keywords.items()
         ],
     )
     nothing = F.array().cast("array<struct<start:int,end:int,priority:int,label:string,sure:double>>")
