@@ -11,7 +11,7 @@ from tests.llm.helpers import documents, odd_documents, sentence
 from vigil.llm.html_text import extract_text, main_text
 from vigil.llm.packing import best_two_fit, pack_documents
 from vigil.llm.personal_data import added_spans, find_personal_data, pattern_spans, train_skip_chain
-from vigil.llm.toxicity import codes, drop_toxic, held_out_fold, score_toxicity, subsequence_kernel, train_toxicity
+from vigil.llm.toxicity import codes, drop_toxic, held_out_fold, inserted, score_toxicity, subsequence_kernel, train_toxicity
 
 
 def test_pieces_and_sequences(spark):
@@ -203,6 +203,33 @@ def test_toxicity(spark):
     assert left.columns == docs.columns and left.where("doc_id IS NULL").count() == 1
 
 
+def test_toxicity_of_stretched_insults(spark):
+    insults = ["blockhead", "numbskull", "dimwit"]
+
+    def put(i, forms):
+        words = sentence(i, 60).split()
+        words[10:10], words[20:20], words[30:30] = ([f] for f in forms)
+        return " ".join(words)
+
+    rows = [(i, put(i, insults) if i % 5 == 0 else sentence(i, 60), None, None, None) for i in range(500)]
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(500)], "doc_id long, toxic int")
+    model = train_toxicity(documents(spark, rows), labels, sample_rows=200)
+    for k, inserted in enumerate(("x", "xz")):
+        stretched = [inserted.join(word) for word in insults]
+        glued = [f"gry{inserted.join(word)}zix" for word in insults]
+        held = [(1000 + i, put(i, (stretched, glued)[i % 2]), None, None, None) for i in range(20)]
+        junk = "".join(hashlib.sha256(bytes([k, i])).hexdigest() for i in range(200))
+        held += [(2000 + i, f"{sentence(i, 60)} {junk[i:]}", None, None, None) for i in range(5)]
+        found = score_toxicity(documents(spark, held), model).collect()
+        assert [r.predicted for r in sorted(found, key=lambda r: r.doc_id)] == [1] * 20 + [0] * 5
+
+
+def test_inserted_characters():
+    words = ["^idiot", "^idxioxt", "^ixdxixoxt", "^abcidiotdef", "^idio", "^incident", "^toidi", "^iixdiot"]
+    assert [n if n < 99 else None for n in inserted(codes(words), "^idiot")] == [0, 2, 4, 1, None, None, None, 2]
+    assert list(inserted(codes(["^xworxthless"]), "worthless")) == [1]
+
+
 def test_toxicity_without_labels(spark):
     docs = documents(spark)
     labels = spark.createDataFrame([], "doc_id long, toxic int")

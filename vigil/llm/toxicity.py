@@ -21,6 +21,8 @@ LOOSE = re.compile(r"(?:(?<=\s)|^)(?:\w(?:[^\w\s]|_)*+\s++){2,}\w(?=(?:[^\w\s]|_
 REPEATS = 2
 #: Words are read in windows of this many characters, STRIDE apart.
 WINDOW, STRIDE = 8, 3
+#: More characters than any word has.
+FAR = 1 << 30
 
 
 def letters(token: str) -> str:
@@ -81,13 +83,41 @@ def similarity(s: np.ndarray, t: np.ndarray, own_s: np.ndarray, own_t: np.ndarra
     return np.minimum(subsequence_kernel(s, t) / np.sqrt(np.maximum(own_s * own_t, 1e-300)), 1.0) ** power
 
 
+def inserted(chars: np.ndarray, mark: str) -> np.ndarray:
+    """Per row the fewest characters between those of `mark`, found in order anywhere in the word; FAR if they are not.
+
+    A START the word does not begin with counts as one character.
+    """
+    n, width = chars.shape
+    place = np.arange(width, dtype=np.int32)
+    cost = np.where(chars == ord(mark[0]), 0, FAR).astype(np.int32)
+    for k, letter in enumerate(mark[1:]):
+        before = np.minimum.accumulate(cost - place, axis=1)
+        fewest = np.full((n, width), FAR, np.int32)
+        fewest[:, 1:] = before[:, :-1] + place[1:] - 1
+        if k == 0 and mark[0] == START:
+            fewest = np.minimum(fewest, 1)
+        cost = np.where(chars == ord(letter), np.minimum(fewest, FAR), FAR)
+    return cost.min(axis=1)
+
+
 @dataclass
 class Landmarks:
-    """Pieces of words others are compared with; kernel values below `least` count as 0."""
+    """Pieces of words others are compared with.
+
+    Kernel values of windows below `least` count as 0. A word with all of a
+    landmark's characters in order also has `stretch` to the number of
+    characters inserted per gap, however long the stretch; below `faint` that
+    counts as 0, and in words of more than `long` characters, where chance puts
+    any in order, it is worth less by their length.
+    """
 
     words: list[str]
     least: float = 0.35
     chunk: int = 8000
+    stretch: float = 0.8
+    faint: float = 0.1
+    long: int = 64
 
     def __post_init__(self) -> None:
         self.chars = codes(self.words)
@@ -100,7 +130,7 @@ class Landmarks:
         self.needed = np.ceil(0.5 * self.has.sum(axis=0)).astype(np.uint8)
 
     def kernels(self, words: list[str]) -> dict[int, list[tuple[int, float]]]:
-        """For positions of words near some landmark: (landmark, largest kernel of a window).
+        """For positions of words near some landmark: (landmark, largest kernel of a window or of the word stretched).
 
         A window with less than half of a landmark's pairs of near characters
         has few of its subsequences of three; its kernel counts as 0.
@@ -127,9 +157,36 @@ class Landmarks:
                     best = near.setdefault(owners[at + rows[k]], {})
                     mark = int(marks[k])
                     best[mark] = max(best.get(mark, 0.0), float(min(values[k], 1.0)))
+        for i, mark, value in self.stretched(words):
+            best = near.setdefault(i, {})
+            best[mark] = max(best.get(mark, 0.0), value)
         return {i: list(best.items()) for i, best in near.items()}
 
 
+    def stretched(self, words: list[str]) -> Iterator[tuple[int, int, float]]:
+        """(position, landmark, value) of words with all characters of a landmark in order."""
+        order = sorted((i for i, word in enumerate(words) if len(word) > 3), key=lambda i: len(words[i]))
+        needs = [sum({1 << (ord(c) & 63) for c in mark if c != START}) for mark in self.words]
+        at = 0
+        while at < len(order):
+            end = at + 1
+            while end < len(order) and (end - at) * len(words[order[end]]) < self.chunk * 16:
+                end += 1
+            own = np.array(order[at:end])
+            chars = codes([words[i] for i in own])
+            held = np.bitwise_or.reduce(np.left_shift(np.uint64(1), (chars & 63).astype(np.uint64)), axis=1)
+            for m, (mark, need) in enumerate(zip(self.words, needs)):
+                rows = np.flatnonzero((held & np.uint64(need)) == need)
+                if rows.size == 0:
+                    continue
+                gaps = inserted(chars[rows], mark)
+                lengths = np.maximum((chars[rows] > 0).sum(axis=1), self.long)
+                values = self.stretch ** (gaps / (len(mark) - 1)) * self.long / lengths
+                for k in np.flatnonzero((gaps < FAR) & (values >= self.faint)):
+                    yield int(own[rows[k]]), m, float(values[k])
+            at = end
+
+
 @dataclass
 class ToxicityModel:
     """Kernel to landmarks, Nystrom map and hyperplane in one vector, logistic calibration."""
