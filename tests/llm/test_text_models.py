@@ -152,6 +152,34 @@ def test_main_text():
         assert main_text(empty) == ""
 
 
+def test_main_text_keeps_all_of_an_article():
+    items = [f"Source number {i}" for i in range(8)]
+    links = "<ul>" + "".join(f"<li><a href='/{i}'>{t}</a></li>" for i, t in enumerate(items)) + "</ul>"
+    text = "\n\n".join(["Words first", *items, "more here"])
+    for tag in ("article", "main"):
+        assert main_text(PAGE % f"<{tag}><p>Words first</p>{links}<p><a href='/'>more here</a></p></{tag}>") == text
+    kept = (
+        "<figure><img src=x><figcaption>A caption</figcaption></figure><p><label>A label</label> <button>press</button></p>"
+        "<dialog><p>asked</p></dialog><p>mass <math><mi>m</mi></math> and <object>plain</object> <video src=v>no film</video> end</p>"
+    )
+    assert main_text(f"<article>{kept}</article>") == "A caption\n\nA label press\n\nasked\n\nmass m and plain no film end"
+    assert main_text(f"<article><p>x</p></article>{kept}") == "x"
+
+
+def test_main_text_hidden():
+    for attributes in ('class="overflow hidden"', 'title="the hidden one"', "data-x='a hidden=b'", "data-hidden", 'title="display: none"'):
+        assert main_text(f"<article><div {attributes}><p>seen</p></div></article>") == "seen", attributes
+    for attributes in ("hidden", "HIDDEN=''", "class=a hidden id=b", "aria-hidden='true'", "aria-hidden=true", 'style="color:red; display : none"'):
+        assert main_text(f"<article><p>x</p><div {attributes}><p>not seen</p></div></article>") == "x", attributes
+
+
+def test_main_text_between_boilerplate():
+    long = [sentence(i, 20) for i in range(2)]
+    advert = "<div class='ad'>Buy now</div>"
+    page = f"<p>Name</p>{advert}<p>{long[0]}</p>{advert}<p>Short one.</p>{advert}<p>Short two.</p>{advert}<p>{long[1]}</p>{advert}<p>End</p>"
+    assert main_text(page) == f"{long[0]}\n\nShort one.\n\nShort two.\n\n{long[1]}"
+
+
 def test_extract_rows(spark):
     rows = [(1, "u", PAGE % "<article><p>x</p></article>", "t", 5), (2, None, None, None, None), (2, None, "", None, None), (None, "v", "<p>" + "a " * 100000, None, 1)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string, n_chars int")

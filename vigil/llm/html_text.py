@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, functions as F
 # of the page, that stand alone, and that begin a line of their own.
 BOILERPLATE = frozenset("nav footer aside form menu dialog button select option textarea label fieldset figcaption".split())
 RAW = frozenset("script style noscript template iframe svg math object canvas audio video title".split())
+# Of those, what is text of the page within an article or the main element.
+TEXT_IN_MAIN = frozenset("dialog button label figcaption math object audio video".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form"
@@ -34,13 +36,27 @@ ASIDES = frozenset("comment comments disqus reply replies related recommended pr
 
 TAG = re.compile(r"<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([A-Za-z][A-Za-z0-9:-]*)([^>]*+)>|<!--|<[!?/]")
 MARKED = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+MAYBE_HIDDEN = re.compile(r"hidden|display", re.I)
+ATTRIBUTE = re.compile(r"([^\s\"'=/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"']+)))?")
+NOT_DISPLAYED = re.compile(r"display\s*:\s*none", re.I)
 SPACE = re.compile(r"\s+")
 
 
+def _hidden(attributes: str) -> bool:
+    if not MAYBE_HIDDEN.search(attributes):
+        return False
+    for name, *values in ATTRIBUTE.findall(attributes):
+        name, value = name.lower(), "".join(values)
+        if name == "hidden" or (name == "aria-hidden" and value.strip().lower() == "true"):
+            return True
+        if name == "style" and NOT_DISPLAYED.search(value):
+            return True
+    return False
+
+
 def _boilerplate(tag: str, attributes: str, in_main: bool) -> int:
     """0: may hold main text, 1: not unless an article begins in it, 2: not at all."""
-    if tag in BOILERPLATE or (tag == "header" and not in_main):
+    if (tag in BOILERPLATE and not (in_main and tag in TEXT_IN_MAIN)) or (tag == "header" and not in_main):
         return 1
     if not attributes or tag in ("html", "body", "main"):
         return 0
@@ -49,7 +65,7 @@ def _boilerplate(tag: str, attributes: str, in_main: bool) -> int:
         return 2
     if tag == "article":
         return 0
-    return int(not MARKS.isdisjoint(words) or HIDDEN.search(attributes) is not None)
+    return int(not MARKS.isdisjoint(words) or _hidden(attributes))
 
 
 def page_lines(page: str) -> list[tuple[str, int, bool, int, int]]:
@@ -104,7 +120,7 @@ def page_lines(page: str) -> list[tuple[str, int, bool, int, int]]:
             at = end if close_at < 0 else close_at + (3 if found[0] == "<!--" else 1)
             continue
         closing, attributes = found[1] or found[4] or "", found[3] or found[6] or ""
-        if tag in RAW:
+        if tag in RAW and not (tag in TEXT_IN_MAIN and any(t in MAIN for t, _ in stack)):
             if not closing and not attributes.endswith("/"):
                 over = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
                 at = over.end() if over else (end if tag in ("script", "style") else at)
@@ -153,31 +169,34 @@ def page_lines(page: str) -> list[tuple[str, int, bool, int, int]]:
 def main_text(page: str, width: int = 3, surge: int = 60) -> str:
     """The text between surge and dive points of a page's line blocks, blocks joined by two newlines.
 
-    Each line weighs as much as its text outside links; boilerplate weighs
-    nothing, and so do lines outside the article, or else the main element, where
-    the page marks one.
+    Each line weighs as much as its text, outside links where the page marks no
+    place; boilerplate weighs nothing, and so do lines outside the article, or
+    else the main element, where the page marks one.
     Block i is the sum over `width` lines from i on, regions being `width`
     empty lines apart. A block of at least `surge` characters (of any where the
-    place is marked, or if no block on the page reaches it) is a surge; the
-    text from there to the first empty block, the dive, is kept, lines of links
+    place is marked, between regions with a surge, or if no block on the page
+    reaches it) is a surge; the text from there to the first empty block, the dive, is kept, lines of links
     included.
     """
     lines = page_lines(page)
     marked = max((place for _, _, bad, _, place in lines if not bad), default=0)
     spread: list[int] = []  # the line on each place, -1 where there is none
+    regions: list[int] = []
     last = None
     for i, (_, _, bad, region, place) in enumerate(lines):
         if region != last:
             spread.extend([-1] * width)
         spread.append(-1 if bad or place < marked else i)
+        regions.extend([region] * (len(spread) - len(regions)))
         last = region
-    weight = np.array([max(0, len(lines[i][0]) - lines[i][1]) if i >= 0 else 0 for i in spread] + [0] * width, np.int64)
+    weight = np.array([max(0, len(lines[i][0]) - (0 if marked else lines[i][1])) if i >= 0 else 0 for i in spread] + [0] * width, np.int64)
     total = np.concatenate(([0], np.cumsum(weight)))
     blocks = total[width:] - total[:-width]
     least = 1 if marked or blocks.size == 0 else max(1, min(surge, int(blocks.max())))
+    surges = [regions[at] for at in np.flatnonzero(blocks[: len(spread)] >= least)]
     kept, inside = [], False
     for at, block in enumerate(blocks[: len(spread)]):
-        if not inside and block >= least:
+        if not inside and (block >= least or (block > 0 and surges and surges[0] < regions[at] < surges[-1])):
             inside = True
         elif inside and block == 0:
             inside = False
