@@ -18,6 +18,7 @@ from vigil.llm.packing import pack_documents
 from vigil.llm.personal_data import find_personal_data, train_skip_chain
 from vigil.llm.substring_dedup import repeated_spans
 from vigil.llm.toxicity import held_out_fold, score_toxicity, train_toxicity
+from vigil.llm.whitening import fit_whitening, whiten
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,6 +73,11 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings")
+    return whiten(rows, fit_whitening(rows))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -85,6 +91,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_toxicity,
         op9_suffix_dedup,
         op10_exact_dedup,
+        op11_whitening,
     )
 }
 
