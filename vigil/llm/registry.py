@@ -17,6 +17,7 @@ from vigil.llm.oracle import LLM_ORACLE
 from vigil.llm.packing import pack_documents
 from vigil.llm.personal_data import find_personal_data, train_skip_chain
 from vigil.llm.substring_dedup import repeated_spans
+from vigil.llm.token_alignment import align_documents
 from vigil.llm.toxicity import held_out_fold, score_toxicity, train_toxicity
 from vigil.llm.whitening import fit_whitening, whiten
 
@@ -78,6 +79,11 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(rows, fit_whitening(rows))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2(F.encode("groups", "UTF-8"), 256))
+    return align_documents(_table(spark, sf_dir, "documents")).withColumn("groups_sha256", digest).drop("groups")
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -92,6 +98,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_suffix_dedup,
         op10_exact_dedup,
         op11_whitening,
+        op12_token_alignment,
     )
 }
 
