@@ -200,3 +200,27 @@ FROM chosen c JOIN sources s ON c.source IS NOT DISTINCT FROM s.source
 
 
 LLM_ORACLE["op6_mix_sources"] = _mix_sources()
+
+
+def _window_dedup(window: int = 35) -> str:
+    """Every window as text, each word with the windows that may cover it."""
+    return rf"""
+WITH docs AS (
+    SELECT row_number() OVER () AS nth, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+places AS (SELECT nth, words, unnest(range(1, len(words) + 1)) AS k FROM docs),
+windows AS (
+    SELECT nth, k, words[k] AS word, CASE WHEN k + {window - 1} <= len(words) THEN md5(array_to_string(words[k:k + {window - 1}], ' ')) END AS content
+    FROM places),
+marked AS (
+    SELECT *, content IS NOT NULL AND count(*) OVER (PARTITION BY content) > 1 AS repeated FROM windows),
+covered AS (
+    SELECT nth, k, word, bool_or(repeated) OVER (PARTITION BY nth ORDER BY k ROWS BETWEEN {window - 1} PRECEDING AND CURRENT ROW) AS gone FROM marked),
+cut AS (
+    SELECT nth, count(*) FILTER (WHERE gone) AS n_removed, string_agg(word, ' ' ORDER BY k) FILTER (WHERE NOT gone) AS kept
+    FROM covered GROUP BY nth)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM docs d LEFT JOIN cut c ON d.nth = c.nth
+"""
+
+
+LLM_ORACLE["op13_window_dedup"] = _window_dedup()

@@ -20,6 +20,7 @@ from vigil.llm.substring_dedup import repeated_spans
 from vigil.llm.token_alignment import align_documents
 from vigil.llm.toxicity import held_out_fold, score_toxicity, train_toxicity
 from vigil.llm.whitening import fit_whitening, whiten
+from vigil.llm.window_dedup import repeated_windows
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -84,6 +85,12 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align_documents(_table(spark, sf_dir, "documents")).withColumn("groups_sha256", digest).drop("groups")
 
 
+def op13_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    found = repeated_windows(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", removed.alias("n_removed"), "kept_sha256")
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -99,6 +106,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_exact_dedup,
         op11_whitening,
         op12_token_alignment,
+        op13_window_dedup,
     )
 }
 
