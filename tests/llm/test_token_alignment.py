@@ -82,7 +82,7 @@ def rows_of(found):
     return [tuple(r)[1:] for r in sorted(found, key=lambda r: (r.doc_id is None, r.doc_id))]
 
 
-@pytest.mark.parametrize("group_bytes,shards,fan", [(16_000_000, 256, 128), (1500, 5, 2)])
+@pytest.mark.parametrize("group_bytes,shards,fan", [(6_000_000, 256, 128), (1500, 5, 2)])
 def test_equals_brute_force(spark, monkeypatch, both, group_bytes, shards, fan):
     monkeypatch.setattr(token_alignment, "GROUP_BYTES", group_bytes)
     monkeypatch.setattr(token_alignment, "SHARDS", shards)

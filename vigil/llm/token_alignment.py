@@ -31,7 +31,7 @@ from vigil.llm.minimal_hash import build, in_order, verified_places
 from vigil.llm.substring_dedup import squeezed, unsqueezed
 
 #: Text bytes in a group of documents.
-GROUP_BYTES = 16_000_000
+GROUP_BYTES = 6_000_000
 #: Shards of pairs; both vocabularies' sizes bound the pairs of one.
 SHARDS = 256
 #: Groups of documents whose pairs or counts one task puts together.
@@ -382,13 +382,14 @@ def align_documents(
                 if not complete[of_text].all():
                     raise ValueError("a pair has no count: the input changed between passes")
                 out[i] = columns[of_text].sum(axis=0)
-                groups.append(b"".join([found.shown[p] for p in of_text.tolist()])[:-1].decode())
+                groups.append(b"".join([found.shown[p] for p in of_text.tolist()])[:-1])
             else:
-                groups.append("")
+                groups.append(b"")
         frame = pd.DataFrame(out, columns=names).assign(groups=groups)
         frame.insert(0, "doc_id", group["doc_id"].astype("Int64").to_numpy(dtype=object, na_value=None))
         return frame
 
-    schema = "doc_id long, " + ", ".join(f"{n} long" for n in names) + ", groups string"
+    schema = "doc_id long, " + ", ".join(f"{n} long" for n in names) + ", groups binary"
     by_bucket = counts.texts.groupBy("bucket")
-    return by_bucket.cogroup(counts.answers.groupBy("bucket")).applyInPandas(look_up, schema)
+    aligned = by_bucket.cogroup(counts.answers.groupBy("bucket")).applyInPandas(look_up, schema)
+    return aligned.withColumn("groups", F.col("groups").cast("string"))
