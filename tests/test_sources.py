@@ -11,6 +11,7 @@ from vigil.operators.fanout import fan_out
 from vigil.plans.snapshots import decode_family
 from vigil.schemas import dataset_columns, family_schema
 from vigil.sources import records, sinks, storage, tables
+from vigil.sources.days import Days
 from vigil.sources.thresholds import read_thresholds
 
 
@@ -214,7 +215,7 @@ def test_snapshot_by_date_is_pruned(spark, tmp_path):
     path = str(tmp_path / "cpu")
     sinks.write_snapshot_by_date(frame.withColumn("ts_sec", F.unix_timestamp("ts")), path)
     assert rows(tables.read_snapshot_parquet(spark, path, "cpu")) == rows(frame)
-    day = tables.read_snapshot_parquet(spark, path, "cpu", "2024-01-02", "2024-01-02")
+    day = tables.read_snapshot_parquet(spark, path, "cpu", Days.between("2024-01-02", "2024-01-02"))
     assert rows(day) == rows(frame.where("ts LIKE '2024-01-02%'"))
     assert "PartitionFilters: [isnotnull(date" in day._jdf.queryExecution().executedPlan().toString()
 

@@ -4,34 +4,37 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from vigil.functions.numbers import HIGHEST_RANK, float_rank
 
-#: Hundredths beyond this differ in the last digits of a position only.
-_MOST = 10**12
+#: More than any place a float can have below.
+_PLACES = 10**10
+
+
+def _place(value: str) -> Column:
+    """Place of a float from the largest (NaN) on, nulls last, as decimal(10,0)."""
+    rank = float_rank(F.col(value))
+    return F.when(rank.isNull(), F.lit(2 * HIGHEST_RANK + 1)).otherwise(F.lit(HIGHEST_RANK) - rank).cast("decimal(10,0)")
 
 
 def value_position(values: list[str]) -> Column:
     """A number that is smaller the larger the values are, by the first, then the second; nulls last.
 
-    For up to two metrics of two decimal places. Equal rows apart, values of
-    10**10 and more may tie here; a hash of the row then decides, so the choice
-    is the same on every run.
+    For up to two metrics, any 32-bit floats: NaN counts as the largest, then
+    infinity. Doubles count as their nearest floats; a hash of the row decides
+    between those that are the same then, so the choice is the same on every run.
     """
     if len(values) > 2:
         raise ValueError("up to two values")
     position = F.lit(0).cast("decimal(1,0)")
     for v in values:
-        hundredths = F.round(F.col(v).cast("double") * 100)
-        bounded = F.greatest(F.lit(-_MOST), F.least(F.lit(_MOST), hundredths)).cast("bigint")
-        place = F.when(F.col(v).isNull(), F.lit(2 * _MOST + 1)).otherwise(F.lit(_MOST) - bounded).cast("decimal(13,0)")
-        position = (position * F.lit(10**13).cast("decimal(14,0)") + place).cast("decimal(27,0)")
-    tie = F.pmod(F.xxhash64(*values), F.lit(10**10)).cast("decimal(10,0)")
-    return (position * F.lit(10**10).cast("decimal(11,0)") + tie).cast("decimal(38,0)")
+        position = (position * F.lit(_PLACES).cast("decimal(11,0)") + _place(v)).cast("decimal(20,0)")
+    tie = F.pmod(F.xxhash64(*values), F.lit(_PLACES)).cast("decimal(10,0)")
+    return (position * F.lit(_PLACES).cast("decimal(11,0)") + tie).cast("decimal(38,0)")
 
 
 def sample_position(microsecond: Column, value: str) -> Column:
     """Place of a sample among those of its second: the earlier first, of equal ones the larger value."""
-    value_place = (value_position([value]) / F.lit(10**10).cast("decimal(11,0)")).cast("decimal(13,0)")
-    return (microsecond.cast("decimal(20,0)") * F.lit(10**13).cast("decimal(14,0)") + value_place).cast("decimal(38,0)")
+    return (microsecond.cast("decimal(20,0)") * F.lit(_PLACES).cast("decimal(11,0)") + _place(value)).cast("decimal(38,0)")
 
 
 def first_values(values: list[str], order: list[str] | None, present: Column | None = None) -> list[Column]:

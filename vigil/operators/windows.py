@@ -81,6 +81,12 @@ def first_start(second: Column, window: SlidingWindow) -> Column:
     return _step_down(_step_down(second, window.slide), window.slide, window.offset)
 
 
+def first_start_of(second: int, window: SlidingWindow) -> int:
+    """``first_start`` of a known second."""
+    start = second // window.slide * window.slide
+    return start - (start - window.offset) % window.slide
+
+
 def aggregate_windows(
     samples: DataFrame, window: SlidingWindow, metrics: list[str], summed: bool = False
 ) -> DataFrame:

@@ -20,6 +20,7 @@ from vigil.operators.report import (
     with_alert,
 )
 from vigil.operators.windows import aggregate_windows
+from vigil.sources.days import Days, day_of
 
 Thresholds = Mapping[str, float] | DataFrame
 
@@ -75,6 +76,7 @@ def report(
     labels: str = "timestamp",
     duplicates: str | None = None,
     zone: str | None = None,
+    days: Days | None = None,
 ) -> DataFrame:
     """Window statistics with alert text.
 
@@ -83,11 +85,13 @@ def report(
 
     ``labels`` is "timestamp", "epoch" (seconds) or "time_of_day" (HH:mm:ss
     text, one row per server and label, on the clock of ``zone`` or else the
-    session's).
+    session's). ``days`` keeps windows that start on these days (UTC).
     """
     if duplicates:
         rule = replace(rule, duplicates=duplicates)
     windows = window_statistics(left, right, rule, window, order)
+    if days is not None:
+        windows = windows.where(days.holds(day_of(F.col("window_start"))))
     if labels == "time_of_day":
         windows = collapse_time_of_day(windows, window.size, zone)
     elif labels == "timestamp":

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from vigil.operators.report import summary_counts
+from vigil.sources.days import Days, day_of, stored_days
+from vigil.sources.storage import remove_folder
 
 
 #: How text is written and read back: quotes doubled, blanks kept.
@@ -36,28 +38,48 @@ def counted(rows: DataFrame, counts: list[Column], write: Callable[[DataFrame],
     return seen.get
 
 
-def write_report_by_date(report: DataFrame, path: str) -> dict[str, int]:
-    """Parquet partitioned by the date of window_start, sorted within files.
+def _replace_days(dated: DataFrame, path: str, days: Days | None) -> None:
+    """Write rows by ``date``: a whole new table, or with ``days`` only the folders of these.
+
+    A folder of such a day that gets no rows is removed.
+    """
+    writer = dated.write.mode("overwrite").partitionBy("date")
+    if days is None:
+        return writer.parquet(path)
+    spark = dated.sparkSession
+    written = Observation()
+    marked = dated.observe(written, F.collect_set(F.col("date").cast("string")).alias("dates"))
+    writer = marked.write.mode("overwrite").partitionBy("date").option("partitionOverwriteMode", "dynamic")
+    writer.parquet(path)
+    for day in stored_days(spark, path):
+        if day in days and day.isoformat() not in written.get["dates"]:
+            remove_folder(spark, f"{path}/date={day}")
+
+
+def write_report_by_date(report: DataFrame, path: str, days: Days | None = None) -> dict[str, int]:
+    """Parquet partitioned by the UTC date of window_start, sorted within files.
 
     Rows are shuffled by date, where adaptive execution splits a date with much
-    data over several tasks and puts small dates together. Returns the counts of
+    data over several tasks and puts small dates together. With ``days`` the
+    folders of these days are replaced and all others stay. Returns the counts of
     ``alert_summary``, taken while writing.
     """
-    dated = report.withColumn("date", F.to_date("window_start")).hint("rebalance", "date")
-
-    def write(rows: DataFrame) -> None:
-        rows.write.mode("overwrite").partitionBy("date").parquet(path)
-
+    dated = report.withColumn("date", day_of(F.unix_seconds("window_start"))).hint("rebalance", "date")
     return counted(
-        dated.sortWithinPartitions("date", "server_id", "window_start"), summary_counts(), write
+        dated.sortWithinPartitions("date", "server_id", "window_start"),
+        summary_counts(),
+        lambda rows: _replace_days(rows, path, days),
     )
 
 
-def write_snapshot_by_date(snapshot: DataFrame, path: str) -> None:
-    """Parquet partitioned by the UTC date of ``ts_sec``, sorted by server and time within files."""
-    dated = snapshot.withColumn("date", F.date_add(F.lit("1970-01-01").cast("date"), F.floor(F.col("ts_sec") / 86400).cast("int")))
+def write_snapshot_by_date(snapshot: DataFrame, path: str, days: Days | None = None) -> None:
+    """Parquet partitioned by the UTC date of ``ts_sec``, sorted by server and time within files.
+
+    With ``days`` the folders of these days are replaced and all others stay.
+    """
+    dated = snapshot.withColumn("date", day_of(F.col("ts_sec")))
     spread = dated.hint("rebalance", "date").sortWithinPartitions("date", "server_id", "ts_sec")
-    spread.drop("ts_sec").write.mode("overwrite").partitionBy("date").parquet(path)
+    _replace_days(spread.drop("ts_sec"), path, days)
 
 
 def write_topics(records: DataFrame, servers: str) -> None:

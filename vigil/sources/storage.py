@@ -1,10 +1,10 @@
-"""Shared folder for tables and stream checkpoints a job writes for itself."""
+"""Folders a job writes for itself, and what lies in a folder."""
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 SETTING = "spark.checkpoint.dir"
 
@@ -21,7 +21,23 @@ def job_folder(spark: SparkSession, name: str) -> str:
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def _place(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def remove_folder(spark: SparkSession, folder: str) -> None:
     """Delete a run's folder once its result has been read."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    path, files = _place(spark, folder)
+    files.delete(path, True)
+
+
+def exists(spark: SparkSession, folder: str) -> bool:
+    path, files = _place(spark, folder)
+    return files.exists(path)
+
+
+def list_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows (path, length, modified) of the files below a folder, hidden ones left out; no file is opened."""
+    rows = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    return rows.select("path", "length", F.col("modificationTime").alias("modified"))

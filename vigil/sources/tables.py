@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from vigil.schemas import family_schema
+from vigil.sources.days import Days
 from vigil.sources.sinks import CSV_TEXT
 
 
@@ -24,18 +25,16 @@ def read_snapshot_csv(spark: SparkSession, path: str, family: str) -> DataFrame:
 
 
 def read_snapshot_parquet(
-    spark: SparkSession, path: str, family: str, first_date: str | None = None, last_date: str | None = None
+    spark: SparkSession, path: str, family: str, days: Days | None = None, dated: bool = False
 ) -> DataFrame:
-    """A Parquet snapshot; dates (inclusive) limit one written by date to their folders."""
+    """A Parquet snapshot; ``days`` limit one written by date to their folders, ``dated`` keeps the date."""
     schema = family_schema(family)
-    if not first_date and not last_date:
+    if days is None and not dated:
         return spark.read.schema(schema).parquet(path).select(*schema.names)
     rows = spark.read.schema(family_schema(family).add("date", "date")).parquet(path)
-    if first_date:
-        rows = rows.where(F.col("date") >= F.lit(first_date).cast("date"))
-    if last_date:
-        rows = rows.where(F.col("date") <= F.lit(last_date).cast("date"))
-    return rows.select(*schema.names)
+    if days is not None:
+        rows = rows.where(days.holds(F.col("date")))
+    return rows.select(*schema.names, *(["date"] if dated else []))
 
 
 def read_dataset_csv(spark: SparkSession, path: str) -> DataFrame:
