@@ -15,9 +15,11 @@ from __future__ import annotations
 import base64
 import math
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain, count
 
 import numpy as np
 import pandas as pd
@@ -31,7 +33,7 @@ from vigil.llm.minimal_hash import build, in_order, verified_places
 from vigil.llm.substring_dedup import squeezed, unsqueezed
 
 #: Text bytes in a group of documents.
-GROUP_BYTES = 6_000_000
+GROUP_BYTES = 5_000_000
 #: Shards of pairs; both vocabularies' sizes bound the pairs of one.
 SHARDS = 256
 #: Groups of documents whose pairs or counts one task puts together.
@@ -40,6 +42,7 @@ FAN = 128
 # Fixed value: how the second vocabulary writes a space.
 SPACE = "▁"
 _BEFORE_SPACE = re.compile(r"(?<=\S)(?= )")
+_BLANK_SPACE = re.compile(r"\s ")
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>")
 
 PAIR_COUNT = np.dtype([("pair", "<i8"), ("links", "<i8")])
@@ -74,15 +77,38 @@ class Tokenizers:
         self.shown_b = [np.array([s + mark for s in shown_b], object) for mark in (b",", b";")]
 
     def parts(self, text: str) -> list[str]:
-        """A space and the text, cut where both tokenizers end a token."""
-        text = " " + text
-        return _BEFORE_SPACE.split(text) if self.separable else [text]
-
-    def encode(self, parts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        a = [self.a.encode_ordinary(p) for p in parts]
+        """The text with a space before it, cut where both tokenizers end a token; each part without its first space."""
+        if not self.separable:
+            return [text]
+        if text[0] != " " and not _BLANK_SPACE.search(text):
+            return text.split(" ")
+        return [p[1:] for p in _BEFORE_SPACE.split(" " + text)]
+
+    def encode(self, parts: list[str]) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+        """Of either side all parts' ids and how many each part has, each part with its first space."""
+        # one after the other, parts are read as by themselves where they end visibly; the others apart
+        if self.separable:
+            visible = np.fromiter((p != "" and not p[-1].isspace() for p in parts), bool, len(parts))
+        else:
+            visible = np.zeros(len(parts), bool)
+        together = [p for p, v in zip(parts, visible.tolist()) if v]
+        a = [self.a.encode_ordinary(" " + p) if not v else [] for p, v in zip(parts, visible.tolist())]
+        n_a = np.fromiter(map(len, a), np.int64, len(a))
+        flat_a = np.fromiter(chain.from_iterable(a), np.int64, int(n_a.sum()))
+        if together:
+            ids = np.array(self.a.encode_ordinary(" " + " ".join(together)), np.int64)
+            sizes = np.fromiter((len(p.encode()) + 1 for p in together), np.int64, len(together))
+            stops = np.searchsorted(np.cumsum(self.lengths_a[ids]), np.cumsum(sizes)) + 1
+            n_a[visible] = np.diff(stops, prepend=0)
+            both = np.concatenate((ids, flat_a))
+            begins = np.empty(len(parts), np.int64)
+            begins[visible] = stops - n_a[visible]
+            begins[~visible] = len(ids) + np.cumsum(n_a[~visible]) - n_a[~visible]
+            flat_a = both[np.arange(len(both)) + np.repeat(begins - (np.cumsum(n_a) - n_a), n_a)]
         # the model adds the first space itself, but not to an empty text
-        b = self.b.encode([p[1:] for p in parts], num_threads=1)
-        return a, [ids if len(p) > 1 else [self.space] for p, ids in zip(parts, b)]
+        b = [ids if p else [self.space] for p, ids in zip(parts, self.b.encode(parts, num_threads=1))]
+        n_b = np.fromiter(map(len, b), np.int64, len(b))
+        return (flat_a, n_a), (np.fromiter(chain.from_iterable(b), np.int64, int(n_b.sum())), n_b)
 
 
 @lru_cache(maxsize=2)
@@ -110,18 +136,21 @@ def _counts(whose: np.ndarray, n: int) -> np.ndarray:
 
 def align(parts: list[str], own: Tokenizers, show: bool) -> Alignment:
     """Align the tokens of each part; a part whose tokens' bytes are not its own is not `good` and has none."""
-    raw = [p.encode() for p in parts]
     encoded = own.encode(parts)
     good = np.ones(len(parts), bool)
-    for ids, table in zip(encoded, (own.bytes_a, own.bytes_b)):
-        good &= np.fromiter((b"".join([table[i] for i in own_ids]) == r for own_ids, r in zip(ids, raw)), bool, len(parts))
+    raw = "".join([" " + p for p in parts]).encode()
+    for (flat, n), table in zip(encoded, (own.bytes_a, own.bytes_b)):
+        if b"".join(map(table.__getitem__, flat.tolist())) != raw:
+            stops = np.cumsum(n).tolist()
+            spoken = (b"".join(map(table.__getitem__, flat[i:j].tolist())) for i, j in zip([0, *stops], stops))
+            good &= np.fromiter((t == b" " + p.encode() for t, p in zip(spoken, parts)), bool, len(parts))
     ids, whose, ends = [], [], []
-    for side, lengths in zip(encoded, (own.lengths_a, own.lengths_b)):
-        kept = [x if g else [] for x, g in zip(side, good.tolist())]
-        n = np.fromiter(map(len, kept), np.int64, len(kept))
-        flat = np.fromiter((i for x in kept for i in x), np.int64, int(n.sum()))
+    for (flat, n), lengths in zip(encoded, (own.lengths_a, own.lengths_b)):
+        of_part = np.repeat(np.arange(len(parts)), n)
+        if not good.all():
+            flat, of_part = flat[good[of_part]], of_part[good[of_part]]
         ids.append(flat)
-        whose.append(np.repeat(np.arange(len(parts)), n))
+        whose.append(of_part)
         ends.append(np.cumsum(lengths[flat]))  # both sides have the same bytes, so places agree over all parts
     (a, b), (whose_a, whose_b), (ends_a, ends_b) = ids, whose, ends
     starts_a, starts_b = (np.concatenate(([0], e[:-1])) if len(e) else e for e in ends)
@@ -155,11 +184,8 @@ def align(parts: list[str], own: Tokenizers, show: bool) -> Alignment:
 
 def _documents(texts: pd.Series, own: Tokenizers) -> tuple[list[str], list[np.ndarray]]:
     """The distinct parts of all texts, and each text's parts by number; an empty text has none."""
-    number: dict[str, int] = {}
-    of_texts = []
-    for text in texts:
-        parts = own.parts(text) if text else []
-        of_texts.append(np.fromiter((number.setdefault(p, len(number)) for p in parts), np.int64, len(parts)))
+    number: defaultdict[str, int] = defaultdict(count().__next__)
+    of_texts = [np.array(list(map(number.__getitem__, own.parts(t))) if t else [], np.int64) for t in texts]
     return list(number), of_texts
 
 
@@ -261,7 +287,7 @@ def count_links(
     def every_part(rows: DataFrame) -> DataFrame:
         return rows.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
 
-    def count(group: pd.DataFrame, hash_rows: pd.DataFrame) -> pd.DataFrame:
+    def count_part(group: pd.DataFrame, hash_rows: pd.DataFrame) -> pd.DataFrame:
         if not len(group):
             return pd.DataFrame({"shard": [], "part": [], "links": []})
         function, keys = hash_rows["function"].iloc[0], unsqueezed(hash_rows["pairs"].iloc[0], only_pair)["pair"]
@@ -277,7 +303,7 @@ def count_links(
 
     schema = "shard int, part long, links binary"
     by_part = runs.select("bucket", "shard", "data", part).groupBy("shard", "part")
-    counts = written(by_part.cogroup(every_part(hashed).groupBy("shard", "part")).applyInPandas(count, schema), "link-counts")
+    counts = written(by_part.cogroup(every_part(hashed).groupBy("shard", "part")).applyInPandas(count_part, schema), "link-counts")
     left = parts
     while left > 1:
         counts = written(counts.groupBy("shard", F.floor(F.col("part") / FAN).alias("next")).applyInPandas(add, schema), "link-counts")
