@@ -11,6 +11,12 @@ from vigil.config import AlertRule
 from vigil.functions.alerts import alert_text
 from vigil.functions.timestamps import second_of_day, time_of_day
 from vigil.operators.windows import mean_and_max
+from vigil.sources.thresholds import VALID_FROM
+
+
+def versioned(thresholds: Mapping[str, float] | DataFrame) -> bool:
+    """Whether thresholds are a table of versions (``sources.thresholds.read_threshold_versions``)."""
+    return isinstance(thresholds, DataFrame) and VALID_FROM in thresholds.columns
 
 
 def threshold(thresholds: Mapping[str, float] | DataFrame, name: str) -> Column:
@@ -22,25 +28,50 @@ def threshold(thresholds: Mapping[str, float] | DataFrame, name: str) -> Column:
     return F.lit(float(thresholds.get(name, fixed.MISSING_THRESHOLD)))
 
 
+def with_valid_thresholds(windows: DataFrame, versions: DataFrame, names: list[str]) -> DataFrame:
+    """Add ``valid``, the thresholds of the last version from which on windows ending at ``window_end`` are judged.
+
+    Null before the first version. The versions are one value, a sorted array,
+    so that windows are not joined with them. window_end is a timestamp or an
+    epoch second.
+    """
+    window_end = F.col("window_end")
+    if dict(windows.dtypes)["window_end"] == "timestamp":
+        window_end = F.unix_seconds(window_end)
+    row = F.struct(F.col(VALID_FROM), *(n for n in names if n in versions.columns))
+    sorted_versions = versions.agg(F.array_sort(F.collect_list(row)).alias("versions")).scalar()
+    known = windows.withColumn("versions", sorted_versions)
+    known = known.withColumn("versions", F.filter("versions", lambda v: v[VALID_FROM] <= window_end))
+    return known.withColumn("valid", F.get("versions", F.size("versions") - 1)).drop("versions")
+
+
 def with_alert(windows: DataFrame, rule: AlertRule, thresholds: Mapping[str, float] | DataFrame) -> DataFrame:
-    return windows.withColumn(
+    """Add ``alert``; versions of thresholds are those valid at the end of each window."""
+    names = [rule.left_threshold, rule.right_threshold]
+    if versioned(thresholds):
+        windows = with_valid_thresholds(windows, thresholds, names)
+        missing = F.lit(fixed.MISSING_THRESHOLD)
+        limits = [F.coalesce(F.col(f"valid.{n}"), missing) if n in thresholds.columns else missing for n in names]
+    else:
+        limits = [threshold(thresholds, n) for n in names]
+    judged = windows.withColumn(
         "alert",
         alert_text(
             F.col(f"{rule.compares}_{rule.left_name}"),
             F.col(f"{rule.compares}_{rule.right_name}"),
-            threshold(thresholds, rule.left_threshold),
-            threshold(thresholds, rule.right_threshold),
+            *limits,
             rule.texts,
             rule.needs_both,
         ),
     )
+    return judged.drop("valid") if versioned(thresholds) else judged
 
 
-def finish_statistics(windows: DataFrame, rule: AlertRule) -> DataFrame:
-    """Averages and maxima in report order, from the sums of ``aggregate_windows``."""
+def finish_statistics(windows: DataFrame, rule: AlertRule, carry: list[str] | None = None) -> DataFrame:
+    """Averages and maxima in report order, from the sums of ``aggregate_windows``; ``carry`` keeps further columns."""
     left, left_max = mean_and_max(rule.left, rule.left_name)
     right, right_max = mean_and_max(rule.right, rule.right_name)
-    return windows.select("server_id", "window_start", "window_end", left, right, left_max, right_max)
+    return windows.select("server_id", "window_start", "window_end", left, right, left_max, right_max, *(carry or []))
 
 
 def collapse_time_of_day(windows: DataFrame, size: int, zone: str | None = None) -> DataFrame:

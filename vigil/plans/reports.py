@@ -17,6 +17,7 @@ from vigil.operators.report import (
     collapse_time_of_day,
     finish_statistics,
     label_timestamps,
+    versioned,
     with_alert,
 )
 from vigil.operators.windows import aggregate_windows
@@ -92,6 +93,9 @@ def report(
     windows = window_statistics(left, right, rule, window, order)
     if days is not None:
         windows = windows.where(days.holds(day_of(F.col("window_start"))))
+    if labels == "time_of_day" and versioned(thresholds):
+        # the labels no longer say which version holds
+        return collapse_time_of_day(with_alert(windows, rule, thresholds), window.size, zone)
     if labels == "time_of_day":
         windows = collapse_time_of_day(windows, window.size, zone)
     elif labels == "timestamp":

@@ -37,6 +37,11 @@ def exists(spark: SparkSession, folder: str) -> bool:
     return files.exists(path)
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    place, files = _place(spark, path)
+    return files.exists(place) and files.getFileStatus(place).isDirectory()
+
+
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
     """Rows (path, length, modified) of the files below a folder, hidden ones left out; no file is opened."""
     rows = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)

@@ -1,8 +1,9 @@
 """The window reports as incremental jobs.
 
 Samples are kept once per server and second, joined and aggregated as event
-time passes; a window is written when the watermark has passed its end. The
-clamp needs a known origin; without one, windows before the first sample stay.
+time passes; a window is written when the watermark has passed its end. Without
+a known origin windows before the first sample stay, and ``streaming.clamp``
+drops them as they are written.
 """
 
 from __future__ import annotations
@@ -22,8 +23,7 @@ from vigil.operators.join import sums_of
 from vigil.operators.report import finish_statistics, with_alert
 from vigil.operators.windows import combined_sums, first_start
 from vigil.plans.reports import POSITION
-
-_PARTITIONS = "spark.sql.shuffle.partitions"
+from vigil.streaming.batches import start
 
 
 def stream_samples(rows: DataFrame, metric: str, timestamps: str, order: str | None = None) -> DataFrame:
@@ -36,7 +36,7 @@ def stream_samples(rows: DataFrame, metric: str, timestamps: str, order: str | N
     return rows.select("server_id", second, metric, place.alias(POSITION))
 
 
-def _unique(samples: DataFrame, metric: str, delay: str) -> DataFrame:
+def unique_samples(samples: DataFrame, metric: str, delay: str) -> DataFrame:
     """One sample per server and second: that of the lowest position, as in batch,
     chosen when the watermark has passed the second."""
     marked = samples.dropna(subset=["server_id", "ts"]).withWatermark("ts", delay)
@@ -48,34 +48,37 @@ def stream_report(
     right: DataFrame,
     rule: AlertRule,
     window: SlidingWindow = SlidingWindow(),
-    thresholds: Mapping[str, float] = fixed.THRESHOLDS,
+    thresholds: Mapping[str, float] | None = fixed.THRESHOLDS,
     delay: str = "1 minute",
+    first_second: bool = False,
 ) -> DataFrame:
     """Streaming report on two sample streams from ``stream_samples``.
 
     Samples are summed by pane, the longest step that divides window and slide,
     and panes by window, so a sample goes through one shuffle once.
+    ``first_second`` adds the epoch second of each window's first sample;
+    without ``thresholds`` windows have no alert yet.
     """
     if window.slide > window.size:
         raise ValueError("streaming windows must not have gaps between them")
-    joined = _unique(left, rule.left, delay).join(_unique(right, rule.right, delay), ["server_id", "ts"])
+    joined = unique_samples(left, rule.left, delay).join(unique_samples(right, rule.right, delay), ["server_id", "ts"])
     pane = gcd(window.size, window.slide)
     panes = joined.groupBy(
         "server_id", F.window("ts", f"{pane} seconds", startTime=f"{window.offset % pane} seconds").alias("pane")
-    ).agg(*sums_of(rule.left), *sums_of(rule.right))
+    ).agg(*sums_of(rule.left), *sums_of(rule.right), F.min("ts").alias("first_ts"))
     spans = F.window(
         F.window_time("pane"), f"{window.size} seconds", f"{window.slide} seconds", f"{window.offset % window.slide} seconds"
     )
     windows = (
         panes.groupBy("server_id", spans.alias("span"))
-        .agg(*combined_sums([rule.left, rule.right]))
+        .agg(*combined_sums([rule.left, rule.right]), F.unix_seconds(F.min("first_ts")).alias("first_second"))
         .withColumns({"window_start": F.col("span.start"), "window_end": F.col("span.end")})
     )
-    windows = finish_statistics(windows, rule)
+    windows = finish_statistics(windows, rule, ["first_second"] if first_second else [])
     if window.clamp and window.origin is not None:
         bound = F.timestamp_seconds(first_start(F.lit(window.origin), window))
         windows = windows.where(F.col("window_start") >= bound)
-    return with_alert(windows, rule, thresholds)
+    return windows if thresholds is None else with_alert(windows, rule, thresholds)
 
 
 def late_rows(query: StreamingQuery) -> int:
@@ -120,13 +123,4 @@ def write_available(
         .outputMode("append")
         .trigger(availableNow=True)
     )
-    if state_partitions is None:
-        return writer.start()
-    conf = report.sparkSession.conf
-    usual = conf.get(_PARTITIONS)
-    conf.set(_PARTITIONS, state_partitions)
-    try:
-        # A query takes its copy of the settings when it starts.
-        return writer.start()
-    finally:
-        conf.set(_PARTITIONS, usual)
+    return start(writer, report, state_partitions)

@@ -15,7 +15,7 @@ from vigil.fixed_values import (
     THRESHOLDS,
     TOPICS,
 )
-from vigil.workload.telemetry import FIRST_SECOND, ODD_SERVERS
+from vigil.workload.telemetry import FIRST_SECOND, LATER_THRESHOLDS, ODD_SERVERS
 
 TELEMETRY = f"""
 cents AS (SELECT *, CAST(round(value * 100) AS BIGINT) AS c FROM events),
@@ -297,6 +297,42 @@ FROM alerts QUALIFY row_number() OVER (PARTITION BY server_id, window_start % 86
     )
 
 
+def _versions() -> str:
+    """Thresholds by the end of each window."""
+    first = "(SELECT max(event_id) // 2 // 2 FROM events)"
+    later = f"window_end >= {FIRST_SECOND} + {first}"
+    limits = [f"CASE WHEN {later} THEN CAST({LATER_THRESHOLDS[n]} AS DOUBLE) ELSE {_limit(n)} END" for n in ("cpu_threshold", "mem_threshold")]
+    judged = _strict_case("avg_cpu", "avg_mem", "cpu_limit", "mem_limit")
+    return _cpu_mem(
+        f"""SELECT * EXCLUDE (cpu_limit, mem_limit) REPLACE ({judged} AS alert)
+FROM (SELECT *, {limits[0]} AS cpu_limit, {limits[1]} AS mem_limit FROM alerts) a"""
+    )
+
+
+LARGE = _with(
+    """
+odd AS (
+  SELECT server_id, ts_sec, CAST(CASE WHEN event_id % 97 = 0 THEN 'nan' WHEN event_id % 89 = 0 THEN 'inf'
+    WHEN event_id % 83 = 0 THEN '-inf' WHEN event_id % 4 = 0 THEN '2e10' WHEN event_id % 4 = 1 THEN '9e10'
+    WHEN event_id % 4 = 2 THEN '-3e38' ELSE CAST(cpu_pct AS VARCHAR) END AS FLOAT) AS value
+  FROM telemetry),
+largest AS (SELECT server_id, ts_sec, max(value) AS value FROM odd GROUP BY server_id, ts_sec)""",
+    select="""SELECT server_id, ts_sec,
+  CASE WHEN isnan(value) THEN 'NaN' WHEN value = 'inf' THEN 'Infinity' WHEN value = '-inf' THEN '-Infinity' END AS odd,
+  CASE WHEN isfinite(value) THEN CAST(value AS DOUBLE) END AS number FROM largest""",
+)
+
+
+QUARANTINE = _with(
+    select="""SELECT CASE WHEN event_id % 17 > 4 OR event_id % 17 = 3 THEN ts WHEN event_id % 17 = 4 THEN 'at ' || ts END AS ts,
+  CASE WHEN event_id % 17 > 3 THEN server_id END AS server_id,
+  CASE WHEN event_id % 17 NOT IN (0, 1, 2, 5) THEN cpu_pct END AS cpu_pct,
+  CASE WHEN event_id % 17 < 3 THEN 'undecodable' WHEN event_id % 17 = 3 THEN 'no server'
+    WHEN event_id % 17 = 4 THEN 'bad timestamp' ELSE 'none' END AS problem
+FROM telemetry"""
+)
+
+
 ORACLE: dict[str, str] = {
     "fanout_topics": _with(_dataset(), select=_sent(dict.fromkeys(TOPICS, "true"), "dataset")),
     "fanout_bad_rows": _fanout_bad_rows(),
@@ -390,5 +426,18 @@ QUALIFY row_number() OVER (PARTITION BY server_id, ts_sec ORDER BY net_in DESC,
     ),
     "join_null_keys": _cpu_mem(EPOCH_REPORT, "broken", BROKEN),
     "csv_odd_text": _odd_text(),
+    "report_day_range": _cpu_mem(EPOCH_REPORT, "three_days", THREE_DAYS),
+    "report_refresh": _cpu_mem(EPOCH_REPORT, "three_days", THREE_DAYS),
+    "snapshot_incremental": _with(
+        select="""SELECT ts, server_id, net_in, net_out FROM telemetry
+QUALIFY row_number() OVER (PARTITION BY server_id, ts ORDER BY net_in DESC, net_out DESC) = 1"""
+    ),
+    "dedupe_large": LARGE,
+    "stream_dedupe_large": LARGE,
+    "stream_clamped": _cpu_mem(EPOCH_REPORT),
+    "stream_late": _cpu_mem(EPOCH_REPORT),
+    "stream_thresholds": _versions(),
+    "stream_fanout": _with(_dataset(), select=_sent(dict.fromkeys(TOPICS, "true"), "dataset")),
+    "stream_quarantine": QUARANTINE,
     "pipeline_files": _without_position(tenths=False).replace(" WHERE event_type <> 'error'", ""),
 }

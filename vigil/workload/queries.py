@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import tempfile
 from collections.abc import Callable
 from dataclasses import replace
@@ -18,16 +19,29 @@ from vigil.operators.decode import decode_records, flag_problems, round_metrics,
 from vigil.operators.dedupe import first_per_key
 from vigil.operators.fanout import fan_out
 from vigil.operators.join import KEYS, join_families, merge_copies, merge_first
-from vigil.operators.report import alert_rows, alert_summary, sort_report
+from vigil.operators.report import alert_rows, alert_summary, sort_report, with_alert
+from vigil.plans.days import refresh_report, report_of_days
+from vigil.plans.incremental import refresh_snapshot
 from vigil.plans.reports import POSITION, cpu_mem_report, net_disk_report, report, samples, window_statistics
 from vigil.plans.snapshots import decode_family, raw_snapshot
 from vigil.schemas import family_schema
-from vigil.sources.records import read_record_files, topic_directory
-from vigil.sources.sinks import write_csv, write_parquet, write_report_by_date, write_snapshot_by_date, write_topic_files
-from vigil.sources.storage import SETTING, job_folder
+from vigil.sources.days import Days, day_of, stored_days
+from vigil.sources.records import read_record_files, stream_record_files, topic_directory
+from vigil.sources.sinks import CSV_TEXT, write_csv, write_parquet, write_report_by_date, write_snapshot_by_date, write_topic_files
+from vigil.sources.storage import SETTING, exists, is_folder, job_folder
 from vigil.sources.tables import read_csv, read_dataset_csv, read_snapshot_csv, read_snapshot_parquet
-from vigil.sources.thresholds import read_thresholds, threshold_table as thresholds_from_lines
-from vigil.streaming.reports import late_rows, stream_report, stream_samples, with_tail, write_available
+from vigil.sources.thresholds import read_threshold_versions, read_thresholds, threshold_table as thresholds_from_lines
+from vigil.streaming.clamp import FIRST_SECOND, write_clamped
+from vigil.streaming.late import correct_late, corrected, read_corrections
+from vigil.streaming.records import (
+    problem_counts,
+    read_split,
+    read_topic_stream,
+    stream_dataset_csv,
+    write_split_stream,
+    write_topic_stream,
+)
+from vigil.streaming.reports import late_rows, stream_report, stream_samples, unique_samples, with_tail, write_available
 from vigil.workload import telemetry as tel
 
 ORDER = ["event_id"]
@@ -122,10 +136,10 @@ def decode_topic_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode_records(keys, T.StructType().add("k", T.LongType()), ["ts", "server_id", "cpu_pct", *ORDER])
 
 
-def decode_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = F.col("event_id")
     text = F.col("value")
-    records = tel.family_records(spark, sf_dir, "cpu").withColumn(
+    return tel.family_records(spark, sf_dir, "cpu").withColumn(
         "value",
         F.when(i % 17 == 0, F.left(text, F.lit(10)))
         .when(i % 17 == 1, F.concat(F.lit("["), text, F.lit("]")))
@@ -135,7 +149,10 @@ def decode_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(i % 17 == 5, F.replace(text, F.lit('"cpu_pct":'), F.lit('"cpu_pct":"high","was":')))
         .otherwise(text),
     )
-    rows = decode_family(records, "cpu", ORDER)
+
+
+def decode_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = decode_family(_malformed(spark, sf_dir), "cpu", ORDER)
     flagged = flag_problems(with_second(rows, "lenient"))
     return flagged.select("event_id", "server_id", "ts_sec", "cpu_pct", "problem")
 
@@ -403,8 +420,11 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The table as a stream, be it a file or a folder of files."""
-    return spark.readStream.schema(tel.EVENTS).parquet(f"{sf_dir}/events.parquet*")
+    """The table as a stream, be it a folder of files or a file, which a stream reads by its folder and name."""
+    path = f"{sf_dir}/events.parquet"
+    if is_folder(spark, path):
+        return spark.readStream.schema(tel.EVENTS).parquet(path)
+    return spark.readStream.schema(tel.EVENTS).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
 
 
 def _streamed(spark: SparkSession, sides: list[DataFrame], batch: DataFrame, name: str) -> DataFrame:
@@ -490,6 +510,207 @@ def pipeline_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _epoch(spark.read.schema(result.schema).parquet(f"{folder}/report").select(*result.columns))
 
 
+# Days, increments and long streams
+
+
+def _three_day_rows(spark, sf_dir, family):
+    """Decoded rows on three days, with event_id."""
+    rows = tel.family_samples(spark, sf_dir, family, 3)
+    return rows.select(tel.second_text(F.col("ts_sec")).alias("ts"), "server_id", *FAMILY_METRICS[family], *ORDER)
+
+
+def _store_days(spark, sf_dir, folder, kept=None, days=None):
+    """CPU and memory snapshots by date, of all rows or those a condition keeps, of all days or some."""
+    families = ("cpu", "mem")
+    for family in families:
+        rows = _three_day_rows(spark, sf_dir, family)
+        snapshot = with_second(raw_snapshot(rows if kept is None else rows.where(kept), family, ORDER, ordered=False), "lenient")
+        if days is not None:
+            snapshot = snapshot.where(days.holds(day_of(F.col("ts_sec"))))
+        write_snapshot_by_date(snapshot, f"{folder}/{family}", days)
+    return tuple(f"{folder}/{f}" for f in families), families
+
+
+def _read_report(spark, path, like):
+    return _epoch(spark.read.schema(like.schema).parquet(path).select(*like.columns))
+
+
+def report_day_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each day of three days' snapshots reported alone, into one folder."""
+    folder = _run_folder(spark, "day-range")
+    paths, families = _store_days(spark, sf_dir, folder)
+    for day in stored_days(spark, paths[0]):
+        result = report_of_days(spark, CPU_MEM, paths, families, Days.of([day]))
+        write_report_by_date(result, f"{folder}/report", days=Days.of([day]))
+    return _read_report(spark, f"{folder}/report", result)
+
+
+def report_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report made before some rows of one day came, refreshed after."""
+    folder = _run_folder(spark, "refresh")
+    day = datetime.date(2024, 1, 3)
+    late = (F.left("ts", F.lit(10)) == day.isoformat()) & (F.col("event_id") % 5 == 1)
+    paths, families = _store_days(spark, sf_dir, folder, kept=~late)
+    refresh_report(spark, CPU_MEM, paths, families, f"{folder}/report", [])
+    _store_days(spark, sf_dir, folder, days=Days.of([day]))
+    refresh_report(spark, CPU_MEM, paths, families, f"{folder}/report", [day])
+    like = report_of_days(spark, CPU_MEM, paths, families, Days.of([day]))
+    return _read_report(spark, f"{folder}/report", like)
+
+
+def snapshot_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A snapshot from record files in two halves: the second run reads the second half only."""
+    folder = _run_folder(spark, "incremental")
+    records = tel.family_records(spark, sf_dir, "net")
+    for half in range(2):
+        records.where(F.col("event_id") % 2 == half).select("value").write.text(f"{folder}/records/half={half}")
+        refresh_snapshot(spark, f"{folder}/records", f"{folder}/net", "net", NET_DISK.timestamps)
+    return read_snapshot_parquet(spark, f"{folder}/net", "net")
+
+
+def _large(rows: DataFrame) -> DataFrame:
+    """CPU rows some of whose values are beyond all bounds."""
+    i = F.col("event_id")
+    value = (
+        F.when(i % 97 == 0, float("nan"))
+        .when(i % 89 == 0, float("inf"))
+        .when(i % 83 == 0, float("-inf"))
+        .when(i % 4 == 0, 2e10)
+        .when(i % 4 == 1, 9e10)
+        .when(i % 4 == 2, -3e38)
+        .otherwise(F.col("cpu_pct"))
+    )
+    return rows.withColumn("cpu_pct", value.cast("float"))
+
+
+def _kinds(unique: DataFrame) -> DataFrame:
+    """Not-a-number and infinities by name, other values as numbers."""
+    value = F.col("cpu_pct")
+    odd = F.isnan(value) | (F.abs(value) == float("inf"))
+    return unique.select(
+        *KEYS, F.when(odd, value.cast("string")).alias("odd"), F.when(~odd, value.cast("double")).alias("number")
+    )
+
+
+def dedupe_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The largest value of each second, whatever its size."""
+    rows = _large(tel.family_rows(spark, sf_dir, "cpu"))
+    return _kinds(first_per_key(samples(rows, "cpu_pct", "lenient"), KEYS, [POSITION]))
+
+
+def stream_dedupe_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in a stream; seconds still open at its end come from the batch."""
+    folder = _run_folder(spark, "stream-large")
+    rows = _large(tel.rows_of(_event_stream(spark, sf_dir), "cpu"))
+    unique = unique_samples(stream_samples(rows, "cpu_pct", "lenient"), "cpu_pct", "10 seconds")
+    unique = unique.select("server_id", F.unix_seconds("ts").alias("ts_sec"), "cpu_pct", F.col("ts").alias("window_start"))
+    cores = spark.sparkContext.defaultParallelism
+    write_available(unique, f"{folder}/unique", f"{folder}/state", cores).awaitTermination()
+    closed = spark.read.schema(unique.schema).parquet(f"{folder}/unique").select(*KEYS, "cpu_pct")
+    last = closed.agg(F.max("ts_sec")).scalar()
+    batch = first_per_key(samples(_large(tel.family_rows(spark, sf_dir, "cpu")), "cpu_pct", "lenient"), KEYS, [POSITION])
+    return _kinds(closed.unionByName(batch.where(last.isNull() | (F.col("ts_sec") > last))))
+
+
+def _drops(spark, sf_dir, folder, *conditions):
+    """The events in several writes to one folder, one after each request; then the stream of the folder."""
+    for condition in conditions:
+        tel.events(spark, sf_dir).where(condition).write.mode("append").parquet(f"{folder}/events")
+        yield spark.readStream.schema(tel.EVENTS).parquet(f"{folder}/events")
+
+
+def _stream_sides(events: DataFrame) -> list[DataFrame]:
+    return [
+        stream_samples(tel.rows_of(events, f), FAMILY_METRICS[f][0], "lenient", "event_id") for f in ("cpu", "mem")
+    ]
+
+
+def _halfway(spark, sf_dir) -> int:
+    return (tel.events(spark, sf_dir).agg(F.max("event_id")).first()[0] or 0) // 2
+
+
+def stream_clamped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream that finds its first sample itself, stopped half way and run again."""
+    folder = _run_folder(spark, "stream-clamped")
+    cores = spark.sparkContext.defaultParallelism
+    half = _halfway(spark, sf_dir)
+    for events in _drops(spark, sf_dir, folder, F.col("event_id") < half, F.col("event_id") >= half):
+        alerts = stream_report(*_stream_sides(events), CPU_MEM, delay=f"{tel.STREAM_DELAY_SECONDS} seconds", first_second=True)
+        query = write_clamped(alerts, f"{folder}/report", f"{folder}/state", SlidingWindow(), cores)
+        query.awaitTermination()
+    return with_tail(_closed(spark, f"{folder}/report", alerts.drop(FIRST_SECOND)), _cpu_mem(spark, sf_dir))
+
+
+def _closed(spark, path, like):
+    if not exists(spark, path):
+        return _epoch(spark.createDataFrame([], like.schema))
+    return _read_report(spark, path, like)
+
+
+def stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every twentieth event comes long after its windows are closed; their windows are corrected."""
+    folder = _run_folder(spark, "stream-late")
+    cores = spark.sparkContext.defaultParallelism
+    late = F.col("event_id") % 20 == 3
+    window = SlidingWindow(origin=tel.FIRST_SECOND)
+    for events in _drops(spark, sf_dir, folder, ~late, late):
+        alerts = stream_report(*_stream_sides(events), CPU_MEM, window, delay=f"{tel.STREAM_DELAY_SECONDS} seconds")
+        write_available(alerts, f"{folder}/report", f"{folder}/state", cores).awaitTermination()
+        correct_late(
+            *_stream_sides(events), CPU_MEM, window, f"{folder}/late", f"{folder}/late-state", tel.STREAM_DELAY_SECONDS
+        ).awaitTermination()
+    closed = spark.read.schema(alerts.schema).parquet(f"{folder}/report").select(*alerts.columns)
+    whole = corrected(closed, read_corrections(spark, f"{folder}/late", closed))
+    return with_tail(_epoch(whole), _cpu_mem(spark, sf_dir))
+
+
+def stream_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Thresholds that change half way, in a file that comes after the stream has begun."""
+    folder = _run_folder(spark, "stream-thresholds")
+    cores = spark.sparkContext.defaultParallelism
+    half = _halfway(spark, sf_dir)
+    window = SlidingWindow(origin=tel.FIRST_SECOND)
+    changes = [(tel.FIRST_SECOND, THRESHOLDS), (tel.FIRST_SECOND + half // 2, tel.LATER_THRESHOLDS)]
+    limits = lambda: read_threshold_versions(spark, f"{folder}/limits")
+    drops = _drops(spark, sf_dir, folder, F.col("event_id") < half, F.col("event_id") >= half)
+    for events, (since, values) in zip(drops, changes):
+        text = "\n".join(f"{name}: {value}" for name, value in values.items())
+        spark.range(1).select(F.lit(text).alias("value")).coalesce(1).write.text(f"{folder}/limits/valid_from={since}")
+        windows = stream_report(
+            *_stream_sides(events), CPU_MEM, window, None, f"{tel.STREAM_DELAY_SECONDS} seconds", first_second=True
+        )
+        write_clamped(
+            windows, f"{folder}/report", f"{folder}/state", window, cores, lambda rows: with_alert(rows, CPU_MEM, limits())
+        ).awaitTermination()
+    batch = _cpu_mem(spark, sf_dir, thresholds=limits())
+    return with_tail(_closed(spark, f"{folder}/report", with_alert(windows.drop(FIRST_SECOND), CPU_MEM, THRESHOLDS)), batch)
+
+
+def stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wide CSV files in three drops to topic folders, the stream run after each."""
+    folder = _run_folder(spark, "stream-fanout")
+    wide = tel.dataset(spark, sf_dir)
+    for n in range(3):
+        rows = wide.where(F.col("event_id") % 3 == n).drop("event_id")
+        rows.write.mode("append").options(header=True, **CSV_TEXT).csv(f"{folder}/wide")
+        records = fan_out(stream_dataset_csv(spark, f"{folder}/wide"))
+        write_topic_stream(records, f"{folder}/topics", f"{folder}/state").awaitTermination()
+    return _decoded_topics(read_topic_stream(spark, f"{folder}/topics"))
+
+
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of all kinds in two drops, split by problem as they come."""
+    folder = _run_folder(spark, "stream-quarantine")
+    records = _malformed(spark, sf_dir)
+    for n in range(2):
+        half = records.where(F.col("event_id") % 2 == n)
+        half.select(F.coalesce("value", F.lit("")).alias("value")).write.mode("append").text(f"{folder}/records")
+        rows = decode_family(stream_record_files(spark, f"{folder}/records"), "cpu")
+        problem_counts(write_split_stream(rows, "lenient", f"{folder}/split", f"{folder}/state"))
+    split = read_split(spark, f"{folder}/split", "ts string, server_id string, cpu_pct float")
+    return split.select("ts", "server_id", "cpu_pct", "problem")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__.removesuffix("_query"): f
     for f in (
@@ -543,5 +764,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         csv_odd_text,
         tod_zone,
         pipeline_files,
+        report_day_range,
+        report_refresh,
+        snapshot_incremental,
+        dedupe_large,
+        stream_dedupe_large,
+        stream_clamped,
+        stream_late,
+        stream_thresholds,
+        stream_fanout,
+        stream_quarantine,
     )
 }

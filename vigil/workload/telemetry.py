@@ -13,6 +13,8 @@ from vigil.fixed_values import FAMILY_METRICS, STRICT_TS_FORMAT
 FIRST_SECOND = 1704150000
 # How late samples of the stream may be.
 STREAM_DELAY_SECONDS = 60
+# Thresholds that hold in the second half of a stream.
+LATER_THRESHOLDS = {"cpu_threshold": 79.5, "mem_threshold": 91.25}
 
 
 EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
