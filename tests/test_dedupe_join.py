@@ -1,9 +1,13 @@
 from itertools import product
 
+import pytest
 from conftest import rows
 from hypothesis import HealthCheck, given, settings, strategies as st
 
-from vigil.operators.dedupe import first_per_key
+from pyspark.sql import functions as F
+
+from vigil.functions.numbers import float_rank
+from vigil.operators.dedupe import first_per_key, value_position
 from vigil.operators.join import KEYS, join_families, merge_copies, merge_first
 
 
@@ -30,6 +34,51 @@ def test_without_order_largest_values_nulls_last(spark):
     assert rows(first_per_key(frame.select("server_id", "ts_sec", "a"), KEYS)) == [("s", 1, 2.0)]
 
 
+def test_any_float_has_its_place(spark):
+    values = [float("nan"), float("inf"), 3.4e38, 9e10, 2e10, 2.0**33, 1.5, 1e-40, 0.0, -1e-45, -1.5, -2e10, -3.4e38, float("-inf"), None]
+    frame = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, a float")
+    ranked = frame.select("i", value_position(["a"]).alias("place"), float_rank(F.col("a")).alias("rank"))
+    assert [r.i for r in ranked.orderBy("place").collect()] == list(range(len(values)))
+    ranks = {r.i: r["rank"] for r in ranked.collect()}
+    assert ranks[8] == 0 and ranks[9] == -1 and ranks[14] is None
+    steps = spark.range(-140, 120).selectExpr("id", "CAST(pow(2.0, id) AS FLOAT) a")
+    found = [r[0] for r in steps.select(float_rank(F.col("a"))).collect()]
+    assert found == sorted(found) and len(set(found)) == 260
+    for chosen, given in ((2e10, [2e10, 9.0]), (9e10, [2e10, 9e10, 5e10]), (float("inf"), [3e38, float("inf")])):
+        two = spark.createDataFrame([("s", 1, g, 1.0) for g in given], "server_id string, ts_sec bigint, a float, b float")
+        largest = max(given)
+        assert first_per_key(two, KEYS).first().a == pytest.approx(largest, rel=1e-6) and chosen == largest
+
+
+def test_exact_sums_in_any_order(spark):
+    """Averages over very many pairs are equal to the bit, however rows are dealt out."""
+    n = 20_000
+    rows_ = spark.range(n).selectExpr("'s' server_id", "id % 3 ts_sec", "CAST(round((id * 7919) % 560000 / 100.0, 2) AS FLOAT) net_in")
+    disk = spark.range(n).selectExpr("'s' server_id", "id % 3 ts_sec", "CAST(round((id * 104729) % 280000 / 100.0, 2) AS FLOAT) disk_io")
+    results = set()
+    for k in range(1, 21):
+        merged = merge_copies(rows_.repartition(k, F.rand(k)), disk.repartition(21 - k, F.rand(k)), exact=True)
+        results.add(tuple(tuple(r) for r in sorted(merged.collect())))
+    assert len(results) == 1
+    found = {r.ts_sec: r for r in merged.collect()}
+    for s in range(3):
+        net = [round(((i * 7919) % 560000) / 100, 2) for i in range(n) if i % 3 == s]
+        other = len([i for i in range(n) if i % 3 == s])
+        import numpy as np
+
+        steps = sum(int(float(np.float32(v)) * 2**30) for v in net) * other
+        assert int(found[s].net_in_sum) == steps and found[s].net_in_rest is None
+
+
+def test_exact_sums_beside_odd_values(spark):
+    odd = [1.25, float("inf"), None, 2.0**33]
+    left = spark.createDataFrame([("s", 1, v) for v in odd], "server_id string, ts_sec bigint, a float")
+    right = spark.createDataFrame([("s", 1, 1.0), ("s", 1, float("nan"))], "server_id string, ts_sec bigint, b float")
+    row = merge_copies(left, right, exact=True).first()
+    assert (row.a_sum, row.a_rest, row.a_count) == (int(1.25 * 2**30) * 2, float("inf"), 6)
+    assert row.b_sum == 2**30 * 4 and row.b_rest != row.b_rest
+
+
 def test_null_keys_are_one_key(spark):
     frame = spark.createDataFrame([(None, None, 1.0), (None, None, 2.0), ("a", 1, 3.0)], "server_id string, ts_sec bigint, a float")
     assert rows(first_per_key(frame, KEYS)) == [(None, None, 2.0), ("a", 1, 3.0)]

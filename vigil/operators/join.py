@@ -56,8 +56,8 @@ def merge_first(left: DataFrame, right: DataFrame, order: list[str] | None = Non
     )
 
 
-def merge_copies(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Sums, counts and maxima over all pairs of repeated samples, without making them.
+def merge_copies(left: DataFrame, right: DataFrame, exact: bool = False) -> DataFrame:
+    """Sums, counts and maxima over all pairs of repeated samples, without making them; sums as ``sums_of`` has them.
 
     A key held n times on the left and m times on the right joins into n*m
     pairs, in which each left sample occurs m times and each right sample n
@@ -69,24 +69,40 @@ def merge_copies(left: DataFrame, right: DataFrame) -> DataFrame:
     merged = (
         _both_sides(left, right)
         .groupBy(*KEYS)
-        .agg(*copies.values(), *(part for m in l + r for part in sums_of(m)))
+        .agg(*copies.values(), *(part for m in l + r for part in sums_of(m, exact)))
         .where((F.col("copies_1") > 0) & (F.col("copies_2") > 0))
     )
     columns = [*KEYS, (F.col("copies_1") * F.col("copies_2")).alias("pairs")]
     for metrics, other in ((l, "copies_2"), (r, "copies_1")):
         for m in metrics:
+            times = F.col(other).cast("decimal(19,0)") if exact else F.col(other)
             columns += [
-                (F.col(f"{m}_sum") * F.col(other)).alias(f"{m}_sum"),
+                (F.col(f"{m}_sum") * times).alias(f"{m}_sum"),
                 (F.col(f"{m}_count") * F.col(other)).alias(f"{m}_count"),
                 F.col(f"{m}_max"),
+                *([(F.col(f"{m}_rest") * F.col(other)).alias(f"{m}_rest")] if exact else []),
             ]
     return merged.select(*columns)
 
 
-def sums_of(metric: str) -> list[Column]:
-    """Sum, count and maximum of a metric; averages are finished from them later."""
-    return [
-        F.sum(F.col(metric).cast("double")).alias(f"{metric}_sum"),
-        F.count(metric).alias(f"{metric}_count"),
-        F.max(metric).alias(f"{metric}_max"),
-    ]
+#: Steps of one in exact sums. Floats of two decimal places are whole numbers of them.
+EXACT_STEPS = 2.0**30
+#: Smaller values are summed exactly; their steps fit a long, and 10**19 of them a decimal.
+EXACT_BELOW = 2.0**33
+
+
+def sums_of(metric: str, exact: bool = False) -> list[Column]:
+    """Sum, count and maximum of a metric; averages are finished from them later.
+
+    A sum of doubles depends on the order of its terms once it has more than 53
+    bits. With ``exact`` the sum is a whole number of steps as a decimal, the
+    same in any order; values of EXACT_BELOW and more, and those that are no
+    numbers, are summed as doubles beside it, in <metric>_rest.
+    """
+    value = F.col(metric).cast("double")
+    others = [F.count(metric).alias(f"{metric}_count"), F.max(metric).alias(f"{metric}_max")]
+    if not exact:
+        return [F.sum(value).alias(f"{metric}_sum"), *others]
+    small = F.abs(value) < EXACT_BELOW
+    steps = F.when(small, value * EXACT_STEPS).cast("bigint").cast("decimal(38,0)")
+    return [F.sum(steps).alias(f"{metric}_sum"), *others, F.sum(F.when(~small, value)).alias(f"{metric}_rest")]

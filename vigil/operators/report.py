@@ -69,8 +69,9 @@ def with_alert(windows: DataFrame, rule: AlertRule, thresholds: Mapping[str, flo
 
 def finish_statistics(windows: DataFrame, rule: AlertRule, carry: list[str] | None = None) -> DataFrame:
     """Averages and maxima in report order, from the sums of ``aggregate_windows``; ``carry`` keeps further columns."""
-    left, left_max = mean_and_max(rule.left, rule.left_name)
-    right, right_max = mean_and_max(rule.right, rule.right_name)
+    exact = f"{rule.left}_rest" in windows.columns
+    left, left_max = mean_and_max(rule.left, rule.left_name, exact)
+    right, right_max = mean_and_max(rule.right, rule.right_name, exact)
     return windows.select("server_id", "window_start", "window_end", left, right, left_max, right_max, *(carry or []))
 
 

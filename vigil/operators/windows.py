@@ -19,7 +19,7 @@ from math import gcd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from vigil.config import SlidingWindow
-from vigil.operators.join import sums_of
+from vigil.operators.join import EXACT_STEPS, sums_of
 
 
 def _step_down(second: Column, step: int, offset: int = 0) -> Column:
@@ -95,23 +95,24 @@ def aggregate_windows(
     ``samples`` has one row per server and second, with the metrics or, when
     ``summed``, with their sums, counts and maxima as ``merge_copies`` gives
     them. The result has server_id, window_start and window_end (epoch seconds)
-    and <metric>_sum, _count and _max. Both groupings follow the block shuffle
-    and need no other.
+    and <metric>_sum, _count and _max, with exact sums also _rest. Both groupings
+    follow the block shuffle and need no other.
     """
-    names = [f"{m}_{part}" for m in metrics for part in ("sum", "count", "max")]
+    exact = summed and f"{metrics[0]}_rest" in samples.columns
+    names = [f"{m}_{part}" for m in metrics for part in ("sum", "count", "max", *(["rest"] if exact else []))]
     samples = samples.select("server_id", "ts_sec", *(names if summed else metrics))
     spread = spread_blocks(samples, window)
     rows = spread
     pane = gcd(window.size, window.slide)
     if pane > 1:
         start = _step_down(F.col("ts_sec"), pane, window.offset)
-        rows = rows.groupBy("server_id", "block", start.alias("ts_sec")).agg(*_sums(metrics, summed))
+        rows = rows.groupBy("server_id", "block", start.alias("ts_sec")).agg(*_sums(metrics, summed, exact))
         summed = True
     windows = (
         assign_windows(rows, window)
         .where(_step_down(F.col("window_start"), window.block_span) == F.col("block"))
         .groupBy("server_id", "block", "window_start")
-        .agg(*_sums(metrics, summed))
+        .agg(*_sums(metrics, summed, exact))
     )
     bound = clamp_bound(spread, window)
     if bound is not None:
@@ -120,19 +121,22 @@ def aggregate_windows(
     return windows.select("server_id", "window_start", window_end, *names)
 
 
-def _sums(metrics: list[str], summed: bool) -> list[Column]:
+def _sums(metrics: list[str], summed: bool, exact: bool) -> list[Column]:
     """Sums, counts and maxima of samples, or of such sums again."""
     if not summed:
         return [part for m in metrics for part in sums_of(m)]
-    return combined_sums(metrics)
+    return combined_sums(metrics, exact)
 
 
-def combined_sums(metrics: list[str]) -> list[Column]:
-    combine = {"sum": F.sum, "count": F.sum, "max": F.max}
+def combined_sums(metrics: list[str], exact: bool = False) -> list[Column]:
+    combine = {"sum": F.sum, "count": F.sum, "max": F.max} | ({"rest": F.sum} if exact else {})
     return [f(f"{m}_{part}").alias(f"{m}_{part}") for m in metrics for part, f in combine.items()]
 
 
-def mean_and_max(metric: str, name: str) -> list[Column]:
+def mean_and_max(metric: str, name: str, exact: bool = False) -> list[Column]:
     """Average rounded to two places, and maximum, of a summed-up metric."""
-    mean = F.try_divide(f"{metric}_sum", f"{metric}_count")
+    total = F.col(f"{metric}_sum")
+    if exact:
+        total = F.coalesce(total.cast("double"), F.lit(0.0)) / EXACT_STEPS + F.coalesce(f"{metric}_rest", F.lit(0.0))
+    mean = F.try_divide(total, f"{metric}_count")
     return [F.round(mean, 2).alias(f"avg_{name}"), F.col(f"{metric}_max").alias(f"max_{name}")]

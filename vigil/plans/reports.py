@@ -58,7 +58,7 @@ def window_statistics(
             order,
         )
     elif rule.duplicates == "multiply":
-        joined = merge_copies(left.select(*KEYS, rule.left), right.select(*KEYS, rule.right))
+        joined = merge_copies(left.select(*KEYS, rule.left), right.select(*KEYS, rule.right), exact=True)
     else:
         raise ValueError(f"unknown treatment of duplicates: {rule.duplicates}")
     windows = aggregate_windows(

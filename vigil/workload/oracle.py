@@ -323,6 +323,37 @@ largest AS (SELECT server_id, ts_sec, max(value) AS value FROM odd GROUP BY serv
 )
 
 
+def _exact_side(family: str, metric: str) -> str:
+    steps = f"sum(CAST(CAST({metric} AS DOUBLE) * 1073741824 AS HUGEINT))"
+    return (
+        f"SELECT server_id, ts_sec, count(*) AS n, {steps} AS steps, max({metric}) AS most "
+        f"FROM ({_side(family, 'few')}) s GROUP BY server_id, ts_sec"
+    )
+
+
+def _exact_mean(side: str, other: str) -> str:
+    total = f"CAST(sum({side}_steps * {other}_n) AS DOUBLE) / 1073741824"
+    return f"CAST(round(CAST({total} / sum(l_n * r_n) AS DECIMAL(18, 10)), 2) AS DOUBLE)"
+
+
+EXACT = _with(
+    f"""
+few AS (SELECT * REPLACE ('srv-' || CAST(event_id % 2 AS VARCHAR) AS server_id, {FIRST_SECOND} + event_id // 2 % 20 * 3 AS ts_sec) FROM telemetry),
+joined AS (
+  SELECT l.server_id AS server_id, l.ts_sec AS ts_sec, CAST(l.n AS HUGEINT) AS l_n, CAST(r.n AS HUGEINT) AS r_n,
+    l.steps AS l_steps, r.steps AS r_steps, l.most AS l_most, r.most AS r_most
+  FROM ({_exact_side('net', 'net_in')}) l JOIN ({_exact_side('disk', 'disk_io')}) r ON l.server_id = r.server_id AND l.ts_sec = r.ts_sec)""",
+    _assigned(),
+    f"""
+stats AS (
+  SELECT server_id, window_start, window_end, {_exact_mean('l', 'r')} AS avg_net_in, {_exact_mean('r', 'l')} AS avg_disk_io,
+    max(l_most) AS max_net_in, max(r_most) AS max_disk_io
+  FROM assigned GROUP BY server_id, window_start, window_end)""",
+    f"alerts AS (SELECT *, {NET_DISK_CASE} AS alert FROM stats)",
+    select=EPOCH_REPORT,
+)
+
+
 QUARANTINE = _with(
     select="""SELECT CASE WHEN event_id % 17 > 4 OR event_id % 17 = 3 THEN ts WHEN event_id % 17 = 4 THEN 'at ' || ts END AS ts,
   CASE WHEN event_id % 17 > 3 THEN server_id END AS server_id,
@@ -432,6 +463,7 @@ QUALIFY row_number() OVER (PARTITION BY server_id, ts_sec ORDER BY net_in DESC,
         select="""SELECT ts, server_id, net_in, net_out FROM telemetry
 QUALIFY row_number() OVER (PARTITION BY server_id, ts ORDER BY net_in DESC, net_out DESC) = 1"""
     ),
+    "exact_average": EXACT,
     "dedupe_large": LARGE,
     "stream_dedupe_large": LARGE,
     "stream_clamped": _cpu_mem(EPOCH_REPORT),

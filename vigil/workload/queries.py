@@ -510,6 +510,13 @@ def pipeline_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _epoch(spark.read.schema(result.schema).parquet(f"{folder}/report").select(*result.columns))
 
 
+def exact_average(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Network and disk of two servers in few seconds, so that each window averages very many pairs."""
+    few = {"server_id": F.concat(F.lit("srv-"), F.col("event_id") % 2), "ts_sec": tel.few_seconds()}
+    net, disk = (s.withColumns(few).drop("event_id") for s in _samples(spark, sf_dir, "net", "disk"))
+    return report(net, disk, NET_DISK, labels="epoch")
+
+
 # Days, increments and long streams
 
 
@@ -764,6 +771,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         csv_odd_text,
         tod_zone,
         pipeline_files,
+        exact_average,
         report_day_range,
         report_refresh,
         snapshot_incremental,
