@@ -2,6 +2,8 @@
 
 import math
 import os
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -74,3 +76,15 @@ def test_plans_stay_in_the_jvm_and_prune_columns(spark, name):
     for scan in (line for line in plan.splitlines() if "events.parquet" in line):
         read = scan.split("ReadSchema:")[1]
         assert read.count(":") <= 4, read
+
+
+@pytest.mark.parametrize("missing", ["tiktoken", "zstandard", "vigil.llm", "public_tokenizers"])
+def test_queries_without_a_package(missing):
+    """Packages only some queries need may be absent."""
+    program = (
+        "import sys; sys.modules[sys.argv[1]] = None; import __spark_entry__ as e;"
+        "assert e.oracle_sql().keys() <= e.queries().keys(); print(len(e.queries()))"
+    )
+    root = os.path.dirname(contract.__file__)
+    found = subprocess.run([sys.executable, "-c", program, missing], cwd=root, capture_output=True, text=True, check=True)
+    assert int(found.stdout) >= len(QUERIES)  # nor do those that can do without it

@@ -226,3 +226,15 @@ def test_run_folder_is_removed(spark):
     storage.remove_folder(spark, folder)
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         spark.read.parquet(folder)
+
+
+def test_rows_csv_can_not_hold_are_set_aside(spark, tmp_path):
+    values = [("a", 1.0), ("two\nlines", 2.0), (None, 3.0), ("carriage\rreturn", 4.0)]
+    frame = spark.createDataFrame(values, "server_id string, x double")
+    assert sinks.write_csv(frame, str(tmp_path / "out"), str(tmp_path / "aside")) == 2
+    assert rows(spark.read.parquet(str(tmp_path / "aside"))) == [values[3], values[1]]
+    assert rows(tables.read_csv(spark, str(tmp_path / "out"), frame.schema)) == [values[2], values[0]]
+    assert sinks.write_csv(frame.where("x = 1"), str(tmp_path / "clean"), str(tmp_path / "none")) == 0
+    assert not (tmp_path / "none").exists()
+    numbers = spark.range(3)
+    assert sinks.write_csv(numbers, str(tmp_path / "numbers"), str(tmp_path / "none")) == 0

@@ -60,6 +60,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     job.add_argument("--format", choices=["csv", "parquet"], default="parquet")
     job.add_argument("--keep-undecodable", action="store_true")
     job.add_argument("--bad", help="where to put all rows by problem: none, or why they can not reach a report")
+    _set_aside(job)
     job.add_argument("--incremental", action="store_true", help="read files of --records no earlier run has read, into Parquet")
 
     job = jobs.add_parser("quarantine", help="records of a family as a stream, stored by problem")
@@ -84,6 +85,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     job.add_argument("--no-clamp", dest="clamp", action="store_false")
     job.add_argument("--out", required=True)
     job.add_argument("--out-format", choices=["csv", "parquet"], default="parquet")
+    _set_aside(job)
 
     job = jobs.add_parser("stream", help="records to a report, continuing from the last run")
     job.add_argument("report", choices=REPORTS)
@@ -140,6 +142,10 @@ def _record_source(job: argparse.ArgumentParser) -> None:
     place.add_argument("--servers")
 
 
+def _set_aside(job: argparse.ArgumentParser) -> None:
+    job.add_argument("--set-aside", help="where rows go that CSV can not hold; without it they fail the job")
+
+
 def _thresholds(job: argparse.ArgumentParser) -> None:
     place = job.add_mutually_exclusive_group()
     place.add_argument("--thresholds", help="file of name: number lines")
@@ -193,9 +199,8 @@ def run_snapshot(spark: SparkSession, args: argparse.Namespace) -> dict[str, obj
         rows = spark.read.parquet(args.bad).drop("problem", "ts_sec")
     snapshot = raw_snapshot(rows, args.family, order, args.keep_undecodable, ordered=args.format == "csv")
     if args.format == "csv":
-        sinks.write_csv(snapshot, args.out)
-    else:
-        sinks.write_snapshot_by_date(with_second(snapshot, timestamps), args.out)
+        return {"set_aside": sinks.write_csv(snapshot, args.out, args.set_aside)}
+    sinks.write_snapshot_by_date(with_second(snapshot, timestamps), args.out)
     return None
 
 
@@ -223,8 +228,13 @@ def run_report(spark: SparkSession, args: argparse.Namespace) -> dict[str, int]:
         result = make(left, right, window=window, thresholds=limits, **settings)
     if args.out_format == "parquet" and not args.time_of_day:
         return sinks.write_report_by_date(result, args.out, days)
-    write = sinks.write_csv if args.out_format == "csv" else sinks.write_parquet
-    return sinks.counted(sort_report(result), summary_counts(), lambda rows: write(rows, args.out))
+    if args.out_format == "parquet":
+        return sinks.counted(sort_report(result), summary_counts(), lambda rows: sinks.write_parquet(rows, args.out))
+    aside: list[int] = []
+    counts = sinks.counted(
+        sort_report(result), summary_counts(), lambda rows: aside.append(sinks.write_csv(rows, args.out, args.set_aside))
+    )
+    return counts | ({"set_aside": aside[0]} if args.set_aside else {})
 
 
 def _record_stream(spark: SparkSession, args: argparse.Namespace, family: str) -> DataFrame:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
@@ -15,16 +17,29 @@ from vigil.sources.storage import remove_folder
 CSV_TEXT = {"escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
-def write_csv(rows: DataFrame, path: str) -> None:
+def write_csv(rows: DataFrame, path: str, set_aside: str | None = None) -> int:
     """Directory of CSV files with header lines, replacing what is there.
 
-    The files of a sorted frame, taken by name, hold it in order. A line break
-    in a text fails the job: a file with one could not be split over tasks.
+    The files of a sorted frame, taken by name, hold it in order. A file with a
+    line break in a text could not be split over tasks: rows that have one go to
+    Parquet at ``set_aside`` and their number is returned; without that folder
+    the first of them fails the job. They are counted while the others are
+    written, and a second pass takes place only if there are any.
     """
     texts = [f.name for f in rows.schema.fields if f.dataType.simpleString() == "string"]
-    failed = F.raise_error(F.lit("line break in CSV text"))
-    whole = {c: F.when(F.col(c).rlike(r"[\r\n]"), failed.cast("string")).otherwise(F.col(c)) for c in texts}
-    rows.withColumns(whole).write.mode("overwrite").options(header=True, **CSV_TEXT).csv(path)
+    broken = reduce(or_, (F.coalesce(F.col(c).rlike(r"[\r\n]"), F.lit(False)) for c in texts), F.lit(False))
+
+    def write(whole: DataFrame) -> None:
+        whole.write.mode("overwrite").options(header=True, **CSV_TEXT).csv(path)
+
+    if set_aside is None:
+        failed = F.raise_error(F.lit("line break in CSV text"))
+        write(rows.withColumns({c: F.when(broken, failed.cast("string")).otherwise(F.col(c)) for c in texts[:1]}))
+        return 0
+    n = counted(rows, [F.count_if(broken).alias("broken")], lambda seen: write(seen.where(~broken)))["broken"]
+    if n:
+        rows.where(broken).write.mode("overwrite").parquet(set_aside)
+    return n
 
 
 def write_parquet(rows: DataFrame, path: str) -> None:
