@@ -6,9 +6,11 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 
 from pyspark.sql import functions as F
 
+from vigil.config import NET_DISK, SlidingWindow
 from vigil.functions.numbers import float_rank
 from vigil.operators.dedupe import first_per_key, value_position
 from vigil.operators.join import KEYS, join_families, merge_copies, merge_first
+from vigil.plans.reports import report
 
 
 def test_lowest_order_is_kept_whole(spark):
@@ -67,16 +69,28 @@ def test_exact_sums_in_any_order(spark):
         import numpy as np
 
         steps = sum(int(float(np.float32(v)) * 2**30) for v in net) * other
-        assert int(found[s].net_in_sum) == steps and found[s].net_in_rest is None
+        assert int(found[s].net_in_big) == steps and found[s].net_in_sum is None and found[s].net_in_rest is None
 
 
 def test_exact_sums_beside_odd_values(spark):
-    odd = [1.25, float("inf"), None, 2.0**33]
+    odd = [1.25, float("inf"), None, 2.0**25]
     left = spark.createDataFrame([("s", 1, v) for v in odd], "server_id string, ts_sec bigint, a float")
     right = spark.createDataFrame([("s", 1, 1.0), ("s", 1, float("nan"))], "server_id string, ts_sec bigint, b float")
     row = merge_copies(left, right, exact=True).first()
     assert (row.a_sum, row.a_rest, row.a_count) == (int(1.25 * 2**30) * 2, float("inf"), 6)
-    assert row.b_sum == 2**30 * 4 and row.b_rest != row.b_rest
+    assert row.b_sum == 2**30 * 4 and row.b_rest != row.b_rest and row.a_big is None
+    below = spark.createDataFrame([("s", 1, -1.5), ("s", 1, 0.25)], "server_id string, ts_sec bigint, a float")
+    row = merge_copies(below, right, exact=True).first()
+    assert row.a_sum == int(-1.25 * 2**30) * 2
+
+
+def test_exact_averages_of_long_windows(spark):
+    window = SlidingWindow(size=90_000, slide=90_000, clamp=False)
+    sides = [
+        spark.range(40_000).selectExpr("'s' server_id", "id ts_sec", f"CAST(id % 1000 AS FLOAT) {m}") for m in ("net_in", "disk_io")
+    ]
+    row = report(*sides, NET_DISK, window, labels="epoch").first()
+    assert (row.avg_net_in, row.avg_disk_io) == (499.5, 499.5)
 
 
 def test_null_keys_are_one_key(spark):

@@ -75,34 +75,62 @@ def merge_copies(left: DataFrame, right: DataFrame, exact: bool = False) -> Data
     columns = [*KEYS, (F.col("copies_1") * F.col("copies_2")).alias("pairs")]
     for metrics, other in ((l, "copies_2"), (r, "copies_1")):
         for m in metrics:
-            times = F.col(other).cast("decimal(19,0)") if exact else F.col(other)
-            columns += [
-                (F.col(f"{m}_sum") * times).alias(f"{m}_sum"),
-                (F.col(f"{m}_count") * F.col(other)).alias(f"{m}_count"),
-                F.col(f"{m}_max"),
-                *([(F.col(f"{m}_rest") * F.col(other)).alias(f"{m}_rest")] if exact else []),
-            ]
+            columns += exact_sums(m, F.col(other)) if exact else [(F.col(f"{m}_sum") * F.col(other)).alias(f"{m}_sum")]
+            columns += [(F.col(f"{m}_count") * F.col(other)).alias(f"{m}_count"), F.col(f"{m}_max")]
     return merged.select(*columns)
 
 
 #: Steps of one in exact sums. Floats of two decimal places are whole numbers of them.
 EXACT_STEPS = 2.0**30
-#: Smaller values are summed exactly; their steps fit a long, and 10**19 of them a decimal.
-EXACT_BELOW = 2.0**33
+#: Values below are summed exactly.
+EXACT_BELOW = 2.0**25
+#: Low bits of a number of steps, summed apart from the others: neither sum leaves a long before 2**32 rows of a key.
+_LOW_BITS = 24
+#: A key's sum of up to this many steps stays a long, of which 2**17 can be added up; a larger one is a decimal.
+_SMALL_SUM = 2.0**46
+SMALL_SUMS = 1 << 16
 
 
 def sums_of(metric: str, exact: bool = False) -> list[Column]:
     """Sum, count and maximum of a metric; averages are finished from them later.
 
     A sum of doubles depends on the order of its terms once it has more than 53
-    bits. With ``exact`` the sum is a whole number of steps as a decimal, the
-    same in any order; values of EXACT_BELOW and more, and those that are no
-    numbers, are summed as doubles beside it, in <metric>_rest.
+    bits. With ``exact`` it is a whole number of steps, the same in any order, in
+    two parts for ``exact_sums``: <metric>_high and _low. Values of EXACT_BELOW
+    and more, and those that are no numbers, are summed as doubles beside it, in
+    <metric>_rest.
     """
     value = F.col(metric).cast("double")
     others = [F.count(metric).alias(f"{metric}_count"), F.max(metric).alias(f"{metric}_max")]
     if not exact:
         return [F.sum(value).alias(f"{metric}_sum"), *others]
     small = F.abs(value) < EXACT_BELOW
-    steps = F.when(small, value * EXACT_STEPS).cast("bigint").cast("decimal(38,0)")
-    return [F.sum(steps).alias(f"{metric}_sum"), *others, F.sum(F.when(~small, value)).alias(f"{metric}_rest")]
+    steps = F.when(small, value * EXACT_STEPS).cast("bigint")
+    return [
+        F.sum(F.shiftright(steps, _LOW_BITS)).alias(f"{metric}_high"),
+        F.sum(steps.bitwiseAND((1 << _LOW_BITS) - 1)).alias(f"{metric}_low"),
+        *others,
+        F.sum(F.when(~small, value)).alias(f"{metric}_rest"),
+    ]
+
+
+def exact_sums(metric: str, times: Column) -> list[Column]:
+    """A key's exact sum so many times: <metric>_sum, a long, or if that is too small, <metric>_big, a decimal; and _rest.
+
+    Decimals are slow to add up, and only keys with very many copies need them.
+    """
+    high, low = F.col(f"{metric}_high"), F.col(f"{metric}_low")
+    is_small = F.abs((high.cast("double") * 2.0**_LOW_BITS + low) * times) < _SMALL_SUM
+    whole = high.cast("decimal(19,0)") * F.lit(1 << _LOW_BITS).cast("decimal(8,0)") + low.cast("decimal(19,0)")
+    return [
+        F.when(is_small, (high * (1 << _LOW_BITS) + low) * times).alias(f"{metric}_sum"),
+        F.when(~is_small, whole.cast("decimal(38,0)") * times.cast("decimal(19,0)")).alias(f"{metric}_big"),
+        (F.col(f"{metric}_rest") * times).alias(f"{metric}_rest"),
+    ]
+
+
+def exact_total(metric: str) -> Column:
+    """The exact sum with what was summed beside it, as a double."""
+    zero = F.lit(0).cast("decimal(38,0)")
+    steps = F.coalesce(F.col(f"{metric}_sum").cast("decimal(38,0)"), zero) + F.coalesce(f"{metric}_big", zero)
+    return steps.cast("double") / EXACT_STEPS + F.coalesce(f"{metric}_rest", F.lit(0.0))

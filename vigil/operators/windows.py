@@ -19,7 +19,7 @@ from math import gcd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from vigil.config import SlidingWindow
-from vigil.operators.join import EXACT_STEPS, sums_of
+from vigil.operators.join import SMALL_SUMS, exact_total, sums_of
 
 
 def _step_down(second: Column, step: int, offset: int = 0) -> Column:
@@ -95,11 +95,15 @@ def aggregate_windows(
     ``samples`` has one row per server and second, with the metrics or, when
     ``summed``, with their sums, counts and maxima as ``merge_copies`` gives
     them. The result has server_id, window_start and window_end (epoch seconds)
-    and <metric>_sum, _count and _max, with exact sums also _rest. Both groupings
-    follow the block shuffle and need no other.
+    and <metric>_sum, _count and _max, with exact sums also _big and _rest. Both
+    groupings follow the block shuffle and need no other.
     """
     exact = summed and f"{metrics[0]}_rest" in samples.columns
-    names = [f"{m}_{part}" for m in metrics for part in ("sum", "count", "max", *(["rest"] if exact else []))]
+    names = [f"{m}_{part}" for m in metrics for part in ("sum", "count", "max", *(["big", "rest"] if exact else []))]
+    if exact and window.size > SMALL_SUMS:  # too many longs to add up
+        for m in metrics:
+            samples = samples.withColumn(f"{m}_big", F.coalesce(f"{m}_big", F.col(f"{m}_sum").cast("decimal(38,0)")))
+            samples = samples.withColumn(f"{m}_sum", F.lit(0).cast("bigint"))
     samples = samples.select("server_id", "ts_sec", *(names if summed else metrics))
     spread = spread_blocks(samples, window)
     rows = spread
@@ -129,14 +133,11 @@ def _sums(metrics: list[str], summed: bool, exact: bool) -> list[Column]:
 
 
 def combined_sums(metrics: list[str], exact: bool = False) -> list[Column]:
-    combine = {"sum": F.sum, "count": F.sum, "max": F.max} | ({"rest": F.sum} if exact else {})
+    combine = {"sum": F.sum, "count": F.sum, "max": F.max} | ({"big": F.sum, "rest": F.sum} if exact else {})
     return [f(f"{m}_{part}").alias(f"{m}_{part}") for m in metrics for part, f in combine.items()]
 
 
 def mean_and_max(metric: str, name: str, exact: bool = False) -> list[Column]:
     """Average rounded to two places, and maximum, of a summed-up metric."""
-    total = F.col(f"{metric}_sum")
-    if exact:
-        total = F.coalesce(total.cast("double"), F.lit(0.0)) / EXACT_STEPS + F.coalesce(f"{metric}_rest", F.lit(0.0))
-    mean = F.try_divide(total, f"{metric}_count")
+    mean = F.try_divide(exact_total(metric) if exact else F.col(f"{metric}_sum"), f"{metric}_count")
     return [F.round(mean, 2).alias(f"avg_{name}"), F.col(f"{metric}_max").alias(f"max_{name}")]
