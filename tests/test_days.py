@@ -162,7 +162,9 @@ def test_snapshot_from_new_files(spark, tmp_path, monkeypatch):
     assert read == [["one.json"], ["two.json"]]
     assert {f for f in before if "2024-01-01" in f} <= files_of(out)
     assert refresh_snapshot(spark, source, out, "cpu", "lenient") == {"new_files": 0, "days": []}
-    assert FileLedger(spark, f"{out}/_ledger").runs() == [1, 2]
+    notes = FileLedger(spark, f"{out}/_ledger")
+    assert notes.last_run() == 2 and notes.files().count() == 2
+    assert os.listdir(f"{out}/_ledger/files") == ["run=2"] and os.listdir(f"{out}/_ledger/days") == []
 
 
 def test_snapshot_after_failures(spark, tmp_path, monkeypatch):
@@ -179,14 +181,20 @@ def test_snapshot_after_failures(spark, tmp_path, monkeypatch):
         with pytest.raises(RuntimeError):
             refresh_snapshot(spark, source, out, "cpu", "lenient")
     notes = FileLedger(spark, f"{out}/_ledger")
-    assert notes.runs() == [1] and set(notes.interrupted_days()) == {None, date(2024, 1, 2), date(2024, 1, 3)}
+    assert notes.last_run() == 1 and set(notes.interrupted_days()) == {None, date(2024, 1, 2), date(2024, 1, 3)}
     # a day was lost while it was replaced
     storage_day = glob.glob(f"{out}/date=2024-01-02/*.parquet")
     for path in storage_day:
         os.remove(path)
     assert refresh_snapshot(spark, source, out, "cpu", "lenient")["new_files"] == 1
     assert rows(tables.read_snapshot_parquet(spark, out, "cpu")) == one_run(spark, source)
-    assert notes.interrupted_days() == [] and notes.runs() == [1, 3]
+    assert notes.interrupted_days() == [] and notes.last_run() == 3 and notes.files().count() == 2
+    # a commit that ended half way does not count
+    records(source, "three.json", [("2024-01-05 10:00:00", "c", 1.0)])
+    refresh_snapshot(spark, source, out, "cpu", "lenient")
+    os.remove(f"{out}/_ledger/files/run=4/_SUCCESS")
+    assert notes.last_run() == 0 and refresh_snapshot(spark, source, out, "cpu", "lenient")["new_files"] == 3
+    assert rows(tables.read_snapshot_parquet(spark, out, "cpu")) == one_run(spark, source) and notes.last_run() == 5
 
 
 def test_snapshot_from_no_files(spark, tmp_path):

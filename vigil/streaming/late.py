@@ -50,9 +50,9 @@ def correct_late(
     A sample may be too late if it is older than ``delay_seconds``, the report's
     delay, before the latest of either side up to its batch. That holds for each
     sample the report drops, whatever its batches. Writing is by batch, so a
-    batch that is repeated replaces itself. Each batch reads the days around its touched
-    windows, and of these only the servers and times touched. With a clamp the
-    origin has to be known.
+    batch that is repeated replaces itself. A batch reads the days around its
+    samples and touched windows only, and joins by the servers and times touched.
+    With a clamp the origin has to be known.
     """
     if window.clamp and window.origin is None:
         raise ValueError("corrections need the window's origin, or no clamp")
@@ -71,7 +71,9 @@ def correct_late(
             return
         touched = assign_windows(own.where(F.col("ts_sec") < horizon - delay_seconds), window).select(*_WINDOW)
         if number and exists(spark, marks):
-            known = spark.read.schema(_TOUCHED).parquet(marks).where(F.col("batch") < number)
+            own_days = Days.of(r.date for r in own.select("date").distinct().collect())
+            near = own_days.reach(before=days_to_reach(window.size - 1)).holds(F.col("date"))
+            known = spark.read.schema(_TOUCHED).parquet(marks).where((F.col("batch") < number) & near)
             again = assign_windows(own, window).select(*_WINDOW).join(known, _WINDOW, "left_semi")
             touched = touched.unionByName(again)
         replace_batch(touched.distinct().withColumn("date", day_of(F.col("window_start"))), marks, number, ["date"])
