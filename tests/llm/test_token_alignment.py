@@ -129,6 +129,16 @@ def test_minimal_hash():
                 verified_places(function, ordered, np.setdiff1d(chooser.integers(0, 2**62, 50), keys))
 
 
+def test_very_long_texts(spark, both):
+    texts = [sentence(1, 40_000), "x" * 100_000, "\n".join(sentence(i, 5) for i in range(5000))]
+    found = {r.doc_id: r for r in align_documents(documents(spark, [(i, t, None, None, None) for i, t in enumerate(texts)])).collect()}
+    for i, text in enumerate(texts):
+        a, b = both[0].encode(" " + text, add_special_tokens=False).ids, both[1].encode(text)
+        assert (found[i].n_a, found[i].n_b) == (len(a), len(b))
+        groups = [g.split("|") for g in found[i].groups.split(";")]
+        assert ",".join(g[0] for g in groups) == ",".join(map(str, a)) and ",".join(g[1] for g in groups) == ",".join(map(str, b))
+
+
 def test_query(spark, both):
     found = op12_token_alignment(spark, "/root/testdata/sf0.001").collect()
     table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").orderBy("doc_id").collect()
