@@ -79,6 +79,15 @@ def test_reports_of_days(spark, place):
     assert job(spark, place, *words, "--out", "@labels_of_day")["total_rows"] == second["total_rows"]
 
 
+def test_sorted_csv_in_ranges(spark, place):
+    job(spark, place, *report_words(place, "--out-format", "csv", "--out", "@plain"))
+    job(spark, place, *report_words(place, "--out-format", "csv", "--ranges", "3", "--out", "@ranges"))
+    lines = [[line for p in sorted((place / n).glob("*.csv")) for line in p.read_text().splitlines()[1:]] for n in ("plain", "ranges")]
+    assert lines[0] == lines[1] == sorted(lines[0]) and len(lines[0]) == 20
+    with pytest.raises(SystemExit):
+        arguments("report cpu_mem --left a --right b --ranges 3 --out c".split())
+
+
 def test_report_after_changed_days(spark, place):
     job(spark, place, *report_words(place, "--changed", "2025-10-21", "--out", "@changed"))
     job(spark, place, *report_words(place, "--out", "@whole2"))

@@ -206,3 +206,34 @@ def test_clamp_reuses_the_shuffle_under_adaptive_execution(spark, rule):
     known = report(*values, rule, SlidingWindow(origin=TEN), labels="epoch", order=["pos"])
     assert rows(known) == found
     assert "Subquery" not in plan_of(known)
+
+
+@pytest.mark.parametrize("ranges,window", [(1, SlidingWindow()), (5, SlidingWindow()), (7, SlidingWindow(size=60, slide=20, block=60)), (3, SlidingWindow(clamp=False))])
+def test_ranges_are_in_total_order(spark, ranges, window):
+    """Partitions one after the other hold the sorted report; a hot server is cut, too."""
+    samples = spark.range(4000).selectExpr(
+        "CASE WHEN id % 3 > 0 THEN 'hot' ELSE concat('s', id % 7) END server_id", "id * 5 ts_sec", "CAST(id % 100 AS FLOAT) cpu_pct"
+    )
+    sides = samples, samples.withColumnRenamed("cpu_pct", "mem_pct")
+    plain = report(*sides, CPU_MEM, window, labels="epoch")
+    ordered = report(*sides, CPU_MEM, window, labels="epoch", ranges=ranges)
+    assert ordered.columns == plain.columns
+    placed = ordered.withColumn("part", F.spark_partition_id()).collect()
+    assert [tuple(r)[:-1] for r in placed] == [tuple(r) for r in plain.orderBy("server_id", "window_start").collect()]
+    assert [r.part for r in placed] == sorted(r.part for r in placed)
+    if ranges > 1:
+        assert len({r.part for r in placed if r.server_id == "hot"}) > 1
+
+
+def test_ranges_read_the_join_once(spark):
+    samples = spark.range(2000).selectExpr("concat('s', id % 7) server_id", "id ts_sec", "CAST(id % 100 AS FLOAT) cpu_pct")
+    sides = samples, samples.withColumnRenamed("cpu_pct", "mem_pct")
+    ordered = report(*sides, CPU_MEM, SlidingWindow(origin=0), labels="epoch", ranges=4)
+    ordered.collect()
+    plan = ordered._jdf.queryExecution().executedPlan().toString()
+    final = plan[: plan.index("== Initial Plan ==")]
+    assert "ReusedExchange" in final and "rangepartitioning" not in plan
+    assert final.count("Range (0, 2000") == 2  # each side once
+    assert report(*(s.limit(0) for s in sides), CPU_MEM, labels="epoch", ranges=4).collect() == []
+    with pytest.raises(ValueError):
+        report(*sides, CPU_MEM, labels="time_of_day", ranges=4)

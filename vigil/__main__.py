@@ -85,6 +85,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     job.add_argument("--no-clamp", dest="clamp", action="store_false")
     job.add_argument("--out", required=True)
     job.add_argument("--out-format", choices=["csv", "parquet"], default="parquet")
+    job.add_argument("--ranges", type=int, help="write a sorted CSV report in so many ranges, counted while it is made")
     _set_aside(job)
 
     job = jobs.add_parser("stream", help="records to a report, continuing from the last run")
@@ -113,6 +114,8 @@ def _check(parser: argparse.ArgumentParser, args: argparse.Namespace) -> None:
         by_day = args.from_date or args.to_date or args.changed
         if by_day and args.format != "parquet":
             parser.error("days can be told apart in Parquet snapshots only")
+        if args.ranges and (args.out_format != "csv" or args.time_of_day):
+            parser.error("--ranges is for reports in CSV with whole timestamps")
         if args.changed and (args.out_format != "parquet" or args.time_of_day or args.from_date or args.to_date):
             parser.error("--changed brings a whole report in Parquet up to date")
     if args.job == "stream" and args.corrections and args.origin is None:
@@ -217,7 +220,7 @@ def run_report(spark: SparkSession, args: argparse.Namespace) -> dict[str, int]:
     if args.changed:
         changed = [date.fromisoformat(d) for d in args.changed]
         return refresh_report(spark, rule, paths, tuple(families), args.out, changed, window, limits)
-    settings = {"labels": "time_of_day" if args.time_of_day else "timestamp", "zone": args.zone}
+    settings = {"labels": "time_of_day" if args.time_of_day else "timestamp", "zone": args.zone, "ranges": args.ranges}
     days = Days.between(args.from_date, args.to_date) if args.from_date or args.to_date else None
     if days is not None:
         result = report_of_days(spark, rule, paths, tuple(families), days, window, limits, **settings)
@@ -228,11 +231,12 @@ def run_report(spark: SparkSession, args: argparse.Namespace) -> dict[str, int]:
         result = make(left, right, window=window, thresholds=limits, **settings)
     if args.out_format == "parquet" and not args.time_of_day:
         return sinks.write_report_by_date(result, args.out, days)
+    in_order = result if args.ranges else sort_report(result)
     if args.out_format == "parquet":
-        return sinks.counted(sort_report(result), summary_counts(), lambda rows: sinks.write_parquet(rows, args.out))
+        return sinks.counted(in_order, summary_counts(), lambda rows: sinks.write_parquet(rows, args.out))
     aside: list[int] = []
     counts = sinks.counted(
-        sort_report(result), summary_counts(), lambda rows: aside.append(sinks.write_csv(rows, args.out, args.set_aside))
+        in_order, summary_counts(), lambda rows: aside.append(sinks.write_csv(rows, args.out, args.set_aside))
     )
     return counts | ({"set_aside": aside[0]} if args.set_aside else {})
 

@@ -106,8 +106,8 @@ def label_timestamps(windows: DataFrame) -> DataFrame:
 def sort_report(report: DataFrame) -> DataFrame:
     """Total order by server and window start. The range shuffle splits a busy server.
 
-    Finding the ranges runs the stage below once more, so sort a large report
-    after it is written, or write it by date, which needs no ranges.
+    Finding the ranges runs the stage below once more; ``plans.reports.report``
+    with ``ranges`` counts them in the plan, and writing by date needs none.
     """
     return report.orderBy("server_id", "window_start")
 

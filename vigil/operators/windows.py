@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from math import gcd
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from vigil.config import SlidingWindow
 from vigil.operators.join import SMALL_SUMS, exact_total, sums_of
@@ -87,8 +87,32 @@ def first_start_of(second: int, window: SlidingWindow) -> int:
     return start - (start - window.offset) % window.slide
 
 
+def number_ranges(spread: DataFrame, n: int) -> DataFrame:
+    """(server_id, block, range): blocks in order of server and time, cut into ``n`` ranges of about equal samples.
+
+    Counts come from the shuffle the windows are made of: as in ``origin`` they
+    need every column, or it would be pruned into a second run of the join. Of
+    them one row per server goes through one task, to add up what lies before
+    each server.
+    """
+    row = F.nullif(F.xxhash64(*spread.columns), F.lit(0).cast("bigint"))  # any row, but for one hash in 2**64
+    # the joins ask for a server; asked for here, too, each branch has the same shuffle
+    counts = spread.where("server_id IS NOT NULL").groupBy("server_id", "block").agg(F.count(row).alias("samples"))
+    by_name = Window.orderBy("server_id")
+    servers = counts.groupBy("server_id").agg(F.sum("samples").alias("of_server"))
+    servers = servers.select(
+        "server_id",
+        (F.sum("of_server").over(by_name) - F.col("of_server")).alias("before"),
+        F.sum("of_server").over(Window.partitionBy()).alias("all"),
+    )
+    in_server = Window.partitionBy("server_id").orderBy("block")
+    placed = counts.withColumn("before_block", F.sum("samples").over(in_server) - F.col("samples"))
+    place = F.floor((F.col("before") + F.col("before_block")) * F.lit(n) / F.col("all"))
+    return placed.join(servers, "server_id").select("server_id", "block", place.cast("int").alias("range"))
+
+
 def aggregate_windows(
-    samples: DataFrame, window: SlidingWindow, metrics: list[str], summed: bool = False
+    samples: DataFrame, window: SlidingWindow, metrics: list[str], summed: bool = False, ranges: int | None = None
 ) -> DataFrame:
     """Sum, count and maximum of each metric per server and window.
 
@@ -96,7 +120,8 @@ def aggregate_windows(
     ``summed``, with their sums, counts and maxima as ``merge_copies`` gives
     them. The result has server_id, window_start and window_end (epoch seconds)
     and <metric>_sum, _count and _max, with exact sums also _big and _rest. Both
-    groupings follow the block shuffle and need no other.
+    groupings follow the block shuffle and need no other. ``ranges`` adds the
+    number of the window's range in the order of server and start (``number_ranges``).
     """
     exact = summed and f"{metrics[0]}_rest" in samples.columns
     names = [f"{m}_{part}" for m in metrics for part in ("sum", "count", "max", *(["big", "rest"] if exact else []))]
@@ -122,7 +147,10 @@ def aggregate_windows(
     if bound is not None:
         windows = windows.where(F.col("window_start") >= bound)
     window_end = (F.col("window_start") + F.lit(window.size)).alias("window_end")
-    return windows.select("server_id", "window_start", window_end, *names)
+    if ranges is None:
+        return windows.select("server_id", "window_start", window_end, *names)
+    numbered = windows.join(number_ranges(spread, ranges), ["server_id", "block"])
+    return numbered.select("server_id", "window_start", window_end, *names, "range")
 
 
 def _sums(metrics: list[str], summed: bool, exact: bool) -> list[Column]:

@@ -46,6 +46,7 @@ def window_statistics(
     rule: AlertRule,
     window: SlidingWindow = SlidingWindow(),
     order: list[str] | None = None,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Averages and maxima per server and window, over samples both sides have.
 
@@ -62,9 +63,9 @@ def window_statistics(
     else:
         raise ValueError(f"unknown treatment of duplicates: {rule.duplicates}")
     windows = aggregate_windows(
-        joined, window, [rule.left, rule.right], summed=rule.duplicates == "multiply"
+        joined, window, [rule.left, rule.right], summed=rule.duplicates == "multiply", ranges=ranges
     )
-    return finish_statistics(windows, rule)
+    return finish_statistics(windows, rule, ["range"] if ranges else [])
 
 
 def report(
@@ -78,6 +79,7 @@ def report(
     duplicates: str | None = None,
     zone: str | None = None,
     days: Days | None = None,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Window statistics with alert text.
 
@@ -87,10 +89,15 @@ def report(
     ``labels`` is "timestamp", "epoch" (seconds) or "time_of_day" (HH:mm:ss
     text, one row per server and label, on the clock of ``zone`` or else the
     session's). ``days`` keeps windows that start on these days (UTC).
+    ``ranges`` gives the report in so many partitions and in total order by server
+    and window start; their bounds come from counts in the same plan, where
+    ``sort_report`` has Spark run the last stage once more to find them.
     """
     if duplicates:
         rule = replace(rule, duplicates=duplicates)
-    windows = window_statistics(left, right, rule, window, order)
+    if ranges and labels == "time_of_day":
+        raise ValueError("ranges are in the order of windows, not of times of day")
+    windows = window_statistics(left, right, rule, window, order, ranges)
     if days is not None:
         windows = windows.where(days.holds(day_of(F.col("window_start"))))
     if labels == "time_of_day" and versioned(thresholds):
@@ -102,7 +109,11 @@ def report(
         windows = label_timestamps(windows)
     elif labels != "epoch":
         raise ValueError(f"unknown labels: {labels}")
-    return with_alert(windows, rule, thresholds)
+    judged = with_alert(windows, rule, thresholds)
+    if not ranges:
+        return judged
+    placed = judged.repartitionById(ranges, F.col("range"))
+    return placed.sortWithinPartitions("server_id", "window_start").drop("range")
 
 
 def cpu_mem_report(cpu: DataFrame, mem: DataFrame, order: list[str] | None = None, **settings) -> DataFrame:

@@ -457,6 +457,7 @@ QUALIFY row_number() OVER (PARTITION BY server_id, ts_sec ORDER BY net_in DESC,
     ),
     "join_null_keys": _cpu_mem(EPOCH_REPORT, "broken", BROKEN),
     "csv_odd_text": _odd_text(),
+    "report_ordered": _cpu_mem(EPOCH_REPORT, "three_days", THREE_DAYS),
     "report_day_range": _cpu_mem(EPOCH_REPORT, "three_days", THREE_DAYS),
     "report_refresh": _cpu_mem(EPOCH_REPORT, "three_days", THREE_DAYS),
     "snapshot_incremental": _with(

@@ -397,6 +397,11 @@ def report_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sort_report(_net_disk(spark, sf_dir))
 
 
+def report_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of three days in total order, by ranges from counts in the plan."""
+    return report(*_three_days(spark, sf_dir), CPU_MEM, order=ORDER, labels="epoch", ranges=4)
+
+
 def _three_days(spark, sf_dir):
     return _samples(spark, sf_dir, "cpu", "mem", days=3)
 
@@ -772,6 +777,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         tod_zone,
         pipeline_files,
         exact_average,
+        report_ordered,
         report_day_range,
         report_refresh,
         snapshot_incremental,
