@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 from collections import Counter, defaultdict
 from re import _constants, _parser
 
@@ -8,7 +9,7 @@ import pytest
 
 from tests.llm.helpers import DOCS, documents, odd_documents
 from vigil.llm.exact_dedup import drop_exact_copies, exact_groups
-from vigil.llm.license_scan import BASE_RULE, LICENSES, PHRASES, scan_licenses, signature_rules
+from vigil.llm.license_scan import BASE_RULE, LICENSES, PHRASES, SENTENCES, scan_licenses, signature_rules
 from vigil.llm.mixing import apportion, mix_sources
 
 
@@ -186,6 +187,44 @@ def test_licenses_by_all_names(spark):
     assert all(found[i][5] for i in found)
 
 
+def test_licenses_by_sentences(spark):
+    lines = [(label, keyword, line) for label, keyword, pattern in SENTENCES for line in spellings(_parser.parse(pattern))]
+    assert all(keyword in f" {line} " for _, keyword, line in lines)
+    texts = [f"Some words. {line.capitalize()}, and more" for _, _, line in lines]
+    texts += [
+        'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software")',
+        "Redistribution and use in source and binary forms, with or without modification, are permitted. It may be used to endorse or promote"
+        " products derived from this software without specific prior written permission.",
+        "See https://creativecommons.org/licenses/by-nc-sa/4.0/ or http://www.apache.org/licenses/LICENSE-2.0",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+        "permission is granted, source and binary forms, the domain is public, free software",
+    ]
+    docs = documents(spark, [(i, t, None, None, None) for i, t in enumerate(texts)])
+    found = {r.doc_id: tuple(r)[1:8] for r in scan_licenses(docs).collect()}
+    assert found == {i: scan(t) for i, t in enumerate(texts)}
+    assert all(label in found[i][5].split(",") for i, (label, _, _) in enumerate(lines))
+    assert [found[len(lines) + i][5] for i in range(5)] == ["mit", "bsd,bsd-3-clause", "apache-2,cc-by-nc-sa", "mpl-2", ""]
+
+
+def test_license_detections(spark):
+    text = "Under the MIT License or under the terms of the GPL v2 license"
+    row = scan_licenses(documents(spark, [(1, text, None, None, None)])).first()
+    assert [(d.start, d.end, d.label) for d in row.detections] == [(0, 4, "mit"), (10, 13, "gpl-2")]
+
+
+def test_licenses_of_a_text_with_many_mentions(spark):
+    n = 20_000
+    text = "the MIT license. GPL-2 license, under the MIT license; " * n
+    docs = documents(spark, [(1, text, None, None, None)])
+    scan_licenses(documents(spark, [(1, "the mit license", None, None, None)])).collect()
+    started = time.monotonic()
+    row = scan_licenses(docs).drop("detections").first()
+    seconds = time.monotonic() - started
+    assert (row.n_words, row.n_base, row.first_word, row.last_word, row.base_labels, row.labels, row.score) == (
+        10 * n, n, 6, 10 * n - 4, "mit", "gpl-2,mit", 1.0)
+    assert seconds < 60, seconds
+
+
 def test_license_plan_is_native(spark):
     plan = scan_licenses(spark.createDataFrame([], DOCS))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan

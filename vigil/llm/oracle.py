@@ -116,8 +116,7 @@ words AS (
 lines AS (SELECT doc_id, len(w) AS n_words, ' ' || array_to_string(w, '  ') || ' ' AS line FROM words),
 parts AS (
     SELECT doc_id, rule, priority, label, sure, string_split_regex(line, pattern) AS gaps, regexp_extract_all(line, pattern) AS found
-    FROM lines JOIN rules ON regexp_matches(line, pattern)
-    WHERE regexp_matches(line, 'licen[cs]|spdx|cc  by')),
+    FROM lines JOIN rules ON regexp_matches(line, pattern)),
 places AS (
     SELECT doc_id, rule, priority, label, sure, len(found[k]) AS width,
       CAST(list_sum(list_transform(gaps[1:k], lambda g: len(g))) + coalesce(list_sum(list_transform(found[1:k - 1], lambda m: len(m))), 0) AS BIGINT) AS a
