@@ -77,13 +77,13 @@ LICENSES = [
 # How a text refers to a license, best first, what each such text
 # has, and how sure it is.
 TEMPLATES = [
-    ("spdx license identifier {}", "licen[cs]e", 1.0),
-    ("(?:licensed|released|distributed|published|provided|available|covered) under (?:the )?(?:terms (?:and conditions )?of (?:the )?)?{}(?: licen[cs]e)?", " under ", 0.95),
-    ("(?:subject|according) to (?:the )?(?:terms (?:and conditions )?of (?:the )?)?{}(?: licen[cs]e)?", "(?:subject|according) to ", 0.9),
-    ("under (?:the )?{} licen[cs]e", "licen[cs]e", 0.85),
-    ("(?:see|read|accept|copy of) (?:the )?{} licen[cs]e", "licen[cs]e", 0.8),
-    ("licen[cs]e (?:is |type |identifier |name )?(?:the )?{}", "licen[cs]e", 0.7),
-    ("{} licen[cs]e", "licen[cs]e", 0.6),
+    ("spdx license identifier {}", ("license", "licence"), 1.0),
+    ("(?:licensed|released|distributed|published|provided|available|covered) under (?:the )?(?:terms (?:and conditions )?of (?:the )?)?{}(?: licen[cs]e)?", (" under ",), 0.95),
+    ("(?:subject|according) to (?:the )?(?:terms (?:and conditions )?of (?:the )?)?{}(?: licen[cs]e)?", ("subject to ", "according to "), 0.9),
+    ("under (?:the )?{} licen[cs]e", ("license", "licence"), 0.85),
+    ("(?:see|read|accept|copy of) (?:the )?{} licen[cs]e", ("license", "licence"), 0.8),
+    ("licen[cs]e (?:is |type |identifier |name )?(?:the )?{}", ("license", "licence"), 0.7),
+    ("{} licen[cs]e", ("license", "licence"), 0.6),
 ]
 
 # Sentences of the licenses and places they are kept at, as label,
@@ -244,12 +244,14 @@ def scan_licenses(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     n_words = F.when(F.col("words") == "", 0).otherwise(
         F.octet_length("words") - F.octet_length(F.replace(F.col("words"), F.lit(" "), F.lit(""))) + 1
     )
-    needed = [text for _, text, _ in TEMPLATES] + [keyword for _, keyword, _ in SENTENCES]
-    reference = "|".join([*dict.fromkeys(needed), *PHRASES])
-    gated = plain.select(
+    needed = dict.fromkeys(
+        [text for _, texts, _ in TEMPLATES for text in texts] + [keyword for _, keyword, _ in SENTENCES] + [*PHRASES]
+    )
+    lowered = plain.select("doc_id", "words", F.lower("words").alias("lowered"))  # ASCII as in `lower`, so no match is missed
+    gated = lowered.select(
         "doc_id",
         n_words.cast("long").alias("n_words"),
-        F.when(F.col("words").rlike(f"(?i){reference}"), lower).alias("words"),
+        F.when(reduce(or_, [F.contains("lowered", F.lit(text)) for text in needed]), lower).alias("words"),
     )
 
     base_rules = F.array(*[_rule(BASE_RULE, label, f"(?<= ){phrase}(?= )", 1.0) for phrase, label in PHRASES.items()])
