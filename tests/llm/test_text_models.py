@@ -1,3 +1,4 @@
+import base64
 import hashlib
 import re
 import zlib
@@ -250,6 +251,20 @@ def test_toxicity_of_stretched_insults(spark):
         held += [(2000 + i, f"{sentence(i, 60)} {junk[i:]}", None, None, None) for i in range(5)]
         found = score_toxicity(documents(spark, held), model).collect()
         assert [r.predicted for r in sorted(found, key=lambda r: r.doc_id)] == [1] * 20 + [0] * 5
+    # what looks random: lines of base64, words of random letters, addresses
+    random = np.random.default_rng(5)
+
+    def letters(n):
+        return "".join(chr(c) for c in random.integers(97, 123, n))
+
+    junk = {
+        "base64": lambda: base64.b64encode(random.bytes(48)).decode(),
+        "letters": lambda: letters(random.integers(20, 71)),
+        "addresses": lambda: f"https://www.{letters(9)}.com/{letters(6)}/{letters(12)}-{letters(5)}?{letters(3)}={letters(8)}",
+    }
+    rows = [(i, sentence(i, 60) + " " + " ".join(make() for _ in range(30)), None, kind, None) for kind, make in junk.items() for i in range(100)]
+    found = score_toxicity(documents(spark, rows), model).where("predicted = 1").collect()
+    assert len(found) <= 3, found
 
 
 def test_inserted_characters():

@@ -108,8 +108,9 @@ class Landmarks:
     Kernel values of windows below `least` count as 0. A word with all of a
     landmark's characters in order also has `stretch` to the number of
     characters inserted per gap, however long the stretch; below `faint` that
-    counts as 0, and in words of more than `long` characters, where chance puts
-    any in order, it is worth less by their length.
+    counts as 0. Chance puts any characters in order in a word that is long
+    enough, at more places and with fewer between them the longer it is; beyond
+    `long` characters the value falls with the fifth power of the length.
     """
 
     words: list[str]
@@ -117,7 +118,7 @@ class Landmarks:
     chunk: int = 8000
     stretch: float = 0.8
     faint: float = 0.1
-    long: int = 64
+    long: int = 33
 
     def __post_init__(self) -> None:
         self.chars = codes(self.words)
@@ -180,8 +181,8 @@ class Landmarks:
                 if rows.size == 0:
                     continue
                 gaps = inserted(chars[rows], mark)
-                lengths = np.maximum((chars[rows] > 0).sum(axis=1), self.long)
-                values = self.stretch ** (gaps / (len(mark) - 1)) * self.long / lengths
+                lengths = (chars[rows] > 0).sum(axis=1)
+                values = self.stretch ** (gaps / (len(mark) - 1)) * np.minimum(1, self.long / lengths) ** 5
                 for k in np.flatnonzero((gaps < FAR) & (values >= self.faint)):
                     yield int(own[rows[k]]), m, float(values[k])
             at = end
