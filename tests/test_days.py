@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from vigil.config import CPU_MEM, NET_DISK, SlidingWindow
 from vigil.operators.decode import with_second
-from vigil.plans import incremental
-from vigil.plans.days import refresh_report, report_of_days, snapshot_origin, touched_days
+from vigil.plans import days as days_module, incremental
+from vigil.plans.days import refresh_report, report_each_day, report_of_days, snapshot_origin, touched_days
 from vigil.plans.incremental import refresh_snapshot
 from vigil.plans.reports import cpu_mem_report
 from vigil.plans.snapshots import decode_family, raw_snapshot
@@ -83,6 +83,29 @@ def test_each_day_alone_equals_the_whole(spark, tmp_path, window):
     assert sorted(halves[0] + halves[1]) == whole(spark, paths, window)
 
 
+def test_days_at_once_equal_the_whole_and_cost_few_jobs(spark, tmp_path, monkeypatch):
+    """Each day is reported alone, the origin and the folders looked up without a job a day."""
+    seconds = [s for d in range(6) for s in range(MIDNIGHT + d * 86400 - 20, MIDNIGHT + d * 86400 + 20, 2)]
+    paths = store(spark, tmp_path, seconds)
+    looked = []
+    lookup = days_module.snapshot_origin
+    monkeypatch.setattr(days_module, "snapshot_origin", lambda *a: looked.append(a) or lookup(*a))
+    days = stored_days(spark, paths[0])
+    counts = report_each_day(spark, CPU_MEM, paths, FAMILIES, f"{tmp_path}/report", days, at_once=3)
+    stored = spark.read.parquet(f"{tmp_path}/report")
+    assert rows(stored.drop("date")) == whole(spark, paths) and len(looked) == 1
+    assert {d: c["total_rows"] for d, c in counts.items()} == {r.date: r["count"] for r in stored.groupBy("date").count().collect()}
+    assert len(days) == len(counts) == 7
+
+
+def test_reading_some_days_opens_their_folders_only(spark, tmp_path):
+    paths = store(spark, tmp_path, range(MIDNIGHT - 2 * 86400, MIDNIGHT + 2 * 86400, 7200))
+    (tmp_path / "cpu" / "date=2024-01-03" / "bad.parquet").write_text("no parquet")
+    some = tables.read_snapshot_parquet(spark, paths[0], "cpu", Days.between("2023-12-31", "2024-01-01"))
+    assert some.count() == 24 and all("/date=2024-01-0" not in f or "/date=2024-01-01" in f for f in some.inputFiles())
+    assert tables.read_snapshot_parquet(spark, paths[0], "cpu", Days.of([date(2025, 1, 1)])).count() == 0
+
+
 def test_origin_is_that_of_all_days(spark, tmp_path):
     paths = store(spark, tmp_path, range(MIDNIGHT - 5, MIDNIGHT + 200000, 5000))
     assert snapshot_origin(spark, CPU_MEM, paths, FAMILIES) == MIDNIGHT - 5

@@ -10,10 +10,12 @@ which is looked for from the earliest day on.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.util import inheritable_thread_target
 
 from vigil import fixed_values as fixed
 from vigil.config import AlertRule, SlidingWindow
@@ -79,6 +81,38 @@ def report_of_days(
     return report(left, right, rule, window, thresholds, [POSITION], days=days, **settings)
 
 
+def report_each_day(
+    spark: SparkSession,
+    rule: AlertRule,
+    paths: tuple[str, str],
+    families: tuple[str, str],
+    out: str,
+    days: Iterable[date],
+    window: SlidingWindow = SlidingWindow(),
+    thresholds: Thresholds = fixed.THRESHOLDS,
+    at_once: int = 4,
+    **settings,
+) -> dict[date, dict[str, int]]:
+    """Report each day alone into its folder of a report written by date; the counts of each.
+
+    A day's jobs are small beside a cluster, so ``at_once`` days are under way
+    together. The origin is looked up once for all of them.
+    """
+    days = list(days)
+    if window.clamp and window.origin is None:
+        window = replace(window, origin=snapshot_origin(spark, rule, paths, families) or 0)
+
+    def report_day(day: date) -> dict[str, int]:
+        alone = Days.of([day])
+        result = report_of_days(spark, rule, paths, families, alone, window, thresholds, **settings)
+        return write_report_by_date(result, out, days=alone)
+
+    with ThreadPoolExecutor(at_once) as pool:
+        # each day in a copy of the session's local properties, which its jobs write to
+        running = {day: pool.submit(inheritable_thread_target(spark)(report_day), day) for day in days}
+        return {day: counts.result() for day, counts in running.items()}
+
+
 def touched_days(changed: Iterable[date], window: SlidingWindow) -> Days:
     """Days of a report that samples of the changed days can be part of."""
     return Days.of(changed).reach(before=days_to_reach(window.size - 1))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date, timedelta
@@ -10,7 +11,7 @@ from operator import and_
 
 from pyspark.sql import Column, SparkSession, functions as F
 
-from vigil.sources.storage import exists, list_files
+from vigil.sources.storage import names_in
 
 DAY = 86400
 
@@ -79,9 +80,6 @@ def days_to_reach(seconds: int) -> int:
 
 
 def stored_days(spark: SparkSession, path: str) -> list[date]:
-    """Days a table written by date has, in order, from the names of its folders. No file is opened."""
-    if not exists(spark, path):
-        return []
-    day = F.regexp_extract("path", r"/date=(\d{4}-\d\d-\d\d)/", 1)
-    found = list_files(spark, path).select(day.alias("day")).distinct().collect()
-    return sorted(date.fromisoformat(r.day) for r in found if r.day)
+    """Days a table written by date has, in order, from the names of its folders. No file is opened, no job is run."""
+    found = (re.fullmatch(r"date=(\d{4}-\d\d-\d\d)", name) for name in names_in(spark, path))
+    return sorted(date.fromisoformat(day[1]) for day in found if day)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from vigil.schemas import family_schema
-from vigil.sources.days import Days
+from vigil.sources.days import Days, stored_days
 from vigil.sources.sinks import CSV_TEXT
 
 
@@ -27,12 +27,21 @@ def read_snapshot_csv(spark: SparkSession, path: str, family: str) -> DataFrame:
 def read_snapshot_parquet(
     spark: SparkSession, path: str, family: str, days: Days | None = None, dated: bool = False
 ) -> DataFrame:
-    """A Parquet snapshot; ``days`` limit one written by date to their folders, ``dated`` keeps the date."""
+    """A Parquet snapshot; ``days`` limit one written by date to their folders, ``dated`` keeps the date.
+
+    Folders of other days are not looked into, so a read costs what its days have.
+    """
     schema = family_schema(family)
     if days is None and not dated:
         return spark.read.schema(schema).parquet(path).select(*schema.names)
-    rows = spark.read.schema(family_schema(family).add("date", "date")).parquet(path)
-    if days is not None:
+    reader = spark.read.schema(family_schema(family).add("date", "date"))
+    if days is None:
+        rows = reader.parquet(path)
+    else:
+        stored = stored_days(spark, path)
+        folders = [] if days.undated else [f"{path}/date={d}" for d in stored if d in days]
+        some = 0 < len(folders) < len(stored)
+        rows = reader.option("basePath", path).parquet(*folders) if some else reader.parquet(path)
         rows = rows.where(days.holds(F.col("date")))
     return rows.select(*schema.names, *(["date"] if dated else []))
 

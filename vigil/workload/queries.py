@@ -20,7 +20,7 @@ from vigil.operators.dedupe import first_per_key
 from vigil.operators.fanout import fan_out
 from vigil.operators.join import KEYS, join_families, merge_copies, merge_first
 from vigil.operators.report import alert_rows, alert_summary, sort_report, with_alert
-from vigil.plans.days import refresh_report, report_of_days
+from vigil.plans.days import refresh_report, report_each_day, report_of_days
 from vigil.plans.incremental import refresh_snapshot
 from vigil.plans.reports import POSITION, cpu_mem_report, net_disk_report, report, samples, window_statistics
 from vigil.plans.snapshots import decode_family, raw_snapshot
@@ -551,10 +551,10 @@ def report_day_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each day of three days' snapshots reported alone, into one folder."""
     folder = _run_folder(spark, "day-range")
     paths, families = _store_days(spark, sf_dir, folder)
-    for day in stored_days(spark, paths[0]):
-        result = report_of_days(spark, CPU_MEM, paths, families, Days.of([day]))
-        write_report_by_date(result, f"{folder}/report", days=Days.of([day]))
-    return _read_report(spark, f"{folder}/report", result)
+    days = stored_days(spark, paths[0])
+    report_each_day(spark, CPU_MEM, paths, families, f"{folder}/report", days)
+    like = report_of_days(spark, CPU_MEM, paths, families, Days.of(days[:1]))
+    return _closed(spark, f"{folder}/report", like)
 
 
 def report_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
