@@ -10,7 +10,7 @@ from vigil.config import NET_DISK, SlidingWindow
 from vigil.functions.numbers import float_rank
 from vigil.operators.dedupe import first_per_key, value_position
 from vigil.operators.join import KEYS, join_families, merge_copies, merge_first
-from vigil.plans.reports import report
+from vigil.plans.reports import report, samples
 
 
 def test_lowest_order_is_kept_whole(spark):
@@ -174,3 +174,12 @@ def test_copies_equal_all_pairs(spark, left, right):
         for key, found in sorted(pairs.items())
     ]
     assert rows(merge_copies(l, r)) == expected
+
+
+def test_a_place_takes_few_steps(spark):
+    """Text is parsed and a float ranked once a sample: not in each branch, and not in a filter below, too."""
+    raw = spark.range(3).selectExpr("concat('2024-01-01 00:00:0', id) AS ts", "concat('s', id) AS server_id", "CAST(id AS FLOAT) AS cpu_pct")
+    placed = samples(raw, "cpu_pct", "lenient").dropna(subset=["server_id", "ts_sec"])
+    plan = placed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RLIKE") == 1 and plan.count("LOG2") <= 2
+    assert [r.ts_sec for r in placed.orderBy("ts_sec").collect()] == [1704067200, 1704067201, 1704067202]

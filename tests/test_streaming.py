@@ -177,6 +177,19 @@ def test_tail_and_late_rows(spark, tmp_path):
     assert late_rows(write_available(alerts, str(tmp_path / "out"), str(tmp_path / "checkpoint"))) == 10
 
 
+def test_text_is_parsed_once(spark, tmp_path):
+    """Not in a filter below the watermark, too."""
+    for family in ("cpu", "mem"):
+        write_files(tmp_path, family, [range(0, 30)])
+    sides = [
+        stream_samples(decode_family(stream_record_files(spark, str(tmp_path / f)), f), f"{f}_pct", "lenient")
+        for f in ("cpu", "mem")
+    ]
+    query = write_available(stream_report(*sides, CPU_MEM, delay="1 hour"), str(tmp_path / "o"), str(tmp_path / "c"))
+    query.awaitTermination()
+    assert query._jsq.explainInternal(False).count("RLIKE") == 2  # once a side
+
+
 def test_samples_are_not_multiplied_before_the_first_shuffle(spark, tmp_path):
     for family in ("cpu", "mem"):
         write_files(tmp_path, family, [range(0, 30)])

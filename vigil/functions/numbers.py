@@ -33,6 +33,10 @@ def round_metric(metric: str, scale: int = 2) -> Column:
 #: Floats from one power of two to the next, and the exponent of the smallest normal one.
 _STEPS = 1 << 23
 _LEAST_EXPONENT = -126
+#: The power of two above all floats.
+_BEYOND = 2.0**128
+#: More than a logarithm is off by, less than lies between those of two floats.
+_HAIR = 1e-9
 #: What float_rank gives NaN, one more than infinity.
 HIGHEST_RANK = 255 * _STEPS + 1
 
@@ -45,15 +49,11 @@ def float_rank(value: Column) -> Column:
     both zeros are 0. A double is taken as its nearest float.
     """
     size = F.abs(value.cast("float").cast("double"))
-    guess = F.floor(F.log2(size))
-    # the logarithm may be off by a hair next to a power of two
-    exponent = guess + F.when(size >= F.pow(F.lit(2.0), guess + 1), 1).when(size < F.pow(F.lit(2.0), guess), -1).otherwise(0)
-    normal = (exponent - (_LEAST_EXPONENT - 1)) * _STEPS + ((size / F.pow(F.lit(2.0), exponent) - 1) * _STEPS).cast("bigint")
-    rank = (
-        F.when(F.isnan(value), F.lit(HIGHEST_RANK))
-        .when(size == F.lit(float("inf")), F.lit(HIGHEST_RANK - 1))
-        .when(size < 2.0**_LEAST_EXPONENT, (size * 2.0**149).cast("bigint"))
-        .otherwise(normal)
-        .cast("bigint")
-    )
-    return F.when(value < 0, -rank).otherwise(rank)
+    # infinity is what would follow the largest float; nulls stay
+    size = F.when(size < _BEYOND, size).when(size.isNotNull(), F.lit(_BEYOND))
+    # the logarithm may be off by a hair next to a power of two; zero has none
+    exponent = F.greatest(F.floor(F.log2(size) + _HAIR), F.lit(_LEAST_EXPONENT).cast("bigint"))
+    # no branches, so that each part is evaluated once
+    steps = (size / F.pow(F.lit(2.0), exponent) * _STEPS).cast("bigint")
+    rank = (exponent - _LEAST_EXPONENT) * _STEPS + steps + F.when(F.isnan(value), 1).otherwise(0)
+    return rank * F.when(value < 0, -1).otherwise(1)

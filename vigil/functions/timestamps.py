@@ -5,7 +5,7 @@ Text without a zone is read in the session time zone, so jobs pin it to UTC.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from vigil import fixed_values as fixed
 
@@ -43,9 +43,14 @@ def epoch_second(ts: Column, mode: str) -> Column:
     return F.unix_seconds(parse(ts, mode))
 
 
-def epoch_microsecond(ts: Column, mode: str) -> Column:
-    """Epoch microsecond of timestamp text, null where it does not parse."""
-    return F.unix_micros(parse(ts, mode))
+def parsed_once(rows: DataFrame, mode: str, name: str = "parsed", ts: str = "ts") -> DataFrame:
+    """Add the timestamp of the text in ``ts``, null where it does not parse.
+
+    It comes from a generator, so that what is made of it, and filters on that,
+    stay above it. Below a plain projection each of them would make and parse
+    the text once more.
+    """
+    return rows.select("*", F.explode(F.array(parse(F.col(ts), mode))).alias(name))
 
 
 def _shown(second: Column, zone: str | None) -> Column:

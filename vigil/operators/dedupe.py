@@ -12,8 +12,7 @@ _PLACES = 10**10
 
 def _place(value: str) -> Column:
     """Place of a float from the largest (NaN) on, nulls last, as decimal(10,0)."""
-    rank = float_rank(F.col(value))
-    return F.when(rank.isNull(), F.lit(2 * HIGHEST_RANK + 1)).otherwise(F.lit(HIGHEST_RANK) - rank).cast("decimal(10,0)")
+    return F.coalesce(F.lit(HIGHEST_RANK) - float_rank(F.col(value)), F.lit(2 * HIGHEST_RANK + 1)).cast("decimal(10,0)")
 
 
 def value_position(values: list[str]) -> Column:

@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from vigil import fixed_values as fixed
 from vigil.config import CPU_MEM, NET_DISK, AlertRule, SlidingWindow
-from vigil.functions.timestamps import epoch_microsecond
-from vigil.operators.decode import with_second
+from vigil.functions.timestamps import parsed_once
 from vigil.operators.dedupe import sample_position
 from vigil.operators.join import KEYS, merge_copies, merge_first
 from vigil.operators.report import (
@@ -36,8 +35,9 @@ def samples(rows: DataFrame, metric: str, timestamps: str, order: list[str] | No
     Without order columns, ``position`` puts the earliest of a second first.
     """
     place = [F.col(o) for o in order or []]
-    place = place or [sample_position(epoch_microsecond(F.col("ts"), timestamps), metric).alias(POSITION)]
-    return with_second(rows, timestamps).select(*KEYS, metric, *place)
+    place = place or [sample_position(F.unix_micros("parsed"), metric).alias(POSITION)]
+    second = F.unix_seconds("parsed").alias("ts_sec")
+    return parsed_once(rows, timestamps).select("server_id", second, metric, *place)
 
 
 def window_statistics(

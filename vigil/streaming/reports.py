@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from vigil import fixed_values as fixed
 from vigil.config import AlertRule, SlidingWindow
-from vigil.functions.timestamps import epoch_microsecond, parse
+from vigil.functions.timestamps import parsed_once
 from vigil.operators.dedupe import sample_position
 from vigil.operators.join import sums_of
 from vigil.operators.report import finish_statistics, with_alert
@@ -31,9 +31,9 @@ def stream_samples(rows: DataFrame, metric: str, timestamps: str, order: str | N
 
     Position is the order column, else what the batch plans use without one.
     """
-    place = F.col(order) if order else sample_position(epoch_microsecond(F.col("ts"), timestamps), metric)
-    second = F.date_trunc("second", parse(F.col("ts"), timestamps)).alias("ts")
-    return rows.select("server_id", second, metric, place.alias(POSITION))
+    place = F.col(order) if order else sample_position(F.unix_micros("parsed"), metric)
+    second = F.date_trunc("second", "parsed").alias("ts")
+    return parsed_once(rows, timestamps).select("server_id", second, metric, place.alias(POSITION))
 
 
 def unique_samples(samples: DataFrame, metric: str, delay: str) -> DataFrame:
