@@ -52,6 +52,8 @@ def correct_late(
     sample the report drops, whatever its batches. Writing is by batch, so a
     batch that is repeated replaces itself. A batch reads the days around its
     samples and touched windows only, and joins by the servers and times touched.
+    Windows are shuffled by date before they are written: files grow in number
+    with the days, not with days times tasks.
     With a clamp the origin has to be known.
     """
     if window.clamp and window.origin is None:
@@ -76,14 +78,16 @@ def correct_late(
             known = spark.read.schema(_TOUCHED).parquet(marks).where((F.col("batch") < number) & near)
             again = assign_windows(own, window).select(*_WINDOW).join(known, _WINDOW, "left_semi")
             touched = touched.unionByName(again)
-        replace_batch(touched.distinct().withColumn("date", day_of(F.col("window_start"))), marks, number, ["date"])
+        marked = touched.distinct().withColumn("date", day_of(F.col("window_start")))
+        replace_batch(marked.hint("rebalance", "date"), marks, number, ["date"])
         if not exists(spark, marks):
             return
         touched = spark.read.schema(_TOUCHED).parquet(marks).where(F.col("batch") == number)
         days = [r.date for r in touched.select("date").distinct().collect()]
         if days:
             fixed_windows = _windows(spark, samples, touched, days, number, rule, window, thresholds)
-            replace_batch(fixed_windows.withColumn("date", day_of(F.unix_seconds("window_start"))), corrections, number, ["date"])
+            dated = fixed_windows.withColumn("date", day_of(F.unix_seconds("window_start")))
+            replace_batch(dated.hint("rebalance", "date"), corrections, number, ["date"])
 
     return run_available(sides[0].unionByName(sides[1]), checkpoint, handle)
 
