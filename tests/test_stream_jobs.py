@@ -27,6 +27,7 @@ from vigil.streaming.records import (
     write_topic_stream,
 )
 from vigil.streaming.reports import stream_report, stream_samples, with_tail, write_available
+from vigil.workload import queries
 
 FAMILIES = ("cpu", "mem")
 
@@ -165,6 +166,85 @@ def test_a_repeated_late_batch_replaces_itself(spark, tmp_path):
     assert now(spark, tmp_path)[0] == rows(batch(spark, tmp_path))
 
 
+def run_in_step(spark, folder):
+    """The report with one state for both sides, and corrections that have had the same batches."""
+    window = SlidingWindow(origin=FIRST)
+    alerts = stream_report(*sides(spark, folder), CPU_MEM, window, delay=f"{DELAY} seconds", merged=True)
+    write_available(alerts, str(folder / "report"), str(folder / "state"), 2).awaitTermination()
+    places = (str(folder / "late"), str(folder / "late-state"))
+    correct_late(*sides(spark, folder), CPU_MEM, window, *places, DELAY, in_step=True).awaitTermination()
+
+
+def test_in_step_only_what_comes_late_is_corrected(spark, tmp_path):
+    for f in FAMILIES:
+        write_files(tmp_path, f, [range(0, 60), range(60, 120), range(120, 180)])
+    run_in_step(spark, tmp_path)
+    assert now(spark, tmp_path)[0] == rows(batch(spark, tmp_path))
+    assert not (tmp_path / "late" / "corrections").exists()  # each batch is older than its own last second, but on time
+    for f in FAMILIES:
+        late_file(tmp_path, f, "a.json", range(20, 25), "srv-0", {f"{f}_pct": 99.5})
+        late_file(tmp_path, f, "b.json", [100], "srv-new")
+    late_file(tmp_path, "cpu", "c.json", range(40, 45), "one-sided")
+    run_in_step(spark, tmp_path)
+    found, plain = now(spark, tmp_path)
+    assert found == rows(batch(spark, tmp_path)) and found != rows(epoch(plain))
+    for f in FAMILIES:  # some on time, some not
+        write_files(tmp_path, f, [range(180, 260), range(150, 175)])
+    late_file(tmp_path, "mem", "e.json", range(40, 45), "one-sided")
+    run_in_step(spark, tmp_path)
+    assert now(spark, tmp_path)[0] == rows(batch(spark, tmp_path))
+
+
+@pytest.mark.parametrize("run", [run_both, run_in_step])
+def test_a_batch_without_samples_corrects_nothing(spark, tmp_path, run):
+    for f in FAMILIES:
+        (tmp_path / f).mkdir()
+        (tmp_path / f / "0.json").write_text("garbage")
+    run(spark, tmp_path)
+    assert not (tmp_path / "late" / "corrections").exists()
+    for f in FAMILIES:
+        write_files(tmp_path, f, [range(0, 100), range(10, 15)])
+        (tmp_path / f / "z.json").write_text("garbage")
+    run(spark, tmp_path)
+    assert now(spark, tmp_path)[0] == rows(batch(spark, tmp_path))
+
+
+@pytest.mark.parametrize("run", [run_both, run_in_step])
+def test_a_sample_at_the_watermark_is_corrected(spark, tmp_path, run):
+    for f in FAMILIES:
+        write_files(tmp_path, f, [range(0, 121)])
+    run(spark, tmp_path)
+    for f in FAMILIES:  # as old as the delay, so the report drops it; its windows close later
+        late_file(tmp_path, f, "a.json", [120 - DELAY], "srv-new")
+    run(spark, tmp_path)
+    for f in FAMILIES:
+        write_files(tmp_path, f, [range(121, 200)])
+    run(spark, tmp_path)
+    assert now(spark, tmp_path)[0] == rows(batch(spark, tmp_path))
+
+
+def test_late_query_in_several_batches(spark, tmp_path, monkeypatch):
+    """Ids in no order and with gaps: batches are bounded, and what is on time in them is not late."""
+    monkeypatch.setattr(queries, "_BATCH_EVENTS", 50, raising=False)
+    i = F.when(F.col("id") < 700, F.col("id")).otherwise(F.col("id") + 5000)
+    events = spark.range(1400).select(
+        i.alias("event_id"),
+        F.lit(None).cast("timestamp_ntz").alias("ts"),
+        (F.col("id") * 7 % 11).alias("user_id"),
+        F.when(F.col("id") % 9 == 0, "error").otherwise("view").alias("event_type"),
+        (F.col("id") * 31 % 977 / 10).alias("value"),
+        F.lit("").alias("props"),
+    )
+    events.repartition(5).write.parquet(f"{tmp_path}/events.parquet")
+    found = queries.stream_late(spark, str(tmp_path))
+    assert rows(found) == rows(queries._cpu_mem(spark, str(tmp_path)).select(found.columns)) and found.count() > 300
+    folder = max(glob(f"{spark.conf.get('spark.checkpoint.dir')}/stream-late-*"), key=os.path.getmtime)
+    batches = sorted(glob(f"{folder}/late-state/commits/[0-9]*"), key=lambda p: int(os.path.basename(p)))
+    assert len(batches) >= 5
+    corrected_in = {os.path.basename(p) for p in glob(f"{folder}/late/corrections/*/batch=*")}
+    assert corrected_in and corrected_in <= {f"batch={len(batches) - 1}"}  # the late drop alone
+
+
 def test_corrections_need_the_origin(spark, tmp_path):
     with pytest.raises(ValueError):
         correct_late(None, None, CPU_MEM, SlidingWindow(), "x", "y", 1)

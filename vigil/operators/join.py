@@ -23,10 +23,10 @@ def join_families(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.join(right, KEYS, "inner")
 
 
-def _both_sides(left: DataFrame, right: DataFrame) -> DataFrame:
+def both_sides(left: DataFrame, right: DataFrame, keys: list[str] = KEYS) -> DataFrame:
     """Rows of both sides, told apart by ``side``, without null keys."""
     sides = [
-        rows.dropna(subset=KEYS).withColumn("side", F.lit(side).cast("tinyint"))
+        rows.dropna(subset=keys).withColumn("side", F.lit(side).cast("tinyint"))
         for rows, side in ((left, LEFT), (right, RIGHT))
     ]
     return sides[0].unionByName(sides[1], allowMissingColumns=True)
@@ -36,26 +36,31 @@ def _metrics(rows: DataFrame, order: list[str] | None = None) -> list[str]:
     return [c for c in rows.columns if c not in KEYS and c not in (order or [])]
 
 
-def merge_first(left: DataFrame, right: DataFrame, order: list[str] | None = None) -> DataFrame:
-    """Inner join of each side's first sample per (server, second).
-
-    ``order`` is as in ``first_values``; both sides have its columns.
-    """
-    l, r = _metrics(left, order), _metrics(right, order)
+def first_of_sides(
+    rows: DataFrame, keys: list[str], left: list[str], right: list[str], order: list[str] | None = None
+) -> DataFrame:
+    """The first sample of either side per key that both have, of rows as ``both_sides`` gives them."""
     side = F.col("side")
     return (
-        _both_sides(left, right)
-        .groupBy(*KEYS)
+        rows.groupBy(*keys)
         .agg(
-            *first_values(l, order, side == LEFT),
-            *first_values(r, order, side == RIGHT),
+            *first_values(left, order, side == LEFT),
+            *first_values(right, order, side == RIGHT),
             F.bit_or("side").alias("sides"),
         )
         .where(F.col("sides") == LEFT | RIGHT)
-        .select(*KEYS, *l, *r)
+        .select(*keys, *left, *right)
     )
 
 
+def merge_first(left: DataFrame, right: DataFrame, order: list[str] | None = None) -> DataFrame:
+    """Inner join of each side's first sample per (server, second).
+
+    ``order`` is as in ``first_values``; both sides have its columns.
+    """
+    return first_of_sides(both_sides(left, right), KEYS, _metrics(left, order), _metrics(right, order), order)
+
+
 def merge_copies(left: DataFrame, right: DataFrame, exact: bool = False) -> DataFrame:
     """Sums, counts and maxima over all pairs of repeated samples, without making them; sums as ``sums_of`` has them.
 
@@ -67,7 +72,7 @@ def merge_copies(left: DataFrame, right: DataFrame, exact: bool = False) -> Data
     l, r = _metrics(left), _metrics(right)
     copies = {side: F.count_if(F.col("side") == side).alias(f"copies_{side}") for side in (LEFT, RIGHT)}
     merged = (
-        _both_sides(left, right)
+        both_sides(left, right)
         .groupBy(*KEYS)
         .agg(*copies.values(), *(part for m in l + r for part in sums_of(m, exact)))
         .where((F.col("copies_1") > 0) & (F.col("copies_2") > 0))

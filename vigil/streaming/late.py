@@ -10,13 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
 from vigil import fixed_values as fixed
 from vigil.config import AlertRule, SlidingWindow
-from vigil.operators.join import KEYS, merge_first
+from vigil.operators.join import KEYS, LEFT, RIGHT, first_of_sides
 from vigil.operators.report import finish_statistics, label_timestamps, with_alert
 from vigil.operators.windows import aggregate_windows, assign_windows
 from vigil.plans.reports import POSITION
@@ -44,12 +44,16 @@ def correct_late(
     checkpoint: str,
     delay_seconds: int,
     thresholds: Mapping[str, float] = fixed.THRESHOLDS,
+    in_step: bool = False,
 ) -> StreamingQuery:
     """Keep the samples of two streams from ``stream_samples`` below ``folder`` and correct touched windows; then stop.
 
-    A sample may be too late if it is older than ``delay_seconds``, the report's
+    A sample may be too late if it is not younger than ``delay_seconds``, the report's
     delay, before the latest of either side up to its batch. That holds for each
-    sample the report drops, whatever its batches. Writing is by batch, so a
+    sample the report drops, whatever its batches. If the caller knows that the
+    report has had the same batches (``in_step``: the same files under the same
+    limits), only those up to the batch before count, as in the report, so that
+    a batch of many hours on time touches nothing. Writing is by batch, so a
     batch that is repeated replaces itself. A batch reads the days around its
     samples and touched windows only, and joins by the servers and times touched.
     With a clamp the origin has to be known.
@@ -64,12 +68,20 @@ def correct_late(
 
     def handle(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        replace_batch(batch.dropna(subset=KEYS).withColumn("date", day_of(F.col("ts_sec"))), samples, number, ["date"])
-        own = spark.read.schema(_SAMPLE).parquet(samples).where(F.col("batch") == number)
-        horizon = _horizon(spark, own, horizons, number)
-        if horizon is None:
+        seen = Observation()
+        keyed = batch.dropna(subset=KEYS).observe(seen, F.min("ts_sec").alias("first"), F.max("ts_sec").alias("last"))
+        replace_batch(keyed.withColumn("date", day_of(F.col("ts_sec"))), samples, number, ["date"])
+        before, horizon = _horizons(spark, seen.get["last"], horizons, number)
+        if seen.get["last"] is None:
             return
-        touched = assign_windows(own.where(F.col("ts_sec") < horizon - delay_seconds), window).select(*_WINDOW)
+        horizon = before if in_step else horizon
+        bound = None if horizon is None else horizon - delay_seconds
+        some_late = bound is not None and seen.get["first"] <= bound
+        if not some_late and not exists(spark, marks):
+            return
+        # the folders of this batch alone are listed
+        own = spark.read.schema(_SAMPLE).option("basePath", samples).parquet(f"{samples}/date=*/batch={number}")
+        touched = assign_windows(own.where(F.col("ts_sec") <= bound), window).select(*_WINDOW)
         if number and exists(spark, marks):
             own_days = Days.of(r.date for r in own.select("date").distinct().collect())
             near = own_days.reach(before=days_to_reach(window.size - 1)).holds(F.col("date"))
@@ -88,14 +100,13 @@ def correct_late(
     return run_available(sides[0].unionByName(sides[1]), checkpoint, handle)
 
 
-def _horizon(spark: SparkSession, own: DataFrame, folder: str, number: int) -> int | None:
-    """The latest second up to a batch, kept by batch."""
-    latest = [own.agg(F.max("ts_sec")).first()[0]]
-    if number:
-        latest.append(spark.read.schema("latest long").parquet(f"{folder}/batch={number - 1}").first()[0])
-    horizon = max((s for s in latest if s is not None), default=None)
-    spark.createDataFrame([(horizon,)], "latest long").coalesce(1).write.mode("overwrite").parquet(f"{folder}/batch={number}")
-    return horizon
+def _horizons(spark: SparkSession, own: int | None, folder: str, number: int) -> tuple[int | None, int | None]:
+    """The latest second before a batch and up to it, whose own latest is ``own``; the second is kept by batch."""
+    before = spark.read.schema("latest long").parquet(f"{folder}/batch={number - 1}").first()[0] if number else None
+    horizon = max((s for s in (before, own) if s is not None), default=None)
+    latest = spark.range(1).coalesce(1).select(F.lit(horizon).cast("long").alias("latest"))
+    latest.write.mode("overwrite").parquet(f"{folder}/batch={number}")
+    return before, horizon
 
 
 def _windows(
@@ -112,12 +123,14 @@ def _windows(
     near = Days.of(days).reach(after=days_to_reach(window.size - 1)).holds(F.col("date"))
     kept = spark.read.schema(_SAMPLE).parquet(samples).where((F.col("batch") <= number) & near)
     slots = touched.select("server_id", _slots("window_start", window.size, window.size).alias("slot")).distinct()
-    kept = kept.withColumn("slot", F.floor(F.col("ts_sec") / window.size)).join(slots, ["server_id", "slot"], "left_semi")
-    left, right = (
-        kept.where(F.col("is_left") == is_left).select(*KEYS, F.col("value").alias(metric), POSITION)
-        for is_left, metric in ((True, rule.left), (False, rule.right))
-    )
-    windows = aggregate_windows(merge_first(left, right, [POSITION]), window, [rule.left, rule.right])
+    kept = kept.withColumn("slot", F.floor(F.col("ts_sec") / window.size)).join(slots.hint("shuffle_hash"), ["server_id", "slot"], "left_semi")
+    is_left = F.col("is_left")
+    metrics = [F.when(is_left, F.col("value")).alias(rule.left), F.when(~is_left, F.col("value")).alias(rule.right)]
+    side = F.when(is_left, LEFT).otherwise(RIGHT).cast("tinyint").alias("side")
+    # a second lies in one slot, so the shuffle of the join serves the aggregate, too
+    keys = ["server_id", "slot", "ts_sec"]
+    joined = first_of_sides(kept.select(*keys, POSITION, *metrics, side), keys, [rule.left], [rule.right], [POSITION])
+    windows = aggregate_windows(joined, window, [rule.left, rule.right])
     windows = finish_statistics(windows, rule).join(touched, _WINDOW, "left_semi")
     return with_alert(label_timestamps(windows), rule, thresholds)
 

@@ -19,12 +19,14 @@ from vigil import fixed_values as fixed
 from vigil.config import AlertRule, SlidingWindow
 from vigil.functions.timestamps import parsed_once
 from vigil.operators.dedupe import sample_position
-from vigil.operators.join import sums_of
+from vigil.operators.join import both_sides, first_of_sides, sums_of
 from vigil.operators.report import finish_statistics, with_alert
 from vigil.operators.windows import combined_sums, first_start
 from vigil.plans.reports import POSITION
 from vigil.streaming.batches import start
 
+_KEYS = ["server_id", "ts"]
+
 
 def stream_samples(rows: DataFrame, metric: str, timestamps: str, order: str | None = None) -> DataFrame:
     """Decoded stream rows as (server_id, ts, metric, position), ts cut to the second.
@@ -39,8 +41,17 @@ def stream_samples(rows: DataFrame, metric: str, timestamps: str, order: str | N
 def unique_samples(samples: DataFrame, metric: str, delay: str) -> DataFrame:
     """One sample per server and second: that of the lowest position, as in batch,
     chosen when the watermark has passed the second."""
-    marked = samples.dropna(subset=["server_id", "ts"]).withWatermark("ts", delay)
-    return marked.groupBy("server_id", "ts").agg(F.min_by(metric, POSITION).alias(metric))
+    return _marked(samples, delay).groupBy(*_KEYS).agg(F.min_by(metric, POSITION).alias(metric))
+
+
+def _marked(samples: DataFrame, delay: str) -> DataFrame:
+    return samples.dropna(subset=_KEYS).withWatermark("ts", delay)
+
+
+def _merged_samples(left: DataFrame, right: DataFrame, rule: AlertRule, delay: str) -> DataFrame:
+    """``unique_samples`` of both sides, joined, by one aggregate."""
+    sides = both_sides(_marked(left, delay), _marked(right, delay), _KEYS)
+    return first_of_sides(sides, _KEYS, [rule.left], [rule.right], [POSITION])
 
 
 def stream_report(
@@ -51,17 +62,23 @@ def stream_report(
     thresholds: Mapping[str, float] | None = fixed.THRESHOLDS,
     delay: str = "1 minute",
     first_second: bool = False,
+    merged: bool = False,
 ) -> DataFrame:
     """Streaming report on two sample streams from ``stream_samples``.
 
     Samples are summed by pane, the longest step that divides window and slide,
     and panes by window, so a sample goes through one shuffle once.
     ``first_second`` adds the epoch second of each window's first sample;
-    without ``thresholds`` windows have no alert yet.
+    without ``thresholds`` windows have no alert yet. ``merged`` keeps both sides
+    in one state, a fraction of those of two sides and their join; the windows
+    are the same, but ``late_rows`` counts late rows of both sides of a second as one.
     """
     if window.slide > window.size:
         raise ValueError("streaming windows must not have gaps between them")
-    joined = unique_samples(left, rule.left, delay).join(unique_samples(right, rule.right, delay), ["server_id", "ts"])
+    if merged:
+        joined = _merged_samples(left, right, rule, delay)
+    else:
+        joined = unique_samples(left, rule.left, delay).join(unique_samples(right, rule.right, delay), _KEYS)
     pane = gcd(window.size, window.slide)
     panes = joined.groupBy(
         "server_id", F.window("ts", f"{pane} seconds", startTime=f"{window.offset % pane} seconds").alias("pane")
@@ -95,12 +112,14 @@ def late_rows(query: StreamingQuery) -> int:
     return sum(dropped.values())
 
 
-def with_tail(closed: DataFrame, batch: DataFrame) -> DataFrame:
+def with_tail(closed: DataFrame, batch: DataFrame, written: DataFrame | None = None) -> DataFrame:
     """A stream's closed windows and, from the batch report, those still open when it stopped.
 
     Windows close in order of time, so the open ones start after the last closed one.
+    ``written`` are the windows as the stream has written them, where ``closed`` is
+    made of these: the last of both is the same, and is found without making ``closed`` twice.
     """
-    last = closed.agg(F.max("window_start").alias("last")).scalar()
+    last = (closed if written is None else written).agg(F.max("window_start").alias("last")).scalar()
     return closed.unionByName(batch.where(last.isNull() | (F.col("window_start") > last)))
 
 

@@ -7,7 +7,7 @@ import tempfile
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from vigil.config import CPU_MEM, NET_DISK, SlidingWindow
 from vigil.fixed_values import FAMILY_METRICS, THRESHOLDS, TOPICS
@@ -631,6 +631,34 @@ def _drops(spark, sf_dir, folder, *conditions):
         yield spark.readStream.schema(tel.EVENTS).parquet(f"{folder}/events")
 
 
+#: Events of a stream's batch per core. Its seconds stay in the state, in memory, until the next batch has closed them.
+_BATCH_EVENTS = 400_000
+
+
+def _slices(rows: DataFrame, most: int) -> list[Column]:
+    """Conditions that cut events into equal ranges of ids, of up to about ``most``."""
+    count = -(-rows.count() // most)
+    if count < 2:
+        return [F.lit(True)]
+    places = F.percentile_approx("event_id", [n / count for n in range(1, count)])
+    bounds = [None, *sorted(set(rows.agg(places).first()[0])), None]
+    i = F.col("event_id")
+    return [
+        (F.lit(True) if first is None else i > first) & (F.lit(True) if last is None else i <= last)
+        for first, last in zip(bounds, bounds[1:])
+    ]
+
+
+def _drops_in_batches(spark, sf_dir, folder, *conditions):
+    """As ``_drops``, of any number of events: files are in order of time, and the stream takes so many at once as it has written of a slice."""
+    files = spark.sparkContext.defaultParallelism
+    for condition in conditions:
+        rows = tel.events(spark, sf_dir).where(condition)
+        for part in _slices(rows, files * _BATCH_EVENTS):
+            rows.where(part).repartitionByRange(files, "event_id").write.mode("append").parquet(f"{folder}/events")
+        yield spark.readStream.schema(tel.EVENTS).option("maxFilesPerTrigger", files).parquet(f"{folder}/events")
+
+
 def _stream_sides(events: DataFrame) -> list[DataFrame]:
     return [
         stream_samples(tel.rows_of(events, f), FAMILY_METRICS[f][0], "lenient", "event_id") for f in ("cpu", "mem")
@@ -665,15 +693,19 @@ def stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     cores = spark.sparkContext.defaultParallelism
     late = F.col("event_id") % 20 == 3
     window = SlidingWindow(origin=tel.FIRST_SECOND)
-    for events in _drops(spark, sf_dir, folder, ~late, late):
-        alerts = stream_report(*_stream_sides(events), CPU_MEM, window, delay=f"{tel.STREAM_DELAY_SECONDS} seconds")
+    for events in _drops_in_batches(spark, sf_dir, folder, ~late, late):
+        alerts = stream_report(
+            *_stream_sides(events), CPU_MEM, window, delay=f"{tel.STREAM_DELAY_SECONDS} seconds", merged=True
+        )
         write_available(alerts, f"{folder}/report", f"{folder}/state", cores).awaitTermination()
+        late_folders = (f"{folder}/late", f"{folder}/late-state")
+        # both queries have had the same files under the same limit, none came between them
         correct_late(
-            *_stream_sides(events), CPU_MEM, window, f"{folder}/late", f"{folder}/late-state", tel.STREAM_DELAY_SECONDS
+            *_stream_sides(events), CPU_MEM, window, *late_folders, tel.STREAM_DELAY_SECONDS, in_step=True
         ).awaitTermination()
     closed = spark.read.schema(alerts.schema).parquet(f"{folder}/report").select(*alerts.columns)
     whole = corrected(closed, read_corrections(spark, f"{folder}/late", closed))
-    return with_tail(_epoch(whole), _cpu_mem(spark, sf_dir))
+    return with_tail(_epoch(whole), _cpu_mem(spark, sf_dir), _epoch(closed))
 
 
 def stream_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
