@@ -178,6 +178,8 @@ def run_in_step(spark, folder):
 def test_in_step_only_what_comes_late_is_corrected(spark, tmp_path):
     for f in FAMILIES:
         write_files(tmp_path, f, [range(0, 60), range(60, 120), range(120, 180)])
+        for n, path in enumerate(sorted(glob(f"{tmp_path}/{f}/*.json"))):
+            os.utime(path, (FIRST + n, FIRST + n))  # written within a millisecond they would come in any order
     run_in_step(spark, tmp_path)
     assert now(spark, tmp_path)[0] == rows(batch(spark, tmp_path))
     assert not (tmp_path / "late" / "corrections").exists()  # each batch is older than its own last second, but on time
